@@ -1,11 +1,11 @@
 """Quality rules by weak supervision.
 
 Every rule votes good (2), bad (0) or abstains (1). The vote patterns of the
-whole corpus are counted, expectation-maximisation on the counts estimates for
-each rule how often each class draws each vote, and a document is kept when its
-posterior probability of being good reaches a threshold. No rule can reject a
-document alone; only the base test (too few words, or too many words in repeated
-windows) does.
+whole corpus are counted, expectation-maximisation on the counts estimates how
+often the votes of each rule are right, and a document is kept when its
+posterior probability of being good reaches a threshold. No rule rejects a
+document by itself; only the base test (too few words, or too many words in
+repeated windows) does.
 """
 
 from __future__ import annotations
@@ -24,8 +24,9 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 KEEP_AT = 0.5
 EM_ROUNDS = 100
-#: Pseudo-counts of each vote in each class; they keep every probability off 0 and 1.
-PRIOR_VOTES = 2.0
+#: Every rule starts as this accurate, and is held to it by so many votes for each vote that it casts.
+FIRST_ACCURACY = 0.9
+HOLD = 0.5
 
 
 def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", names: list[str] = COUNTS) -> DataFrame:
@@ -42,13 +43,13 @@ def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.withColumnRenamed("id", id_col)
 
 
-def rule(value: Column, bad: Column, good: Column) -> Column:
-    """0 (bad), 2 (good) or 1 (abstain); it abstains where the value has no meaning."""
-    return F.when(value.isNull(), 1).when(bad, 0).when(good, 2).otherwise(1)
-
-
 def votes() -> dict[str, Column]:
-    """The rules over COUNTS. Shares are null, so their rules abstain, where there is nothing to divide by."""
+    """The rules over COUNTS. A share with nothing to divide by is null, and its rule abstains.
+
+    All but one look for a defect and abstain where they see none: most defects
+    leave most rules silent, and silence is no evidence. Each defect shows in two
+    rules at least, so that their agreement tells how far to trust them.
+    """
     c = F.col
     share = lambda a, b: F.when(b > 0, a / b)
     symbols, bangs = share(c("n_symbols"), c("n_words")), share(c("n_bangs"), c("n_words"))
@@ -56,40 +57,41 @@ def votes() -> dict[str, Column]:
     repeat, dup = share(c("n_repeat_words"), c("n_words")), F.when(c("n_lines") > 1, c("n_dup_lines") / c("n_lines"))
     length, variety = share(c("word_chars"), c("n_words")), F.when(c("n_words") >= 20, c("n_distinct") / c("n_words"))
     letters, marks = share(c("n_letter_words"), c("n_words")), share(c("n_marks"), c("n_words"))
-    return {
-        "symbols": rule(symbols, symbols > 0.1, symbols < 0.02),
-        "shouting": rule(bangs, bangs > 0.3, bangs < 0.1),
-        "capitals": rule(upper, upper > 0.4, upper < 0.15),
-        "repeats": rule(repeat, repeat > 0.2, repeat < 0.1),
-        "same_lines": rule(dup, dup > 0.3, dup < 0.1),
-        "word_length": rule(length, (length < 2.5) | (length > 10), (length > 4) & (length < 6.5)),
-        "variety": rule(variety, variety < 0.3, variety > 0.5),
-        "letters": rule(letters, letters < 0.7, letters > 0.9),
-        "marks": rule(marks, (marks < 0.02) | (marks > 0.8), (marks > 0.05) & (marks < 0.5)),
+    bad = {
+        "symbols": symbols > 0.1,
+        "shouting": bangs > 0.3,
+        "capitals": upper > 0.4,
+        "repeats": repeat > 0.25,
+        "same_lines": dup > 0.4,
+        "word_length": (length < 2.5) | (length > 6.8),
+        "variety": variety < 0.35,
+        "letters": letters < 0.7,
+        "marks": (marks < 0.02) | (marks > 0.8),
     }
+    prose = (symbols < 0.02) & (upper < 0.15) & (variety > 0.45) & length.between(4, 6.5) & (letters > 0.9) & marks.between(0.04, 0.5)
+    return {k: F.when(v, 0).otherwise(1) for k, v in bad.items()} | {"prose": F.when(prose, 2).otherwise(1)}
 
 
 def fit_em(patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS) -> np.ndarray:
     """Posterior of class good for each vote pattern.
 
     patterns: (p, rules) votes in {0, 1, 2}; counts: documents with each pattern.
-    The classes start from the balance of votes, where one bad vote outweighs
-    three good ones, so that class 1 is the good one whatever the order of rows.
+    A vote is right with its rule's accuracy whichever the class; whether a rule
+    votes at all tells nothing. Accuracies stay within 0.5 and 0.99.
     """
     counts = np.asarray(counts, float)
     if not len(patterns):
         return np.zeros(0)
-    shown = np.stack([patterns == v for v in range(3)], 2).astype(float)
-    good = 1 / (1 + np.exp(-(shown[:, :, 2].sum(1) - 3 * shown[:, :, 0].sum(1))))
+    sign = np.asarray(patterns) - 1
+    cast = (counts[:, None] * (sign != 0)).sum(0)
+    right, prior, good = np.full(sign.shape[1], FIRST_ACCURACY), 0.5, np.full(len(sign), 0.5)
     for _ in range(rounds):
-        by_class = np.stack([counts * (1 - good), counts * good])
-        seen = np.einsum("cp,prv->crv", by_class, shown) + PRIOR_VOTES
-        chance = np.log(seen / seen.sum(2, keepdims=True))
-        prior = np.log((by_class.sum(1) + PRIOR_VOTES) / (counts.sum() + 2 * PRIOR_VOTES))
-        like = prior + np.einsum("prv,crv->pc", shown, chance)
-        new = 1 / (1 + np.exp(np.clip(like[:, 0] - like[:, 1], -500, 500)))
-        done = np.abs(new - good).max() < 1e-9
-        good = new
+        odds = np.log(prior / (1 - prior)) + sign @ np.log(right / (1 - right))
+        new = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        agree = (counts[:, None] * np.where(sign > 0, new[:, None], np.where(sign < 0, 1 - new[:, None], 0))).sum(0)
+        right = np.clip((agree + HOLD * cast * FIRST_ACCURACY + FIRST_ACCURACY) / ((1 + HOLD) * cast + 1), 0.5, 0.99)
+        prior = float(np.clip((counts @ new + 1) / (counts.sum() + 2), 0.01, 0.99))
+        done, good = np.abs(new - good).max() < 1e-9, new
         if done:
             break
     return good
