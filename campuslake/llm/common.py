@@ -134,3 +134,38 @@ def windows(values: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndar
         for k in range(width):
             h = mix(h * np.uint64(0x9E3779B97F4A7C15) + values[first + k])
     return h, first, owner
+
+
+#: Texts longer than this are scored but not learned from, so that a sample's bytes are bounded as its rows are.
+LEARN_CHARS = 16_384
+
+
+def learn_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int, classes: list, id_col: str = "doc_id", text_col: str = "text") -> list[tuple]:
+    """At most per_class (label, text) of each class, from documents that are not held out.
+
+    The rows with the smallest hash of the id are taken, so the sample does not
+    hang on the order of rows. An id with two labels counts as the larger one,
+    an id with several texts as the least one.
+    """
+    usable = docs.where(~held_out(id_col) & F.length(text_col).between(1, LEARN_CHARS)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    marks = labels.where(F.col(label).isin(classes) & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("id")).agg(F.max(label).alias("label"))
+    known = marks.join(usable.select("id").distinct(), "id", "left_semi")
+    chosen = None
+    for value in classes:
+        part = known.where(F.col("label") == F.lit(value)).orderBy(F.xxhash64("id"), "id").limit(per_class)
+        chosen = part if chosen is None else chosen.unionByName(part)
+    # chosen holds per_class * len(classes) rows at most
+    texts = usable.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    return sorted((r["label"], r["id"], r["text"]) for r in texts.collect())
+
+
+def cut_at_spaces(data: bytes, width: int) -> list[bytes]:
+    """Pieces of about width bytes that end at white space where there is any within another width; joined they give data."""
+    out, at = [], 0
+    while len(data) - at > width + width // 2:
+        to = data.find(b" ", at + width, at + 2 * width)
+        to = at + 2 * width if to < 0 else to + 1
+        out.append(data[at:to])
+        at = to
+    out.append(data[at:])
+    return out

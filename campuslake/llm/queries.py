@@ -9,12 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import language_id
+
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import quality_rules
 
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
