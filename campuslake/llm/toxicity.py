@@ -30,7 +30,7 @@ TOXIC_BYTES = 2_000
 WINDOW_BYTES = 36
 #: A word enters the toxic dictionary if this share of toxic texts holds it, and so many times the share of ordinary ones.
 MIN_SHARE, MIN_LIFT = 0.05, 8.0
-LEVEL = 12
+LEVEL = 6
 
 
 def telling_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
@@ -80,12 +80,12 @@ def tools(model: dict) -> tuple[zstd.ZstdCompressor, zstd.ZstdCompressor]:
 
 
 def features(texts: list[bytes], ordinary: zstd.ZstdCompressor, toxic: zstd.ZstdCompressor) -> np.ndarray:
-    """For each text: the largest window gain, the mean gain, and the logged number of windows that gain 2 bytes and 4 bytes."""
+    """For each text: the largest window gain, the mean gain, and the logged number of windows that gain 3 bytes and 5 bytes."""
     out = np.zeros((len(texts), 4))
     for k, text in enumerate(texts):
-        pieces = cut_at_spaces(text, WINDOW_BYTES)
-        gain = np.array([len(ordinary.compress(p + FILL)) - len(toxic.compress(p + FILL)) for p in pieces], float)
-        out[k] = max(gain.max(), 0), np.maximum(gain, 0).mean(), math.log1p((gain >= 2).sum()), math.log1p((gain >= 4).sum())
+        pieces = [b" " + p + FILL for p in cut_at_spaces(text, WINDOW_BYTES)]
+        gain = np.array([len(ordinary.compress(p)) - len(toxic.compress(p)) for p in pieces], float)
+        out[k] = max(gain.max(), 0), np.maximum(gain, 0).mean(), math.log1p((gain >= 3).sum()), math.log1p((gain >= 5).sum())
     return out
 
 
