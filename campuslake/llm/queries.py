@@ -15,6 +15,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import bpe_encode
+
+    return bpe_encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import quality_rules
 
