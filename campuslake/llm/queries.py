@@ -49,9 +49,28 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import warc_round_trip
+
+    return warc_round_trip(table(spark, sf_dir, "pages")).drop("request_id")
+
+
+OP9 = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (
+  SELECT payload_digest, payload_bytes, max(page_id) AS last FROM p WHERE payload_bytes >= 1000 GROUP BY ALL HAVING count(*) > 1
+)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN g.last IS NULL OR g.last = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN g.last <> p.page_id THEN g.last END AS refers_to
+FROM p LEFT JOIN g USING (payload_digest, payload_bytes)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_warc": OP9}
