@@ -9,6 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bsi import top_k_search
+
+    return top_k_search(table(spark, sf_dir, "embeddings"))
+
+
+OP1 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_id import language_id
 
@@ -73,4 +92,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_warc": OP9}
+    return {"op1_top_k": OP1, "op9_warc": OP9}
