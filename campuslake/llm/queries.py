@@ -87,9 +87,49 @@ FROM p LEFT JOIN g USING (payload_digest, payload_bytes)
 """
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import line_dedup
+
+    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+#: Every run from a line onward (and up to a line) of 50 words, spelled out; a run that also begins earlier goes.
+OP10 = r"""
+WITH d AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents
+), l AS (
+  SELECT doc_id, i, ls[i] AS line, len(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+')) AS w
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)
+), f AS (
+  SELECT *, row_number() OVER o AS p, sum(w) OVER o AS c FROM l WHERE w > 0 WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), seq AS (
+  SELECT doc_id, list(line ORDER BY p) AS lines FROM f GROUP BY doc_id
+), r AS (
+  SELECT a.doc_id, a.p AS p, min(b.p) AS e FROM f AS a JOIN f AS b ON a.doc_id = b.doc_id AND b.p >= a.p AND b.c - a.c + a.w >= 50 GROUP BY a.doc_id, a.p
+  UNION
+  SELECT b.doc_id, max(a.p) AS p, b.p AS e FROM f AS a JOIN f AS b ON a.doc_id = b.doc_id AND b.p >= a.p AND b.c - a.c + a.w >= 50 GROUP BY b.doc_id, b.p
+), k AS (
+  SELECT r.doc_id, p, e, list_slice(lines, p, e) AS run FROM r JOIN seq USING (doc_id)
+), later AS (
+  SELECT doc_id, p, e FROM k QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, p) > 1
+), gone AS (
+  SELECT DISTINCT f.doc_id, f.p, f.i FROM f JOIN later ON f.doc_id = later.doc_id AND f.p BETWEEN later.p AND later.e
+), cut AS (
+  SELECT doc_id, i FROM gone
+  UNION
+  SELECT l.doc_id, l.i FROM l JOIN gone AS g ON l.doc_id = g.doc_id AND l.i > g.i JOIN gone AS h ON h.doc_id = g.doc_id AND h.p = g.p + 1 AND l.i < h.i
+), kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text FROM l ANTI JOIN cut ON l.doc_id = cut.doc_id AND l.i = cut.i GROUP BY l.doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text,
+       coalesce(len(lines), 0) AS n_lines, coalesce(n, 0) AS n_removed
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN seq USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": OP1, "op9_warc": OP9}
+    return {"op1_top_k": OP1, "op9_warc": OP9, "op10_line_dedup": OP10}
