@@ -28,6 +28,36 @@ FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec
 """
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import near_dedup
+
+    return near_dedup(table(spark, sf_dir, "documents")).drop("first")
+
+
+OP2 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                                    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w
+), e AS (
+  SELECT doc_id, len(sh) AS n, unnest(sh) AS v FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e AS a JOIN e AS b ON a.v = b.v AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), k AS MATERIALIZED (
+  SELECT a, b FROM p UNION SELECT b, a FROM p
+), r AS (
+  SELECT doc_id AS node, doc_id AS least FROM s
+  UNION
+  SELECT k.b, r.least FROM r JOIN k ON k.a = r.node AND r.least < k.b
+), c AS (
+  SELECT node, min(least) AS component_id FROM r GROUP BY node
+)
+SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c ON c.node = s.doc_id
+"""
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_id import language_id
 
@@ -132,4 +162,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": OP1, "op9_warc": OP9, "op10_line_dedup": OP10}
+    return {"op1_top_k": OP1, "op2_near_dedup": OP2, "op9_warc": OP9, "op10_line_dedup": OP10}
