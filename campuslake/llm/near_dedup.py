@@ -70,7 +70,11 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """docs (d, h, t) to (u, d, h, n, s1, s2, pool): a row number, the set's size, two sums that stand for the set, and its smallest hashes."""
+    """docs (d, h, t) to (u, d, h, n, s1, s2, pool): the row's number, the set's size, two sums that stand for the set, and its smallest hashes.
+
+    Rows are numbered here unless docs has a column u that numbers them.
+    """
+    numbered = "u" in docs.columns
 
     def run(batches):
         u = TaskContext.get().partitionId() << 33
@@ -85,7 +89,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     sums.append((total[at[1:]] - total[at[:-1]]).view(np.int64))
             pools = [hashes[a : min(b, a + POOL)].tobytes() for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(u, u + len(n))), plain(piece["d"]), plain(piece["h"]), pa.array(n), pa.array(sums[0]), pa.array(sums[1]), pa.array(pools, pa.binary())],
+                [plain(piece["u"]) if numbered else pa.array(np.arange(u, u + len(n))), plain(piece["d"]), plain(piece["h"]), pa.array(n), pa.array(sums[0]), pa.array(sums[1]), pa.array(pools, pa.binary())],
                 ["u", "d", "h", "n", "s1", "s2", "pool"],
             )
             u += len(n)
@@ -297,7 +301,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- the operator
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """id_col, n_shingles, component_id, kept and first for every row of docs.
 
     component_id is the least id that links lead to, kept whether that is the row's
@@ -305,16 +309,18 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     with one id. Words are split at ASCII white space and A-Z lower-cased; a text
     of fewer than five words is one shingle; null texts and texts without words
     are linked with nothing. A null id counts as none: its row takes the least id
-    of the others. Other columns are not read.
+    of the others. Other columns are not read. row_col: a long column that numbers
+    the rows of docs; it is then in the result too.
     """
-    text = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
+    text = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"), *([F.col(row_col).alias("u")] if row_col else []))
     base = cut(sketches(text), "sketches")
     same = base.where("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("u", "d", "h", "pool")).alias("x"), F.min("d").alias("least"))
     nodes = cut(same.select("s1", "s2", "n", "least", "x.*"), "nodes")
     active = cut(postings(nodes), "postings")
 
     wanted = nodes.join(active.select("u").distinct(), "u", "left_semi").select("u", "d", "h")
-    found = text.alias("t").join(wanted.alias("w"), F.col("t.h").eqNullSafe(F.col("w.h")) & F.col("t.d").eqNullSafe(F.col("w.d"))).select("u", "t")
+    same_row = F.col("t.u") == F.col("w.u") if row_col else F.col("t.h").eqNullSafe(F.col("w.h")) & F.col("t.d").eqNullSafe(F.col("w.d"))
+    found = text.alias("t").join(wanted.alias("w"), same_row).select("w.u", "t.t")
     sets = cut(full_sets(found.groupBy("u").agg(F.min("t").alias("t"))), "sets")
 
     few = candidates(in_blocks(active.withColumn("label", F.col("u")), nodes), few=True)
@@ -331,5 +337,5 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     out = base.select("u", "d", "n", "s1", "s2").join(of, ["s1", "s2", "n"], "left")
     return out.select(
         F.col("d").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "d").alias("component_id"),
-        F.coalesce(F.col("d") == F.coalesce("component_id", "d"), F.lit(False)).alias("kept"), (F.col("u") == F.coalesce("head", "u")).alias("first"),
+        F.coalesce(F.col("d") == F.coalesce("component_id", "d"), F.lit(False)).alias("kept"), (F.col("u") == F.coalesce("head", "u")).alias("first"), *([F.col("u").alias(row_col)] if row_col else []),
     )

@@ -29,17 +29,19 @@ FIRST_ACCURACY = 0.9
 HOLD = 0.5
 
 
-def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", names: list[str] = COUNTS) -> DataFrame:
-    """id_col and the named counts of text_col, for every row; a null text counts as empty."""
+def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", names: list[str] = COUNTS, carry: list[str] | None = None) -> DataFrame:
+    """id_col, the named counts of text_col and the columns to carry (as c0, c1, ...), for every row; a null text counts as empty."""
+    carry = carry or []
+    inside = [f"c{k}" for k in range(len(carry))]
 
     def run(batches):
         for piece in slices(batches, "text"):
             found = stats(plain(piece["text"]))
-            yield pa.RecordBatch.from_arrays([plain(piece["id"]), *[pa.array(found[k]) for k in names]], ["id", *names])
+            yield pa.RecordBatch.from_arrays([plain(piece["id"]), *[pa.array(found[k]) for k in names], *[plain(piece[k]) for k in inside]], ["id", *names, *inside])
 
-    kind = docs.schema[id_col].dataType
-    schema = T.StructType([T.StructField("id", kind), *[T.StructField(k, T.LongType()) for k in names]])
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    fields = [T.StructField("id", docs.schema[id_col].dataType), *[T.StructField(k, T.LongType()) for k in names]]
+    schema = T.StructType(fields + [T.StructField(k, docs.schema[c].dataType) for k, c in zip(inside, carry)])
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(k) for k, c in zip(inside, carry)]).mapInArrow(run, schema)
     return rows.withColumnRenamed("id", id_col)
 
 
@@ -97,9 +99,11 @@ def fit_em(patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS) ->
     return good
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_at: float = KEEP_AT) -> DataFrame:
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_at: float = KEEP_AT, carry: list[str] | None = None) -> DataFrame:
     """id_col, the counts of BASE, the votes, p_good, base_failed and kept for every row of docs.
 
+    carry names further columns of docs to keep, as c0, c1, and so on.
+
     Null and empty texts have no words: they fail the base test. Repeated rows
     each get a row with equal results. An empty table gives an empty result.
     Columns of docs other than id_col and text_col are not read, so their names
@@ -108,11 +112,12 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rules = votes()
     pattern = F.concat(*[v.cast("string") for v in rules.values()]).alias("votes")
-    rows = cut(text_stats(docs, id_col, text_col).select(F.col(id_col).alias("row_id"), *BASE, pattern), "votes")
+    inside = [f"c{k}" for k in range(len(carry or []))]
+    rows = cut(text_stats(docs, id_col, text_col, carry=carry).select(F.col(id_col).alias("row_id"), *BASE, pattern, *inside), "votes")
     seen = sorted((r["votes"], r["n"]) for r in rows.groupBy("votes").agg(F.count("*").alias("n")).collect())
     good = fit_em(np.array([[int(v) for v in p] for p, _ in seen]).reshape(len(seen), len(rules)), np.array([n for _, n in seen]))
     model = docs.sparkSession.createDataFrame([(p, float(g)) for (p, _), g in zip(seen, good)], "votes string, p_good double")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     out = rows.join(F.broadcast(model), "votes", "left").withColumn("base_failed", failed)
     out = out.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= keep_at))
-    return out.select(F.col("row_id").alias(id_col), *BASE, "base_failed", "kept", "p_good", "votes")
+    return out.select(F.col("row_id").alias(id_col), *BASE, "base_failed", "kept", "p_good", "votes", *inside)
