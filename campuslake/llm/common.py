@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import shared_dir
+
 #: Text bytes that one task turns into arrays at a time.
 SLICE_BYTES = 4 << 20
 
@@ -20,15 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("campuslake.scratch", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="campuslake-")
-        spark.conf.set("campuslake.scratch", found)
-    return found.rstrip("/")
-
-
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back.
 
@@ -41,6 +33,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def positional(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs with its columns named c0, c1, ..., so that no name of a caller's clashes with ours; and these names."""
+    inside = [f"c{k}" for k in range(len(docs.columns))]
+    return docs.toDF(*inside), inside
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True where crc32 of the id as text leaves no remainder by 5 (a null id is held out)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))

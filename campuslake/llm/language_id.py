@@ -77,7 +77,7 @@ def sizes(texts: list[bytes], tools: list[zstd.ZstdCompressor]) -> np.ndarray:
 
 
 def identify(docs: DataFrame, model: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text", min_margin: float = MIN_MARGIN, carry: list[str] | None = None) -> DataFrame:
-    """id_col, lang_pred, score, margin and rejected for every row; carry: further columns of docs to keep.
+    """id_col, lang_pred, score, margin and rejected for every row; carry names further columns of docs to keep, as c0, c1, and so on.
 
     lang_pred is a language of the model, or `und` (score 0, rejected) where the
     text is null or has no letter, or where the model is empty. Equal sizes go to
@@ -118,7 +118,7 @@ def identify(docs: DataFrame, model: dict[str, bytes], id_col: str = "doc_id", t
     fields = [T.StructField("i", docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("margin", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
     schema = T.StructType(fields + [T.StructField(k, docs.schema[c].dataType) for k, c in zip(inside, carry)])
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), *[F.col(c).alias(k) for k, c in zip(inside, carry)]).mapInArrow(run, schema)
-    return rows.select(F.col("i").alias(id_col), "lang_pred", "score", "margin", "rejected", *[F.col(k).alias(c) for k, c in zip(inside, carry)])
+    return rows.select(F.col("i").alias(id_col), "lang_pred", "score", "margin", "rejected", *inside)
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

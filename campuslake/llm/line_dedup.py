@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from .common import cut, per_text, plain, slices, split_flat, words
+from .common import cut, per_text, plain, positional, slices, split_flat, words
 
 MIN_WORDS = 50
 
@@ -133,19 +133,20 @@ def without(text: str, runs: list[tuple[int, int]]) -> tuple[str, int, int]:
     return "\n".join(s for i, s in enumerate(lines) if i not in drop), len(full), len(gone)
 
 
-def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with text_col less its later copies, and n_lines and n_removed (lines with a word).
+def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """docs with text_col less its later copies, and two counts of lines with a word: all, and those removed.
 
     The earlier of two copies is that in the document of the smaller id (null
     first; among rows repeated with an id, in the order read), then the one nearer
     the beginning. Copies inside one document count; lines are equal if their
     texts are. Null and empty texts have no lines and stay as they are. Other
-    columns are kept, whatever their names.
+    columns are kept, whatever their names; those named as counts are replaced.
     """
+    docs = docs.drop(*counts)
     names = docs.columns
-    inside = [f"c{k}" for k in range(len(names))]
+    rows, inside = positional(docs)
     t, i = inside[names.index(text_col)], inside[names.index(id_col)]
-    rows = docs.toDF(*inside).withColumn("u", F.monotonically_increasing_id())
+    rows = rows.withColumn("u", F.monotonically_increasing_id())
     rows = cut(rows, "documents")
     lines = cut(line_rows(rows.select("u", F.col(i).cast("long").alias("d"), F.col(t).alias("t")), min_words), "lines")
     gone = later_copies(lines, min_words).groupBy("u").agg(F.collect_list(F.struct("p", "n")).alias("runs"))
@@ -162,4 +163,4 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_i
 
     schema = T.StructType([*joined.select(inside).schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
     out = joined.mapInArrow(run, schema)
-    return out.toDF(*names, "n_lines", "n_removed")
+    return out.toDF(*names, *counts)

@@ -27,7 +27,7 @@ PER_CLASS = 2000
 BASE_BYTES = 6_000
 TOXIC_BYTES = 2_000
 #: zstandard stores the literals of so short a window as they are, which makes a matched word stand out.
-WINDOW_BYTES = 36
+WINDOW_BYTES = 24
 #: A word enters the toxic dictionary if this share of toxic texts holds it, and so many times the share of ordinary ones.
 MIN_SHARE, MIN_LIFT = 0.05, 8.0
 LEVEL = 6
@@ -80,12 +80,12 @@ def tools(model: dict) -> tuple[zstd.ZstdCompressor, zstd.ZstdCompressor]:
 
 
 def features(texts: list[bytes], ordinary: zstd.ZstdCompressor, toxic: zstd.ZstdCompressor) -> np.ndarray:
-    """For each text: the largest window gain, the mean gain, and the logged number of windows that gain 3 bytes and 5 bytes."""
+    """For each text: the largest window gain, the logged mean of what windows gain beyond a byte, and the share of windows that gain 3 bytes and 5 bytes."""
     out = np.zeros((len(texts), 4))
     for k, text in enumerate(texts):
         pieces = [b" " + p + FILL for p in cut_at_spaces(text, WINDOW_BYTES)]
         gain = np.array([len(ordinary.compress(p)) - len(toxic.compress(p)) for p in pieces], float)
-        out[k] = max(gain.max(), 0), np.maximum(gain, 0).mean(), math.log1p((gain >= 3).sum()), math.log1p((gain >= 5).sum())
+        out[k] = max(gain.max(), 0), math.log1p(50 * np.maximum(gain - 1, 0).mean()), (gain >= 3).mean(), (gain >= 5).mean()
     return out
 
 
