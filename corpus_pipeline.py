@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campuslake.llm.common import cut, shared_dir
+from campuslake.llm.common import cut, positional, shared_dir
 from campuslake.llm.language_id import UNKNOWN, identify, learn
 from campuslake.llm.line_dedup import line_dedup
 from campuslake.llm.near_dedup import near_dedup
@@ -22,35 +22,48 @@ from campuslake.llm.packing import pack
 from campuslake.llm.quality_rules import quality_rules
 
 
+def named(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list[str]]:
+    """docs with positional names, the position of each name, and all positions: extra columns may have any name."""
+    rows, inside = positional(docs)
+    return rows, dict(zip(docs.columns, inside)), inside
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base test and that the rules together find good."""
-    names = docs.columns
-    kept = quality_rules(docs, carry=names).where("kept")
-    return kept.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
+    rows, at, inside = named(docs)
+    return quality_rules(rows, at["doc_id"], at["text"], carry=inside).where("kept").select(inside).toDF(*docs.columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a recognised language; lang becomes what was recognised."""
-    others = [c for c in docs.columns if c not in ("doc_id", "lang")]
-    found = identify(docs, learn(docs), carry=others).where(~F.col("rejected") & (F.col("lang_pred") != UNKNOWN))
-    return found.withColumn("lang", F.col("lang_pred")).select(docs.columns)
+    rows, at, inside = named(docs)
+    model = learn(rows, at["doc_id"], at["text"], at["lang"])
+    # the columns kept come back as c0, c1, ... in the order asked for: all of them, as they are named already
+    found = identify(rows.withColumn("id", F.col(at["doc_id"])), model, "id", at["text"], carry=inside)
+    kept = found.where(~F.col("rejected") & (F.col("lang_pred") != UNKNOWN)).withColumn(at["lang"], F.col("lang_pred"))
+    return kept.select(inside).toDF(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less later copies of line runs; a document of which nothing is left goes."""
-    left = line_dedup(docs).where((F.col("n_removed") == 0) | (F.col("n_lines") > F.col("n_removed")))
-    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    rows, at, inside = named(docs)
+    out = line_dedup(rows, id_col=at["doc_id"], text_col=at["text"]).where((F.col("n_removed") == 0) | (F.col("n_lines") > F.col("n_removed")))
+    if "n_chars" in at:
+        out = out.withColumn(at["n_chars"], F.length(at["text"]).cast(docs.schema["n_chars"].dataType))
+    return out.select(inside).toDF(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    rows = cut(docs.withColumn("row_number", F.monotonically_increasing_id()), "rows")
-    gone = near_dedup(rows, row_col="row_number").where("not first").select("row_number")
-    return rows.join(gone, "row_number", "left_anti").select(docs.columns)
+    rows, at, inside = named(docs)
+    rows = cut(rows.withColumn("u", F.monotonically_increasing_id()), "rows")
+    gone = near_dedup(rows, at["doc_id"], at["text"], row_col="u").where("not first").select("u")
+    return rows.join(gone, "u", "left_anti").select(inside).toDF(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents' token windows."""
+    docs = docs.select("doc_id", "text")
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
