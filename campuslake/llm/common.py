@@ -34,8 +34,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 
 def positional(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """docs with its columns named c0, c1, ..., so that no name of a caller's clashes with ours; and these names."""
-    inside = [f"c{k}" for k in range(len(docs.columns))]
+    """docs with its columns named p0, p1, ..., so that no name of a caller's clashes with ours; and these names."""
+    inside = [f"p{k}" for k in range(len(docs.columns))]
     return docs.toDF(*inside), inside
 
 
