@@ -28,20 +28,25 @@ def named(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list[str]]:
     return rows, dict(zip(docs.columns, inside)), inside
 
 
+def carried(inside: list[str]) -> list[str]:
+    """What operators call the columns that they carry."""
+    return [f"c{k}" for k in range(len(inside))]
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base test and that the rules together find good."""
     rows, at, inside = named(docs)
-    return quality_rules(rows, at["doc_id"], at["text"], carry=inside).where("kept").select(inside).toDF(*docs.columns)
+    return quality_rules(rows, at["doc_id"], at["text"], carry=inside).where("kept").select(carried(inside)).toDF(*docs.columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a recognised language; lang becomes what was recognised."""
     rows, at, inside = named(docs)
     model = learn(rows, at["doc_id"], at["text"], at["lang"])
-    # the columns kept come back as c0, c1, ... in the order asked for: all of them, as they are named already
-    found = identify(rows.withColumn("id", F.col(at["doc_id"])), model, "id", at["text"], carry=inside)
-    kept = found.where(~F.col("rejected") & (F.col("lang_pred") != UNKNOWN)).withColumn(at["lang"], F.col("lang_pred"))
-    return kept.select(inside).toDF(*docs.columns)
+    found = identify(rows, model, at["doc_id"], at["text"], carry=inside)
+    kept = found.where(~F.col("rejected") & (F.col("lang_pred") != UNKNOWN))
+    columns = dict(zip(inside, carried(inside))) | {at["lang"]: "lang_pred"}
+    return kept.select(*columns.values()).toDF(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
