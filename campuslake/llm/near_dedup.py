@@ -42,7 +42,7 @@ HOT = 256
 PERCENT = 75
 SLACK = 6.0
 #: Members of a list that meet in one call; longer lists are dealt into blocks, and each pair of blocks is a call.
-BLOCK = 4096
+BLOCK = 2048
 PAD = np.uint64(2**64 - 1)
 
 
