@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 from tokenizers import Tokenizer
 
-from .common import cut, plain, slices, words
+from .common import cut, plain, slices, text_bytes, words
 
 WINDOW = 2048
 END_ID = 1
@@ -39,6 +39,8 @@ NNLS_ROUNDS = 400
 #: Counts of rows by part and length that are broadcast (24 bytes each); more are joined by a shuffle.
 BROADCAST_CELLS = 1_000_000
 MEMO_WORDS = 400_000
+#: Text bytes that a task encodes at a time: the more, the fewer words it meets anew.
+SLICE = 12 << 20
 PLAIN_WORD = re.compile(r"[a-zß-öø-ÿ]+")
 
 
@@ -48,68 +50,80 @@ PLAIN_WORD = re.compile(r"[a-zß-öø-ÿ]+")
 class Encoder:
     """Ids by the tokenizers library, word by word.
 
-    The vocabulary drops white space and its words never reach across it, so a
-    text's ids are those of its words in order. New words that are letters only
-    go through the library many at a time, parted by their end-of-word tokens.
+    The vocabulary drops white space and its words never reach across it, nor from
+    a letter into punctuation, so a text's ids are those of its words in order,
+    with the punctuation after a letter as a word of its own. New words that are
+    letters only go through the library many at a time, parted by their
+    end-of-word tokens.
     """
 
     def __init__(self, path: str, memo_words: int = MEMO_WORDS):
-        self.tool, self.most, self.memo = tokenizer(path), memo_words, {}
+        self.tool, self.most = tokenizer(path), memo_words
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         suffix = spec["model"].get("end_of_word_suffix")
         self.ends = np.zeros(max(self.tool.get_vocab().values()) + 1, bool)
         if suffix:
             self.ends[[v for k, v in spec["model"]["vocab"].items() if k.endswith(suffix)]] = True
-        self.special = [x["content"].encode() for x in spec["added_tokens"]]
+        self.forget()
+
+    def forget(self) -> None:
+        self.row, self.flat, self.size = {}, [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tool.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.tool.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def keep(self, found: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        self.row.update(zip(found, range(len(self.row), len(self.row) + len(found))))
+        self.flat.append(ids)
+        self.size.append(size)
 
     def learn(self, new: list[str]) -> None:
-        easy = [w for w in new if PLAIN_WORD.fullmatch(w)]
-        rest = [w for w in new if not PLAIN_WORD.fullmatch(w)]
+        easy, rest = [], []
+        for w in new:
+            (easy if w.isascii() and w.isalpha() and w.islower() or PLAIN_WORD.fullmatch(w) else rest).append(w)
         for k in range(0, len(easy), 2000):
             part = easy[k : k + 2000]
             ids = np.array(self.encode([" ".join(part)])[0], np.uint16)
             stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(part):
-                rest += part
-                continue
-            self.memo.update(zip(part, np.split(ids, stops[:-1])))
-        # a word that ends in punctuation is its letters' ids and the punctuation's
-        hard = []
-        for w in rest:
-            stem = w.rstrip(".,;:!?")
-            head, tail = self.memo.get(stem), self.memo.get(w[len(stem) :])
-            if stem != w and head is not None and tail is not None and PLAIN_WORD.fullmatch(stem):
-                self.memo[w] = np.concatenate([head, tail])
+            if len(stops) == len(part):
+                self.keep(part, ids, np.diff(stops, prepend=0))
             else:
-                hard.append(w)
-        self.memo.update((w, np.array(x, np.uint16)) for w, x in zip(hard, self.encode(hard)))
+                rest += part
+        if rest:
+            ids = self.encode(rest)
+            self.keep(rest, np.array([i for x in ids for i in x], np.uint16), np.array([len(x) for x in ids], np.int64))
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text begins."""
         special = bool(pc.any(pc.match_substring(texts, "<|")).as_py())
-        codes, starts, known = words(texts if special else pc.ascii_lower(texts))
+        codes, starts, known = words(apart(texts if special else pc.ascii_lower(texts)))
         known = known.to_pylist()
-        if len(self.memo) + len(known) > self.most:
-            self.memo = {}
-        new = [w for w in known if w not in self.memo]
-        stems = {w.rstrip(".,;:!?") for w in new}
-        stems |= {w[len(w.rstrip(".,;:!?")) :] for w in new}
-        first = [w for w in stems if w and w not in self.memo]
-        self.learn(first)
-        self.learn([w for w in new if w not in self.memo])
-        found = [self.memo[w] for w in known]
-        size = np.array([len(x) for x in found], np.int64)
-        data = np.concatenate(found) if found else np.zeros(0, np.uint16)
-        at = np.cumsum(size) - size
-        many = size[codes]
+        if len(self.row) + len(known) > self.most:
+            self.forget()
+        self.learn([w for w in known if w not in self.row])
+        self.flat, self.size = [np.concatenate(self.flat)], [np.concatenate(self.size)]
+        rows = np.fromiter(map(self.row.__getitem__, known), np.int64, len(known))
+        at = (np.cumsum(self.size[0]) - self.size[0])[rows]
+        many = self.size[0][rows][codes]
         total = np.zeros(len(codes) + 1, np.int64)
         np.cumsum(many, out=total[1:])
-        where = np.repeat(at[codes] - total[:-1], many) + np.arange(total[-1])
-        return data[where], total[starts]
+        where = np.repeat(at[codes] - total[:-1], many)
+        where += np.arange(total[-1])
+        return self.flat[0][where], total[starts]
+
+
+LETTER, MARK = np.zeros(256, bool), np.zeros(256, bool)
+LETTER[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
+MARK[list(b".,;:!?")] = True
+
+
+def apart(texts: pa.Array) -> pa.Array:
+    """The texts with a space between each ASCII letter and punctuation after it."""
+    data, ends = text_bytes(texts)
+    at = np.flatnonzero(LETTER[data[:-1]] & MARK[data[1:]]) + 1 if len(data) else np.zeros(0, np.int64)
+    ends = ends + np.searchsorted(at, ends, "left")
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.insert(data, at, 32)))
 
 
 @cache
@@ -128,7 +142,7 @@ def token_rows(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     def run(batches):
         encode, part = Encoder(path), TaskContext.get().partitionId()
         seen, full = np.zeros(window, np.int64), 0
-        for piece in slices(batches, "t"):
+        for piece in slices(batches, "t", SLICE):
             ids, starts = encode(plain(piece["t"]))
             count = len(starts) - 1
             data = np.insert(ids, starts[1:], END_ID).astype("<u2")
