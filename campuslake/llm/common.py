@@ -33,6 +33,22 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key counts as hot if it has more than one row in so many; there are as many hot keys at most.
+HOT_SHARE = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], total: int, n: str = "n") -> DataFrame:
+    """rows joined to groups (one row for each of the keys, with n rows of rows) without gathering a hot key's rows in one task.
+
+    total bounds the number of rows. The groups of hot keys are HOT_SHARE at most,
+    so they are broadcast and their rows stay where they are; all others are
+    joined by a shuffle.
+    """
+    hot = groups.where(F.col(n) > max(total // HOT_SHARE, 1))
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(groups.where(F.col(n) <= max(total // HOT_SHARE, 1)), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(rest).drop(n)
+
+
 def positional(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     """docs with its columns named p0, p1, ..., so that no name of a caller's clashes with ours; and these names."""
     inside = [f"p{k}" for k in range(len(docs.columns))]

@@ -24,13 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from .common import cut, per_text, plain, positional, slices, split_flat, words
+from .common import cut, join_groups, per_text, plain, positional, slices, split_flat, words
 
 MIN_WORDS = 50
 
-LINES = "u long, d long, p long, w int, forth int, back int, a long, b long"
-
-
 def shortest_runs(size: np.ndarray, starts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """For each line, how many lines from it onward (and up to it) hold `least` words within its document; 0 if too few are left."""
     before = np.zeros(len(size) + 1, np.int64)
@@ -70,22 +67,30 @@ def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
     return rows.select("u", "d", "p", "w", "forth", "back", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"))
 
 
-def classes(lines: DataFrame, min_words: int) -> list[DataFrame]:
+def repeated(lines: DataFrame, min_words: int) -> DataFrame:
+    """(u, p, d, name, forth, back): lines that are repeated, named by their first copy, in stretches of repeated lines of min_words words or more.
+
+    A shortest run that reaches beyond its stretch holds a line that is found
+    nowhere else, and is left out (0).
+    """
+    groups = lines.groupBy("a", "b").agg(F.min(F.struct("d", "u", "p")).alias("name"), F.count("*").alias("n")).where("n > 1")
+    active = join_groups(lines, groups, ["a", "b"], lines.count()).select("u", "d", "p", "w", "name", "forth", "back")
+    active = active.withColumn("stretch", F.col("p") - F.row_number().over(W.partitionBy("u").orderBy("p")))
+    whole = W.partitionBy("u", "stretch")
+    active = active.withColumns({"held": F.sum("w").over(whole), "low": F.min("p").over(whole), "high": F.max("p").over(whole)}).where(F.col("held") >= min_words)
+    inside = {"forth": F.col("p") + F.col("forth") - 1 <= F.col("high"), "back": F.col("p") - F.col("back") + 1 >= F.col("low")}
+    return active.select("u", "d", "p", "name", *[F.when(fits, F.col(c)).otherwise(0).alias(c) for c, fits in inside.items()])
+
+
+def classes(first: DataFrame, min_words: int) -> list[DataFrame]:
     """Tables (u, p, d, name, k): positions whose class of depth 2^k has several members, and its first member (d, u, p)."""
     me = F.struct("d", "u", "p")
-    groups = lines.groupBy("a", "b").agg(F.min(me).alias("name"), F.count("*").alias("n")).where("n > 1").drop("n")
-    active = lines.join(groups, ["a", "b"]).select("u", "d", "p", "w", "name")
-    # a stretch of repeated lines that holds too few words has no run
-    order = W.partitionBy("u").orderBy("p")
-    active = active.withColumn("stretch", F.col("p") - F.row_number().over(order))
-    active = active.withColumn("held", F.sum("w").over(W.partitionBy("u", "stretch"))).where(F.col("held") >= min_words)
-    active = cut(active.select("u", "d", "p", "name"), "classes")
-    out, h = [active.withColumn("k", F.lit(0))], 1
+    active, out, h = first.select("u", "d", "p", "name"), [first.select("u", "d", "p", "name", F.lit(0).alias("k"))], 1
     while 2 * h <= min_words:
         ahead = F.first("name").over(W.partitionBy("u").orderBy("p").rangeBetween(h, h))
         pairs = active.withColumn("next", ahead).where(F.col("next").isNotNull())
-        groups = pairs.groupBy("name", "next").agg(F.min(me).alias("new"), F.count("*").alias("n")).where("n > 1").drop("n")
-        active = cut(pairs.join(groups, ["name", "next"]).select("u", "d", "p", F.col("new").alias("name")), "classes")
+        groups = pairs.groupBy("name", "next").agg(F.min(me).alias("new"), F.count("*").alias("n")).where("n > 1")
+        active = cut(join_groups(pairs, groups, ["name", "next"], active.count()).select("u", "d", "p", F.col("new").alias("name")), "classes")
         if active.isEmpty():
             break
         out.append(active.withColumn("k", F.lit(len(out))))
@@ -95,22 +100,21 @@ def classes(lines: DataFrame, min_words: int) -> list[DataFrame]:
 
 def later_copies(lines: DataFrame, min_words: int) -> DataFrame:
     """(u, p, n): the runs of n lines from line p that also begin earlier, as far as shortest runs go."""
-    levels = classes(lines, min_words)
+    first = cut(repeated(lines, min_words), "repeated")
+    levels = classes(first, min_words)
     named = levels[0]
     for level in levels[1:]:
         named = named.unionByName(level)
-    forth = lines.where("forth > 0").select("u", "d", "p", F.col("forth").alias("n"))
-    back = lines.where("back > 0").select("u", "d", (F.col("p") - F.col("back") + 1).alias("p"), F.col("back").alias("n"))
-    # only documents with a stretch of repeated lines come into question
-    some = levels[0].select("u").distinct()
-    runs = forth.unionByName(back).join(some, "u", "left_semi").distinct()
+    forth = first.where("forth > 0").select("u", "d", "p", F.col("forth").alias("n"))
+    back = first.where("back > 0").select("u", "d", (F.col("p") - F.col("back") + 1).alias("p"), F.col("back").alias("n"))
+    runs = forth.unionByName(back).distinct()
     runs = runs.withColumn("k", F.length(F.bin(F.col("n").cast("long"))) - 1)
     runs = runs.withColumn("q", F.col("p") + F.col("n") - F.expr("shiftleft(1, k)"))
     runs = runs.join(named.select("u", "p", "k", F.col("name").alias("x")), ["u", "p", "k"])
     runs = runs.join(named.select("u", F.col("p").alias("q"), "k", F.col("name").alias("y")), ["u", "q", "k"])
-    runs = runs.select("u", "d", "p", "n", "x", "y")
-    first = runs.groupBy("n", "x", "y").agg(F.min(F.struct("d", "u", "p")).alias("first"), F.count("*").alias("many")).where("many > 1").drop("many")
-    return runs.join(first, ["n", "x", "y"]).where(F.struct("d", "u", "p") != F.col("first")).select("u", "p", "n")
+    runs = cut(runs.select("u", "d", "p", "n", "x", "y"), "runs")
+    heads = runs.groupBy("n", "x", "y").agg(F.min(F.struct("d", "u", "p")).alias("first"), F.count("*").alias("many")).where("many > 1")
+    return join_groups(runs, heads, ["n", "x", "y"], runs.count(), "many").where(F.struct("d", "u", "p") != F.col("first")).select("u", "p", "n")
 
 
 def without(text: str, runs: list[tuple[int, int]]) -> tuple[str, int, int]:
