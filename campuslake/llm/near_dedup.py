@@ -7,17 +7,18 @@ that may reach the bound are confirmed on the full sets.
 
 How no link is lost: of the smallest hashes of a union each is shared with
 probability 0.75 or more, so two linked documents have one in common among the
-first 24 but for less than 0.25 ** 24. A value in more than HOT lists' worth of
-documents (a passage that many documents hold) is passed over in favour of the
-next ones, unless such values make up more than 3/8 of a document's sketch;
-otherwise at least 0.6 of the remaining values are shared, and all 24 miss with
-probability 0.4 ** 24. Documents that are mostly such passages also enter the
-lists of hot values. The estimate is held against the bound less six standard
-deviations.
-
-How groups of copies stay cheap: equal sets become one node; a first round links
-each member of a list to one other member only and confirms those links; the
-second round looks at pairs from different components alone.
+first INDEXED but for less than 0.25 ** 16. A value in more than HOT documents (a
+passage that many documents hold) is passed over in favour of the next ones,
+unless such values make up more than 3/8 of the first COUNTED ones; otherwise at
+least 0.6 of the remaining values are shared, and all miss with probability
+0.4 ** 16. Documents that are mostly such passages also enter the lists of hot
+values. The estimate is held against the bound less SLACK standard deviations; for
+sets of up to POOL shingles it is no estimate but the similarity itself.
+
+How groups of copies stay cheap: equal sets become one node. In the first rounds
+each member of a list is tried with one member of another component only, the
+links are confirmed, and components grow; the last round looks at all pairs that
+are still in different components.
 """
 
 from __future__ import annotations
@@ -35,15 +36,22 @@ from .common import cut, mix, plain, slices, windows, words
 from .components import components
 
 SHINGLE = 5
-POOL = 64
-INDEXED = 24
+POOL = 96
+COUNTED = 48
+INDEXED = 16
 HOT = 256
 #: The bound: 100 * intersection >= PERCENT * union.
 PERCENT = 75
-SLACK = 6.0
+SLACK = 5.5
 #: Members of a list that meet in one call; longer lists are dealt into blocks, and each pair of blocks is a call.
 BLOCK = 2048
 PAD = np.uint64(2**64 - 1)
+#: Sketches travel as the upper halves of their hashes: equal halves of unequal hashes only let a pair pass that the full sets then judge.
+HALF = np.uint32(2**32 - 1)
+#: Rounds that try one pair for each member of a list.
+ROUNDS = 3
+#: Rows of a side that is broadcast (16 bytes each); larger sides are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 # ---------------------------------------------------------------- sets and sketches
@@ -111,26 +119,37 @@ def full_sets(docs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- inverted lists
 
 
-def postings(nodes: DataFrame) -> DataFrame:
-    """(u, v): each node in the lists of the hashes that it is indexed by, for lists of two nodes or more."""
+def postings(sketched: DataFrame) -> DataFrame:
+    """(u, v, mostly): each node in the lists of the hashes that it is indexed by, for lists of two nodes or more; mostly: hot values make up much of it."""
 
     def run(batches):
         for batch in batches:
-            pools = [np.frombuffer(p, np.uint64) for p in batch.column("pool").to_pylist()]
+            pools = [np.frombuffer(p, np.uint64)[:COUNTED] for p in batch.column("pool").to_pylist()]
             size = np.array([len(p) for p in pools], np.int64)
             rank = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             v = np.concatenate(pools).view(np.int64) if pools else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(batch.column("u")), size)), pa.array(v), pa.array(rank, pa.int32()), pa.array(np.repeat(size, size), pa.int32())], ["u", "v", "r", "size"])
 
-    every = nodes.select("u", "pool").mapInArrow(run, "u long, v long, r int, size int")
+    every = sketched.select("u", "pool").mapInArrow(run, "u long, v long, r int, size int")
     lists = every.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
     found = every.join(lists, "v").withColumn("hot", F.col("c") > HOT)
     mine = W.partitionBy("u")
     found = found.withColumn("hots", F.sum(F.col("hot").cast("int")).over(mine))
     found = found.withColumn("before", F.sum(F.col("hot").cast("int")).over(mine.orderBy("r").rowsBetween(W.unboundedPreceding, 0)))
-    mostly = F.col("hots") * 8 > F.col("size") * 3
-    chosen = found.where((~F.col("hot") & (F.col("r") - F.col("before") < INDEXED)) | (mostly & (F.col("r") < INDEXED)))
-    return chosen.select("u", "v")
+    found = found.withColumn("mostly", F.col("hots") * 8 > F.col("size") * 3)
+    chosen = found.where((~F.col("hot") & (F.col("r") - F.col("before") < INDEXED)) | (F.col("mostly") & (F.col("r") < INDEXED)))
+    return chosen.select("u", "v", "mostly")
+
+
+def halves(sketched: DataFrame) -> DataFrame:
+    """(u, n, pool) with the upper halves of the pool's hashes."""
+
+    def run(batches):
+        for batch in batches:
+            pools = [(np.frombuffer(p, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for p in batch.column("pool").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("n"), pa.array(pools, pa.binary())], ["u", "n", "pool"])
+
+    return sketched.select("u", "n", "pool").mapInArrow(run, "u long, n long, pool binary")
 
 
 def likely(pools: np.ndarray, size: np.ndarray, full: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -139,9 +158,9 @@ def likely(pools: np.ndarray, size: np.ndarray, full: np.ndarray, i: np.ndarray,
     for k in range(0, len(i), 20_000):
         a, b = i[k : k + 20_000], j[k : k + 20_000]
         both = np.sort(np.concatenate([pools[a], pools[b]], 1), 1)
-        top = [np.where(full[x], PAD - np.uint64(1), pools[x, np.maximum(size[x] - 1, 0)]) for x in (a, b)]
+        top = [np.where(full[x], HALF - np.uint32(1), pools[x, np.maximum(size[x] - 1, 0)]) for x in (a, b)]
         border = np.minimum(*top)[:, None]
-        shared = ((both[:, 1:] == both[:, :-1]) & (both[:, 1:] != PAD)).sum(1)
+        shared = ((both[:, 1:] == both[:, :-1]) & (both[:, 1:] != HALF)).sum(1)
         union = (both <= border).sum(1) - shared
         exact = full[a] & full[b]
         need = PERCENT / 100 * union - np.where(exact, 1e-9, SLACK * np.sqrt(union * 0.1875))
@@ -155,36 +174,39 @@ def shared_counts(pools: np.ndarray) -> np.ndarray:
     out = np.zeros((m, m), np.float32)
     flat = pools.ravel()
     rows = np.repeat(np.arange(m), pools.shape[1])
-    order = np.lexsort((rows, flat))
+    order = np.argsort(flat, kind="stable")
     flat, rows = flat[order], rows[order]
     first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
     count = np.diff(np.r_[first, len(flat)])
-    use = (count > 1) & (flat[first] != PAD)
-    for a, c in zip(first[use & (count <= 16)], count[use & (count <= 16)]):
-        mine = rows[a : a + c]
-        out[mine[:, None], mine] += 1
-    wide = np.flatnonzero(use & (count > 16))
+    use = (count > 1) & (flat[first] != HALF)
+    for c in np.unique(count[use & (count <= 12)]):  # short runs, all of one length at a time
+        at = rows[first[use & (count == c)][:, None] + np.arange(c)]
+        for x in range(c):
+            for y in range(c):
+                if x != y:
+                    np.add.at(out, (at[:, x], at[:, y]), 1)
+    wide = np.flatnonzero(use & (count > 12))
     for k in range(0, len(wide), 1024):
         part = wide[k : k + 1024]
         x = np.zeros((m, len(part)), np.float32)
         for col, g in enumerate(part):
             x[rows[first[g] : first[g] + count[g]], col] = 1
         out += x @ x.T
+    np.fill_diagonal(out, 0)
     return out
 
 
-def pairs_of_list(u: np.ndarray, label: np.ndarray, n: np.ndarray, pools: np.ndarray, size: np.ndarray, side: np.ndarray, few: bool) -> tuple[np.ndarray, np.ndarray]:
+def pairs_of_list(v: int, u: np.ndarray, label: np.ndarray, n: np.ndarray, mostly: np.ndarray, pools: np.ndarray, size: np.ndarray, side: np.ndarray, few: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one list that may be linked: from different components and, for two blocks, from different sides.
 
-    few: each member is tried with the list's first member, and if that fails
-    with the member that it shares the most hashes with; no others.
+    few: each member is tried with one member only, the list's first or else the
+    one of another component that it shares the most hashes with.
     """
     m, full = len(u), n <= POOL
     fits = lambda i, j: (label[i] != label[j]) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
     none = np.zeros(0, np.int64)
     if m < 2 or (label == label[0]).all():
         return none, none
-    two = side.any() and not side.all()
     if few:
         hub = int(np.argmin(u))
         i = np.flatnonzero(np.arange(m) != hub)
@@ -194,9 +216,9 @@ def pairs_of_list(u: np.ndarray, label: np.ndarray, n: np.ndarray, pools: np.nda
         rest = i[~good]
         i, j = i[good], j[good]
         if len(rest) and m > 2:
-            counts = shared_counts(pools)
-            counts[:, hub] = -1
-            np.fill_diagonal(counts, -1)
+            counts = shared_counts(pools[:, :COUNTED])
+            counts[label[:, None] == label[None, :]] = -1
+            counts[100 * np.minimum(n[:, None], n[None, :]) < PERCENT * np.maximum(n[:, None], n[None, :])] = -1
             best = counts[rest].argmax(1)
             ok = fits(rest, best)
             ok[ok] = likely(pools, size, full, rest[ok], best[ok])
@@ -205,36 +227,40 @@ def pairs_of_list(u: np.ndarray, label: np.ndarray, n: np.ndarray, pools: np.nda
     if m <= 48:
         i, j = np.triu_indices(m, 1)
     else:
-        counts = shared_counts(pools)
-        i, j = np.nonzero(np.triu(counts, 1) >= 0.2 * np.minimum(size[:, None], size[None, :]))
+        counts = shared_counts(pools[:, :COUNTED])
+        i, j = np.nonzero(np.triu(counts, 1) >= 0.2 * np.minimum(size[:, None], size[None, :]).clip(max=COUNTED))
     keep = fits(i, j)
-    if two:
+    if side.any() and not side.all():
         keep &= side[i] != side[j]
     i, j = i[keep], j[keep]
+    if mostly.all() and m > 48:  # such members are in the lists of all their first values: a pair is looked at in its first list
+        early = np.where(pools[:, :INDEXED] < np.uint32((v & (2**64 - 1)) >> 32), pools[:, :INDEXED], HALF)
+        once = shared_counts(early)[i, j] == 0
+        i, j = i[once], j[once]
     good = likely(pools, size, full, i, j)
     return i[good], j[good]
 
 
 def candidates(lists: DataFrame, few: bool) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of lists (v, x, y, side, u, label, n, pool)."""
+    """Distinct pairs (a, b), a < b, of lists (v, x, y, side, u, label, n, mostly, pool)."""
 
     def run(batches):
         held: list[pa.Table] = []
 
         def pairs(t: pa.Table):
             t = t.combine_chunks()
-            key = [np.asarray(t[c].combine_chunks()) for c in ("v", "x", "y")]
-            change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], 0)) + 1
-            edge = np.r_[0, change, t.num_rows]
+            v, x, y = (np.asarray(t[c].combine_chunks()) for c in ("v", "x", "y"))
+            edge = np.r_[0, np.flatnonzero((v[1:] != v[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1, t.num_rows]
             u, label, n, side = (np.asarray(t[c].combine_chunks()) for c in ("u", "label", "n", "side"))
+            mostly = t["mostly"].to_numpy()
             raw = t["pool"].to_pylist()
-            size = np.array([len(p) // 8 for p in raw])
-            pools = np.full((len(raw), POOL), PAD)
+            size = np.array([len(p) // 4 for p in raw])
+            pools = np.full((len(raw), POOL), HALF)
             for k, p in enumerate(raw):
-                pools[k, : size[k]] = np.frombuffer(p, np.uint64)
+                pools[k, : size[k]] = np.frombuffer(p, np.uint32)
             found = []
             for a, b in zip(edge[:-1], edge[1:]):
-                i, j = pairs_of_list(u[a:b], label[a:b], n[a:b], pools[a:b], size[a:b], side[a:b] > 0, few)
+                i, j = pairs_of_list(int(v[a]), u[a:b], label[a:b], n[a:b], mostly[a:b], pools[a:b], size[a:b], side[a:b] > 0, few)
                 if len(i):
                     p, q = u[a:b][i], u[a:b][j]
                     found.append(np.stack([np.minimum(p, q), np.maximum(p, q)], 1))
@@ -265,16 +291,21 @@ def candidates(lists: DataFrame, few: bool) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def in_blocks(active: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Lists with what their members are judged by; lists over BLOCK go out as pairs of blocks."""
+def in_blocks(active: DataFrame, pools: DataFrame) -> DataFrame:
+    """Lists of members of several components, with what members are judged by; lists over BLOCK go out as pairs of blocks."""
     of = active.groupBy("v").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"))
     of = of.where("m > 1 and low <> high").select("v", F.ceil(F.col("m") / BLOCK).alias("blocks"))
     lists = active.join(of, "v")
     mine = F.pmod(F.xxhash64("u"), F.col("blocks"))
     others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     lists = lists.withColumn("mine", mine).withColumn("other", F.explode(others))
-    lists = lists.select("v", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "u", "label")
-    return lists.join(nodes.select("u", "n", "pool"), "u")
+    lists = lists.select("v", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "u", "label", "mostly")
+    return lists.join(pools, "u")
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, broadcast if it is within BROADCAST_ROWS."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -314,22 +345,32 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     text = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"), *([F.col(row_col).alias("u")] if row_col else []))
     base = cut(sketches(text), "sketches")
-    same = base.where("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("u", "d", "h", "pool")).alias("x"), F.min("d").alias("least"))
-    nodes = cut(same.select("s1", "s2", "n", "least", "x.*"), "nodes")
-    active = cut(postings(nodes), "postings")
-
-    wanted = nodes.join(active.select("u").distinct(), "u", "left_semi").select("u", "d", "h")
-    same_row = F.col("t.u") == F.col("w.u") if row_col else F.col("t.h").eqNullSafe(F.col("w.h")) & F.col("t.d").eqNullSafe(F.col("w.d"))
-    found = text.alias("t").join(wanted.alias("w"), same_row).select("w.u", "t.t")
-    sets = cut(full_sets(found.groupBy("u").agg(F.min("t").alias("t"))), "sets")
-
-    few = candidates(in_blocks(active.withColumn("label", F.col("u")), nodes), few=True)
-    links = cut(confirmed(few, sets), "confirmed")
-    labels = cut(components(links), "labels")
-    known = active.join(labels.withColumnRenamed("node", "u"), "u", "left").withColumn("label", F.coalesce("label", "u"))
-    rest = candidates(in_blocks(known, nodes), few=False)
-    more = confirmed(rest, sets)
-    labels = components(links.unionByName(more))
+    nodes = base.where("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("u", "d", "h")).alias("x"), F.min("d").alias("least"))
+    nodes = cut(nodes.select("s1", "s2", "n", "least", "x.*"), "nodes")
+    sketched = base.join(nodes.select("u"), "u", "left_semi")
+    active = cut(postings(sketched), "postings")
+    members = cut(active.select("u").distinct(), "members")
+    pools = cut(halves(base.join(small(members), "u", "left_semi")), "pools")
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        """The pairs confirmed on full sets, which are made anew from the texts of these documents alone."""
+        ends = cut(pairs.select(F.col("a").alias("u")).unionByName(pairs.select(F.col("b").alias("u"))).distinct().join(nodes.select("u", "d", "h"), "u"), "ends")
+        same_row = F.col("t.u") == F.col("w.u") if row_col else F.col("t.h").eqNullSafe(F.col("w.h")) & F.col("t.d").eqNullSafe(F.col("w.d"))
+        found = text.alias("t").join(small(ends).alias("w"), same_row).select("w.u", "t.t")
+        sets = cut(full_sets(found.groupBy("u").agg(F.min("t").alias("t"))), "sets")
+        return cut(confirmed(pairs, sets), "confirmed")
+
+    known, links = active.withColumn("label", F.col("u")), None
+    few, turn = True, 0
+    while True:
+        more = links_of(cut(candidates(in_blocks(known, pools), few), "pairs"))
+        links = more if links is None else links.unionByName(more)
+        labels = cut(components(links), "labels")
+        if not few:
+            break
+        known = active.join(labels.withColumnRenamed("node", "u"), "u", "left").withColumn("label", F.coalesce("label", "u"))
+        turn += 1
+        few = turn < ROUNDS and not more.isEmpty()
 
     of = nodes.join(labels.withColumnRenamed("node", "u"), "u", "left").withColumn("label", F.coalesce("label", "u"))
     least = of.groupBy("label").agg(F.min("least").alias("component_id"), F.min(F.struct("d", "u")).alias("head"))

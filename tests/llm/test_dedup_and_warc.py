@@ -66,7 +66,7 @@ def corpus(seed):
     return out
 
 
-@pytest.mark.parametrize(("hot", "block"), [(256, 4096), (6, 4096), (6, 9)])
+@pytest.mark.parametrize(("hot", "block"), [(256, 2048), (6, 2048), (6, 9)])
 def test_components_against_brute_force(spark, monkeypatch, hot, block):
     # HOT and BLOCK are read on the driver alone
     monkeypatch.setattr(near_dedup, "HOT", hot)
