@@ -36,7 +36,7 @@ from .common import cut, mix, plain, slices, windows, words
 from .components import components
 
 SHINGLE = 5
-POOL = 96
+POOL = 256
 COUNTED = 48
 INDEXED = 16
 HOT = 256
@@ -228,7 +228,7 @@ def pairs_of_list(v: int, u: np.ndarray, label: np.ndarray, n: np.ndarray, mostl
         i, j = np.triu_indices(m, 1)
     else:
         counts = shared_counts(pools[:, :COUNTED])
-        i, j = np.nonzero(np.triu(counts, 1) >= 0.2 * np.minimum(size[:, None], size[None, :]).clip(max=COUNTED))
+        i, j = np.nonzero(np.triu(counts, 1) >= 0.38 * np.minimum(size[:, None], size[None, :]).clip(max=COUNTED))
     keep = fits(i, j)
     if side.any() and not side.all():
         keep &= side[i] != side[j]
