@@ -1,15 +1,20 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries share a base of ordinary text; the toxic one also
-holds the passages that tell toxic training texts from ordinary ones. A window
-that the toxic dictionary compresses better than the ordinary one counts as
-toxic evidence; a logistic calibration on the training rows turns the evidence
-of all windows of a text into a probability.
+Two zstandard dictionaries are cut from the training texts. Both begin with whole
+lines of ordinary texts. The toxic one ends with passages of toxic texts around
+words that tell them from ordinary ones; the ordinary one ends with the same
+passages, in which ordinary words of the same length stand in for the telling
+ones, so that the surroundings cost the same under both. What a window saves
+under the toxic dictionary is its gain. A text is judged by its best stretch of
+STRETCH windows, so that evidence neither shrinks nor adds up with the length of
+what stands around it; a logistic calibration makes it a probability.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -25,67 +30,148 @@ from .language_id import FILL, compressor
 
 PER_CLASS = 2000
 BASE_BYTES = 6_000
-TOXIC_BYTES = 2_000
+TOXIC_BYTES = 6_000
 #: zstandard stores the literals of so short a window as they are, which makes a matched word stand out.
-WINDOW_BYTES = 24
-#: A word enters the toxic dictionary if this share of toxic texts holds it, and so many times the share of ordinary ones.
-MIN_SHARE, MIN_LIFT = 0.05, 8.0
+WINDOW_BYTES = 12
+#: Windows to a stretch, about 2 KB of text; each stretch begins half a stretch after the last.
+STRETCH = 128
+#: A telling word is in so many times the share of toxic texts, and its log-likelihood ratio is so large.
+MIN_LIFT, MIN_RATIO = 8.0, 16.0
+#: Gains that are counted.
+STEPS = (2, 3, 4, 5, 6)
+WORD = re.compile(rb"[^\s.,;:!?\"'()]+")
 LEVEL = 6
+#: Rounds of choosing best stretches.
+CHOICES = 5
 
 
-def telling_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Words that far more toxic than ordinary texts hold, the most telling first."""
+def telling_words(toxic: list[bytes], ordinary: list[bytes]) -> dict[bytes, float]:
+    """Words that far more toxic than ordinary texts hold, with their log-likelihood ratios.
+
+    There is no floor to the share of toxic texts that hold a word: the words of a
+    language that few texts are in are in few texts.
+    """
     a, b = Counter(), Counter()
     for texts, into in ((toxic, a), (ordinary, b)):
         for text in texts:
-            into.update({w.strip(b".,;:!?\"'()") for w in text.split()} - {b""})
+            into.update(set(WORD.findall(text)))
     n, m = max(len(toxic), 1), max(len(ordinary), 1)
+    out = {}
+    for w, c in a.items():
+        if len(w) < 3 or c < 3 or c / n <= MIN_LIFT * (b[w] + 0.5) / (m + 1):
+            continue
+        both = (c + b[w]) / (n + m)
+        ratio = 2 * (c * math.log(c / n / both) + (b[w] * math.log(b[w] / m / both) if b[w] else 0))
+        if ratio >= MIN_RATIO:
+            out[w] = ratio
+    return out
+
+
+def opening_lines(texts: list[bytes], most: int) -> bytes:
+    """Whole lines, the first of each text that is no longer than a tenth of `most`, until `most` bytes are full."""
+    out, size = [], 0
+    for text in texts:
+        line = text.split(b"\n", 1)[0]
+        if line and len(line) <= most // 10 and size + len(line) < most:
+            out.append(line + b"\n")
+            size += len(line) + 1
+    return b"".join(out)
+
+
+def passages(texts: list[bytes], telling: dict[bytes, float], most: int) -> bytes:
+    """Windows of the texts that hold telling words, those last that tell the most and whose words few others hold."""
+    held = {p: {w for w in WORD.findall(p) if w in telling} for text in texts for p in cut_at_spaces(text, WINDOW_BYTES)}
+    taken: Counter = Counter()
+    worth = lambda p: sum(math.sqrt(telling[w]) / (1 + taken[w]) ** 2 for w in held[p])
+    heap = [(-worth(p), p) for p, found in held.items() if found]
+    heapq.heapify(heap)
+    out, size = [], 0
+    while heap:
+        _, p = heapq.heappop(heap)
+        now = -worth(p)
+        if heap and now > heap[0][0]:  # its words have been taken since
+            heapq.heappush(heap, (now, p))
+            continue
+        if size + len(p) >= most:
+            break
+        out.append(p if p.endswith(b" ") else p + b" ")
+        size += len(out[-1])
+        taken.update(held[p])
+    return b"".join(reversed(out))
+
+
+def without_telling(passage: bytes, telling: dict[bytes, float], base: bytes) -> bytes:
+    """The passage with words of base for the telling ones; its length stays."""
+    by_size: dict[int, list[bytes]] = {}
+    for w in WORD.findall(base):
+        if w not in telling:
+            by_size.setdefault(len(w), []).append(w)
+    used: Counter = Counter()
 
-    def worth(w: bytes) -> float:
-        p, q = a[w] / n, (b[w] + 0.5) / (m + 1)
-        return p * math.log(p / q)
+    def other(found: re.Match) -> bytes:
+        w = found.group()
+        if w not in telling:
+            return w
+        used[len(w)] += 1
+        if len(w) in by_size:
+            return by_size[len(w)][used[len(w)] % len(by_size[len(w)])]
+        return (base[used[len(w)] :] + b" " * len(w))[: len(w)]
 
-    least = max(3, n * MIN_SHARE)
-    found = [w for w, c in a.items() if c >= least and len(w) >= 3 and c / n > MIN_LIFT * (b[w] + 0.5) / (m + 1)]
-    return sorted(found, key=lambda w: (-worth(w), w))
+    return WORD.sub(other, passage)
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> dict:
     """The dictionaries and the calibration, from at most per_class rows of each class that are not held out."""
     rows = [(y, text.lower().encode()) for y, _, text in learn_rows(docs, labels, label, per_class, [0, 1], id_col, text_col)]
-    toxic, ordinary = [t for y, t in rows if y], [t for y, t in rows if not y]
-    if not toxic or not ordinary:
-        return {"base": b"", "extra": b"", "weights": [0.0] * 5}
-    share = max(1, BASE_BYTES // len(ordinary))
-    base = b" ".join(t[:share] for t in ordinary)[:BASE_BYTES]
-    extra, chosen = 0, []
-    for w in telling_words(toxic, ordinary):
-        if extra + len(w) + 1 > TOXIC_BYTES:
-            break
-        chosen.append(w)
-        extra += len(w) + 1
-    model = {"base": base, "extra": b" " + b" ".join(reversed(chosen)) + b" ", "weights": None}
-    x = features([t for _, t in rows], *tools(model))
-    y = np.array([v for v, _ in rows], float)
     counts = {r["y"]: r["n"] for r in labels.where(F.col(label).isin([0, 1]) & ~held_out(id_col)).groupBy(F.col(label).alias("y")).agg(F.count("*").alias("n")).collect()}
-    share_of = {v: counts.get(v, 1) / max(sum(y == v), 1) for v in (0, 1)}
-    model["weights"] = fit_logistic(x, y, np.where(y == 1, share_of[1], share_of[0])).tolist()
-    return model
+    return fit([t for y, t in rows if y], [t for y, t in rows if not y], counts)
+
+
+def fit(toxic: list[bytes], ordinary: list[bytes], counts: dict[int, int]) -> dict:
+    """The model of lower-cased training texts; counts: labels of each class.
+
+    The calibration sees each half of the texts under dictionaries of the other
+    half: a text's own passages would make it look too easy.
+    """
+    if not toxic or not ordinary:
+        return dictionaries([], [], {}) | {"weights": [0.0] * (len(STEPS) + 3)}
+    telling = telling_words(toxic, ordinary)
+    found, y = [], []
+    for k in (0, 1):
+        pair = tools(dictionaries(toxic[1 - k :: 2], ordinary[1 - k :: 2], telling))
+        for label, texts in enumerate((ordinary[k::2], toxic[k::2])):
+            found += features(texts, *pair)
+            y += [label] * len(texts)
+    y = np.array(y, float)
+    weight = np.where(y == 1, counts.get(1, 1) / len(toxic), counts.get(0, 1) / len(ordinary))
+    best = np.array([x[x[:, 2].argmax()] for x in found])
+    for _ in range(CHOICES):  # which stretch is the best hangs on the weights, and these on the best stretches
+        w = fit_logistic(best, y, weight)
+        best = np.array([x[(x @ w[:-1]).argmax()] for x in found])
+    return dictionaries(toxic, ordinary, telling) | {"weights": w.tolist()}
+
+
+def dictionaries(toxic: list[bytes], ordinary: list[bytes], telling: dict[bytes, float]) -> dict:
+    """base, which both dictionaries begin with, and what the ordinary (plain) and the toxic one (extra) end with."""
+    base, extra = opening_lines(ordinary, BASE_BYTES), passages(toxic, telling, TOXIC_BYTES)
+    return {"base": base, "plain": without_telling(extra, telling, base), "extra": extra}
 
 
 def tools(model: dict) -> tuple[zstd.ZstdCompressor, zstd.ZstdCompressor]:
-    # the ordinary dictionary is as long as the toxic one, so that equal matches cost the same
-    blank = bytes((7 * k * k + 13 * k) % 251 for k in range(len(model["extra"])))
-    return tuple(compressor(model["base"] + end, LEVEL) for end in (blank, model["extra"]))
-
-
-def features(texts: list[bytes], ordinary: zstd.ZstdCompressor, toxic: zstd.ZstdCompressor) -> np.ndarray:
-    """For each text: the largest window gain, the logged mean of what windows gain beyond a byte, and the share of windows that gain 3 bytes and 5 bytes."""
-    out = np.zeros((len(texts), 4))
-    for k, text in enumerate(texts):
-        pieces = [b" " + p + FILL for p in cut_at_spaces(text, WINDOW_BYTES)]
-        gain = np.array([len(ordinary.compress(p)) - len(toxic.compress(p)) for p in pieces], float)
-        out[k] = max(gain.max(), 0), math.log1p(50 * np.maximum(gain - 1, 0).mean()), (gain >= 3).mean(), (gain >= 5).mean()
+    return compressor(model["base"] + model["plain"], LEVEL), compressor(model["base"] + model["extra"], LEVEL)
+
+
+def features(texts: list[bytes], ordinary: zstd.ZstdCompressor, toxic: zstd.ZstdCompressor) -> list[np.ndarray]:
+    """For each stretch of each text: the largest window gain, the roots of how many windows gain STEPS bytes and more, and the logged number of windows."""
+    out = []
+    for text in texts:
+        gain = np.array([len(ordinary.compress(p)) - len(toxic.compress(p)) for p in (b" " + p + FILL for p in cut_at_spaces(text, WINDOW_BYTES))], np.int64)
+        x = []
+        for at in range(0, max(len(gain) - STRETCH // 2, 1), STRETCH // 2):
+            at = max(min(at, len(gain) - STRETCH), 0)
+            part = gain[at : at + STRETCH]
+            x.append([max(part.max(), 0), *(math.sqrt((part >= step).sum()) for step in STEPS), math.log(len(part))])
+        out.append(np.array(x, float))
     return out
 
 
@@ -113,7 +199,7 @@ def score_toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_co
         pair, w = tools(model), np.array(model["weights"])
         for piece in slices(batches, "t"):
             texts = [t.encode() for t in pc.utf8_lower(plain(piece["t"])).to_pylist()]
-            odds = np.c_[features(texts, *pair), np.ones(len(texts))] @ w
+            odds = np.array([(x @ w[:-1]).max() for x in features(texts, *pair)]) + w[-1]
             yield pa.RecordBatch.from_arrays([plain(piece["i"]), pa.array(1 / (1 + np.exp(-np.clip(odds, -500, 500))))], ["i", "score"])
 
     schema = T.StructType([T.StructField("i", docs.schema[id_col].dataType), T.StructField("score", T.DoubleType())])

@@ -49,6 +49,28 @@ def test_toxicity(spark, tables, odd):
     assert toxicity.toxicity(docs.where("false"), labels).count() == 0
 
 
+@pytest.fixture(scope="module")
+def toxic_model(spark, tables):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang"), tables[1]
+    held = docs.where("text IS NOT NULL").join(labels, "doc_id").where(toxicity.held_out()).orderBy("doc_id").collect()
+    return toxicity.learn(docs, labels), [r for r in held if r.toxic == 1], [r for r in held if r.toxic == 0]
+
+
+def flagged(spark, model, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sum(r.score >= 0.5 for r in toxicity.score_toxicity(rows, model).collect())
+
+
+def test_toxic_passage_in_a_long_clean_text(spark, toxic_model):
+    model, toxic, clean = toxic_model
+    alone = flagged(spark, model, [r.text for r in toxic])
+    ordinary = "\n".join(r.text for r in clean[:100])
+    fillers = [ordinary[k * 1000 : k * 1000 + 20_000] for k in range(len(toxic))]
+    inside = flagged(spark, model, [f"{f}\n{r.text}\n{f}" for f, r in zip(fillers, toxic)])
+    assert alone >= 0.6 * len(toxic) and inside >= 0.85 * alone
+    assert flagged(spark, model, fillers) <= 0.2 * len(fillers)
+
+
 def test_quality(spark, tables, odd):
     docs, labels = tables
     got = quality_model.quality_classifier(docs, labels).join(labels, "doc_id").where("held_out").collect()
