@@ -71,6 +71,25 @@ def test_toxic_passage_in_a_long_clean_text(spark, toxic_model):
     assert flagged(spark, model, fillers) <= 0.2 * len(fillers)
 
 
+def test_toxic_words_of_every_language(spark, toxic_model):
+    model, toxic, _ = toxic_model
+    for lang in ("de", "en", "fr"):  # six held-out texts are too few to tell for Spanish
+        texts = [r.text for r in toxic if r.lang == lang]
+        assert flagged(spark, model, texts) >= 0.35 * len(texts)
+
+
+def test_toxicity_dictionaries_are_passages():
+    ordinary = [f"the weather of day {k} was fair\nand mild".encode() for k in range(60)]
+    toxic = [f"they said you fool number {k} and left".encode() for k in range(120)] + [f"da war der dummkopf mit hut {k}".encode() for k in range(5)]
+    model = toxicity.fit(toxic, ordinary, {0: 60, 1: 125})
+    lines = {t.split(b"\n")[0] for t in ordinary}
+    assert set(model["base"].splitlines()) <= lines and model["base"].count(b"\n") >= 20
+    assert b"fool" in model["extra"] and b"they said you " in model["extra"]
+    assert len(model["plain"]) == len(model["extra"]) and b"fool" not in model["plain"]
+    # five texts of 125 are below the old floor of a twentieth
+    assert b"dummkopf" in toxicity.telling_words(toxic, [*ordinary * 20])
+
+
 def test_quality(spark, tables, odd):
     docs, labels = tables
     got = quality_model.quality_classifier(docs, labels).join(labels, "doc_id").where("held_out").collect()
