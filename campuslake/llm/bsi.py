@@ -26,8 +26,8 @@ SCALE = 256
 BLOCK_ROWS = 8192
 QUERY_EVERY = 50
 TOP = 5
-#: Quantised values are held within this bound, so that scores of up to 2**13 components fit 64 bits.
-BOUND = 1 << 24
+#: The squares of a vector's quantised values sum to less, so that they fit 32 bits and every score 64; other vectors are refused.
+BOUND = 1 << 62
 
 
 def bitmap(flags: np.ndarray) -> np.ndarray:
@@ -57,7 +57,8 @@ class Slices:
         complement of x instead, so that all additions are of positive numbers.
         """
         weight = np.abs(query)
-        base = int(query @ self.low) - int(weight[query < 0].sum()) * ((1 << self.bits) - 1)
+        # whole numbers of any size: these may leave 64 bits where the scores do not
+        base = sum(a * b for a, b in zip(query.tolist(), self.low.tolist())) - int(weight[query < 0].sum()) * ((1 << self.bits) - 1)
         columns: list[list[np.ndarray]] = []
         for j in range(int(weight.max(initial=0)).bit_length()):
             chosen = weight >> j & 1 == 1
@@ -111,8 +112,9 @@ class Slices:
             rows = np.concatenate([rows, edge])
         spelled = np.zeros(len(rows), np.int64)
         for b, s in enumerate(slices):
-            spelled += ((s[rows // 64] >> (rows % 64).astype(np.uint64)) & np.uint64(1)).astype(np.int64) << b
-        return rows, spelled + base
+            if b < 64:  # sums are modulo 2**64, as scores are known to fit
+                spelled += ((s[rows // 64] >> (rows % 64).astype(np.uint64)) & np.uint64(1)).astype(np.int64) << b
+        return rows, spelled + np.uint64(base % 2**64).astype(np.int64)
 
     def listed(self, words: np.ndarray) -> np.ndarray:
         at = np.flatnonzero(words)
@@ -122,12 +124,17 @@ class Slices:
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """id and q (floor(256 x) of each component) of the rows that take part: no null or empty vector, no null or non-finite component, no null id."""
+    """id and q (floor(256 x) of each component) of the rows that take part: no null or empty vector, no null or non-finite component, no null id.
+
+    A vector whose scores might leave 64 bits (BOUND) makes the query fail.
+    """
     x = F.col(vector_col)
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v.cast("double")) | (F.abs(v.cast("double")) == F.lit(float("inf"))))
     rows = vectors.where(x.isNotNull() & (F.size(x) > 0) & F.col(id_col).isNotNull() & ~bad)
-    bound = lambda v: F.greatest(F.least(F.floor(v.cast("double") * SCALE), F.lit(BOUND)), F.lit(-BOUND)).cast("int")
-    return rows.select(F.col(id_col).cast("long").alias("id"), F.transform(x, bound).alias("q"))
+    whole = lambda v: F.floor(v.cast("double") * SCALE)
+    squares = F.aggregate(x, F.lit(0.0), lambda total, v: total + whole(v).cast("double") * whole(v).cast("double"))
+    refused = F.raise_error(F.concat(F.lit("op1: components too large for 64-bit scores, id "), F.col(id_col).cast("string"))).cast("array<int>")
+    return rows.select(F.col(id_col).cast("long").alias("id"), F.when(squares < float(BOUND), F.transform(x, lambda v: whole(v).cast("int"))).otherwise(refused).alias("q"))
 
 
 def index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -42,6 +42,17 @@ def test_top_k_of_few_rows(spark):
     assert [tuple(r) for r in bsi.top_k_search(spark.createDataFrame([(0, [1.0]), (1, [-0.01])], schema)).collect()] == [(0, 1, 1, -768)]
 
 
+def test_top_k_of_large_components(spark):
+    schema = "vec_id long, embedding array<float>"
+    rng = np.random.default_rng(5)
+    rows = [(n, rng.normal(size=3).astype(np.float32).tolist()) for n in range(60)]
+    rows += [(60 + n, [70_000.0 + 1_000 * n, -80_000.0, 1.5]) for n in range(8)] + [(100, [-5_000_000.0, 5_000_000.0, 1.0]), (150, [8_000_000.0, 0.0, -1.0])]
+    got = bsi.top_k_search(spark.createDataFrame(rows, schema), block_rows=16)
+    assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, 50, 5)
+    with pytest.raises(Exception, match="too large for 64-bit scores, id 7"):
+        bsi.top_k_search(spark.createDataFrame([(0, [1.0]), (7, [1e9])], schema)).collect()
+
+
 def brute_counts(text):
     text = text or ""
     w = WORD.findall(text)
