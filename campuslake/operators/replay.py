@@ -62,10 +62,9 @@ def replay_courses(log: DataFrame) -> DataFrame:
     the example courses (id example-<n>); a session begins with a blank course
     (id blank-0). Updates count from their course's appearance to its removal.
     """
-    session = W.partitionBy("session_id")
-    reset = F.max(F.when(F.col("op").isin("clear", "fill"), F.struct("seq", "op"))).over(session)
-    rows = log.withColumn("reset", reset)
-    heads = rows.groupBy("session_id").agg(F.first("reset").alias("reset"))
+    # counted before the shuffle, and joined back: no task holds a whole session
+    heads = log.groupBy("session_id").agg(F.max(F.when(F.col("op").isin("clear", "fill"), F.struct("seq", "op"))).alias("reset"))
+    rows = log.join(heads.withColumnRenamed("session_id", "of"), F.col("session_id").eqNullSafe(F.col("of"))).drop("of")
     blank = F.array(F.struct(F.concat(F.lit("blank-"), F.coalesce(F.col("reset.seq"), F.lit(0)).cast("string")).alias("course_id"), F.lit("").alias("name"), F.lit(0.0).alias("credits"), F.lit(0.0).alias("score")))
     example = F.array(*[F.struct(F.lit(f"example-{n}").alias("course_id"), F.lit(a).alias("name"), F.lit(b).alias("credits"), F.lit(c).alias("score")) for n, (a, b, c) in enumerate(cat.EXAMPLE_COURSES)])
     start = heads.select("session_id", F.coalesce("reset.seq", F.lit(-1)).alias("born"), F.explode(F.when(F.col("reset.op") == "fill", example).otherwise(blank)).alias("c")).select("session_id", "born", "c.*")

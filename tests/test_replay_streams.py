@@ -30,6 +30,13 @@ def test_courses(spark):
     assert [(c, s) for _, _, c, s in filled] == [(4.0, 85.0), (3.0, 0.0), (3.0, 92.0)]
 
 
+def test_courses_gather_no_session_in_one_task(spark):
+    log = spark.createDataFrame([(None, 0, "fill", None, None, None), (1, 0, "add", "x", None, None)], "session_id long, seq long, op string, id string, field string, value string")
+    out = replay.replay_courses(log)
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.session_id or 0, r.course_id) for r in out.collect()) == [(0, "example-0"), (0, "example-1"), (0, "example-2"), (1, "blank-0"), (1, "x")]
+
+
 def test_timeline_form(spark):
     rows = [("set", "country", "美国"), ("set", "grade", "3"), ("set", "round", "ED"), ("set", "level", "本科"), ("set", "major", "cs")]
     log = lambda r: spark.createDataFrame([(1, n, *x) for n, x in enumerate(r)], "session_id long, seq long, op string, field string, value string")
