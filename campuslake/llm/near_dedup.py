@@ -12,7 +12,9 @@ passage that many documents hold) is passed over in favour of the next ones,
 unless such values make up more than 3/8 of the first COUNTED ones; otherwise at
 least 0.6 of the remaining values are shared, and all miss with probability
 0.4 ** 16. Documents that are mostly such passages also enter the lists of hot
-values. The estimate is held against the bound less SLACK standard deviations; for
+values. In the last round a list of more than 48 members keeps only pairs that share
+0.38 of the first COUNTED hashes; a pair at the bound falls short with odds of about
+1e-7. The estimate is held against the bound less SLACK standard deviations; for
 sets of up to POOL shingles it is no estimate but the similarity itself.
 
 How groups of copies stay cheap: equal sets become one node. In the first rounds
@@ -142,14 +144,15 @@ def postings(sketched: DataFrame) -> DataFrame:
 
 
 def halves(sketched: DataFrame) -> DataFrame:
-    """(u, n, pool) with the upper halves of the pool's hashes."""
+    """(u, n, pool, first) with the upper halves of the pool's hashes, and the first INDEXED hashes as they are."""
 
     def run(batches):
         for batch in batches:
             pools = [(np.frombuffer(p, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for p in batch.column("pool").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("n"), pa.array(pools, pa.binary())], ["u", "n", "pool"])
+            first = [p[: 8 * INDEXED] for p in batch.column("pool").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("n"), pa.array(pools, pa.binary()), pa.array(first, pa.binary())], ["u", "n", "pool", "first"])
 
-    return sketched.select("u", "n", "pool").mapInArrow(run, "u long, n long, pool binary")
+    return sketched.select("u", "n", "pool").mapInArrow(run, "u long, n long, pool binary, first binary")
 
 
 def likely(pools: np.ndarray, size: np.ndarray, full: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -196,7 +199,7 @@ def shared_counts(pools: np.ndarray) -> np.ndarray:
     return out
 
 
-def pairs_of_list(v: int, u: np.ndarray, label: np.ndarray, n: np.ndarray, mostly: np.ndarray, pools: np.ndarray, size: np.ndarray, side: np.ndarray, few: bool) -> tuple[np.ndarray, np.ndarray]:
+def pairs_of_list(v: int, u: np.ndarray, label: np.ndarray, n: np.ndarray, mostly: np.ndarray, pools: np.ndarray, size: np.ndarray, side: np.ndarray, few: bool, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one list that may be linked: from different components and, for two blocks, from different sides.
 
     few: each member is tried with one member only, the list's first or else the
@@ -234,7 +237,9 @@ def pairs_of_list(v: int, u: np.ndarray, label: np.ndarray, n: np.ndarray, mostl
         keep &= side[i] != side[j]
     i, j = i[keep], j[keep]
     if mostly.all() and m > 48:  # such members are in the lists of all their first values: a pair is looked at in its first list
-        early = np.where(pools[:, :INDEXED] < np.uint32((v & (2**64 - 1)) >> 32), pools[:, :INDEXED], HALF)
+        # by whole hashes: halves may be equal where the hashes are not, and the earlier list would not exist
+        codes = np.unique(first, return_inverse=True)[1].reshape(first.shape).astype(np.uint32)
+        early = np.where(first < np.uint64(v & (2**64 - 1)), codes, HALF)
         once = shared_counts(early)[i, j] == 0
         i, j = i[once], j[once]
     good = likely(pools, size, full, i, j)
@@ -242,7 +247,7 @@ def pairs_of_list(v: int, u: np.ndarray, label: np.ndarray, n: np.ndarray, mostl
 
 
 def candidates(lists: DataFrame, few: bool) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of lists (v, x, y, side, u, label, n, mostly, pool)."""
+    """Distinct pairs (a, b), a < b, of lists (v, x, y, side, u, label, n, mostly, pool, first)."""
 
     def run(batches):
         held: list[pa.Table] = []
@@ -258,9 +263,12 @@ def candidates(lists: DataFrame, few: bool) -> DataFrame:
             pools = np.full((len(raw), POOL), HALF)
             for k, p in enumerate(raw):
                 pools[k, : size[k]] = np.frombuffer(p, np.uint32)
+            first = np.full((len(raw), INDEXED), PAD)
+            for k, p in enumerate(t["first"].to_pylist()):
+                first[k, : len(p) // 8] = np.frombuffer(p, np.uint64)
             found = []
             for a, b in zip(edge[:-1], edge[1:]):
-                i, j = pairs_of_list(int(v[a]), u[a:b], label[a:b], n[a:b], mostly[a:b], pools[a:b], size[a:b], side[a:b] > 0, few)
+                i, j = pairs_of_list(int(v[a]), u[a:b], label[a:b], n[a:b], mostly[a:b], pools[a:b], size[a:b], side[a:b] > 0, few, first[a:b])
                 if len(i):
                     p, q = u[a:b][i], u[a:b][j]
                     found.append(np.stack([np.minimum(p, q), np.maximum(p, q)], 1))

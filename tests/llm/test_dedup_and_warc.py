@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from campuslake.llm import components, line_dedup, near_dedup, warc
@@ -171,3 +172,16 @@ def test_captures_are_nested_and_whole(spark, tmp_path):
     assert bytes(row.block).partition(b"\r\n\r\n")[2].decode() == "<p>\r\n\r\n é</p>" and row.uri == "http://a/é"
     assert bytes(row.request.block).startswith(b"GET ") and row.metadata.length == len("<p>\r\n\r\n é</p>".encode())
     assert dict(row.request.headers)["warc-concurrent-to"] == row.record_id
+
+
+def test_equal_halves_are_no_earlier_list():
+    m, v = 60, (9 << 32) + 5
+    common = [(k + 10) << 32 for k in range(14)]
+    hashes = np.array([[(3 << 32) + k, v, *common] for k in range(m)], np.uint64)  # the first hashes differ in their lower halves only
+    pools = np.full((m, near_dedup.POOL), near_dedup.HALF)
+    pools[:, :16] = hashes >> np.uint64(32)
+    args = (v, np.arange(m), np.arange(m), np.full(m, 16), np.ones(m, bool), pools, np.full(m, 16), np.zeros(m, bool), False)
+    i, j = near_dedup.pairs_of_list(*args, hashes)
+    assert len(i) == m * (m - 1) // 2
+    hashes[:, 0] = 3 << 32  # now the list of that hash comes first, and the pairs are looked at there
+    assert len(near_dedup.pairs_of_list(*args, hashes)[0]) == 0
