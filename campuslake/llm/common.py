@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.scratch import shared_dir
 
@@ -150,26 +151,44 @@ def windows(values: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndar
     return h, first, owner
 
 
-#: Texts longer than this are scored but not learned from, so that a sample's bytes are bounded as its rows are.
-LEARN_CHARS = 16_384
+#: Characters of all texts together that a sample takes to the driver for each class.
+SAMPLE_CHARS = 24_000_000
 
 
-def learn_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int, classes: list, id_col: str = "doc_id", text_col: str = "text") -> list[tuple]:
-    """At most per_class (label, text) of each class, from documents that are not held out.
+def sample_ids(docs: DataFrame, labels: DataFrame, label: str, per_class: int, classes: list, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(id, label) of at most per_class labelled documents of each class that are not held out, and (id, text) of all that are not held out.
 
-    The rows with the smallest hash of the id are taken, so the sample does not
-    hang on the order of rows. An id with two labels counts as the larger one,
-    an id with several texts as the least one.
+    The ids with the smallest hash are taken, so the sample hangs neither on the
+    order of rows nor on the texts. An id with two labels counts as the larger one.
     """
-    usable = docs.where(~held_out(id_col) & F.length(text_col).between(1, LEARN_CHARS)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    usable = docs.where(~held_out(id_col)).select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     marks = labels.where(F.col(label).isin(classes) & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("id")).agg(F.max(label).alias("label"))
     known = marks.join(usable.select("id").distinct(), "id", "left_semi")
     chosen = None
     for value in classes:
         part = known.where(F.col("label") == F.lit(value)).orderBy(F.xxhash64("id"), "id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    # chosen holds per_class * len(classes) rows at most
-    texts = usable.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    return chosen, usable
+
+
+def learn_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int, classes: list, id_col: str = "doc_id", text_col: str = "text", most_chars: int = SAMPLE_CHARS) -> list[tuple]:
+    """At most per_class (label, text) of each class, from documents that are not held out; the sample of sample_ids().
+
+    Whole texts are taken, the empty ones too (null counts as empty); of an id with
+    several texts the least. Together those of a class have most_chars characters at
+    most: in the order of the sample, a text that no longer fits is passed over.
+    """
+    chosen, usable = sample_ids(docs, labels, label, per_class, classes, id_col, text_col)
+    # per_class * len(classes) rows at most
+    sizes = usable.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.max(F.length("text")).alias("n"), F.xxhash64("id").alias("h"))
+    left, take = dict.fromkeys(classes, most_chars), []
+    for r in sorted(sizes.collect(), key=lambda r: (r["h"], r["id"])):
+        if r["n"] <= left[r["label"]]:
+            left[r["label"]] -= r["n"]
+            take.append((r["id"], r["label"]))
+    fields = [chosen.schema["id"], chosen.schema["label"]]
+    taken = docs.sparkSession.createDataFrame(take, T.StructType(fields))
+    texts = usable.join(F.broadcast(taken), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
     return sorted((r["label"], r["id"], r["text"]) for r in texts.collect())
 
 

@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from .common import LEARN_CHARS, cut_at_spaces, held_out, plain, slices
+from .common import cut_at_spaces, held_out, plain, slices
 
 UNKNOWN = "und"
 DOCS_PER_LANG = 120
 DICT_BYTES = 48_000
+#: Short texts leave a part of the dictionary to longer ones, whose excerpts are so many shares long.
+EXCERPTS = 4
 PIECE_BYTES = 2048
 LEVEL = 12
 #: Zero bytes after each piece: without them zstandard stores many short pieces as they are.
@@ -40,20 +42,24 @@ def compressor(content: bytes, level: int) -> zstd.ZstdCompressor:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = DOCS_PER_LANG, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
-    """Dictionary content for each language, from at most docs_per_lang texts of up to LEARN_CHARS characters of each.
+    """Dictionary content for each language, from excerpts of at most docs_per_lang texts of each.
 
     Only rows that are not held out and whose language is not null are read; the
-    texts are those with the smallest hash of the id. The texts share the
-    dictionary evenly.
+    texts are those with the smallest hash of id and text, whatever their length.
+    An excerpt begins at a place that the hash picks anywhere in the text, and is
+    EXCERPTS times as long as the text's even share of the dictionary at most.
     """
-    rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & (F.length(text_col) <= LEARN_CHARS))
-    rows = rows.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.lower(text_col).alias("text"))
+    rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    rows = rows.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"))
     # ranking carries ids and hashes only; each partition passes on docs_per_lang rows of a language at most
-    keys = rows.select("lang", "id", F.xxhash64("id", "text").alias("h")).withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("h", "id")))
-    chosen = keys.where(F.col("rank") <= docs_per_lang).drop("rank")
-    texts = rows.withColumn("h", F.xxhash64("id", "text")).join(F.broadcast(chosen), ["lang", "id", "h"]).groupBy("lang", "id", "h").agg(F.min("text").alias("text"))
+    keys = rows.select("lang", "id", "h").withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("h", "id")))
+    chosen = keys.where(F.col("rank") <= docs_per_lang).drop("rank").distinct()
+    width = EXCERPTS * -(-dict_bytes // docs_per_lang)
+    at = 1 + F.pmod("h", F.greatest(F.length("text") - width + 1, F.lit(1)))
+    excerpt = F.lower(F.col("text").substr(at.cast("int"), F.lit(width)))
+    texts = rows.join(F.broadcast(chosen), ["lang", "id", "h"]).groupBy("lang", "id", "h").agg(F.min(excerpt).alias("text"))
     by_lang: dict[str, list[bytes]] = {}
-    for r in sorted(texts.collect(), key=lambda r: (r["lang"], r["h"], r["id"])):
+    for r in sorted(texts.collect(), key=lambda r: (r["lang"], r["h"], str(r["id"]))):
         by_lang.setdefault(r["lang"], []).append(r["text"].encode())
     out = {}
     for lang, found in by_lang.items():

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, learn_rows, plain, slices
-from .text_stats import stats
+from .common import held_out, plain, sample_ids, slices
+from .quality_rules import text_stats
+from .text_stats import COUNTS, stats
 
 PER_CLASS = 4000
 TREES, DEPTH, BINS, RATE, RIDGE, MIN_ROWS = 60, 4, 64, 0.15, 2.0, 12
@@ -95,11 +96,19 @@ def predict(model: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> dict[str, np.ndarray]:
-    """Fit on at most per_class labelled rows of each class that are not held out, weighted back to the classes' true shares."""
-    rows = learn_rows(docs, labels, label, per_class, [0, 1], id_col, text_col)
-    y = np.array([v for v, _, _ in rows], float)
-    parts = [features(stats(pa.array([t for _, _, t in rows[k : k + 500]], pa.large_string()))) for k in range(0, len(rows), 500)]
-    x = np.concatenate(parts) if parts else np.zeros((0, 18))
+    """Fit on at most per_class labelled rows of each class that are not held out, weighted back to the classes' true shares.
+
+    The statistics of the sampled texts are counted where the texts are, whole
+    (null counts as empty); only the counts come to the driver. Of an id with
+    several texts the least enters.
+    """
+    chosen, usable = sample_ids(docs, labels, label, per_class, [0, 1], id_col, text_col)
+    sample = usable.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    # the key of a row: its label and its place in the order of ids
+    rows = text_stats(sample.select(F.struct("label", F.col("id").cast("string").alias("id")).alias("key"), "text"), "key", "text").collect()
+    rows = sorted(rows, key=lambda r: (r["key"]["label"], str(r["key"]["id"])))
+    y = np.array([r["key"]["label"] for r in rows], float)
+    x = features({k: np.array([r[k] for r in rows], np.int64) for k in COUNTS})
     counts = {r["y"]: r["n"] for r in labels.where(F.col(label).isin([0, 1]) & ~held_out(id_col)).groupBy(F.col(label).alias("y")).agg(F.count("*").alias("n")).collect()}
     share = {v: counts.get(v, 1) / max((y == v).sum(), 1) for v in (0, 1)}
     return fit(x, y, np.where(y == 1, share[1], share[0]))

@@ -1,13 +1,20 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are cut from the training texts. Both begin with whole
-lines of ordinary texts. The toxic one ends with passages of toxic texts around
-words that tell them from ordinary ones; the ordinary one ends with the same
-passages, in which ordinary words of the same length stand in for the telling
-ones, so that the surroundings cost the same under both. What a window saves
-under the toxic dictionary is its gain. A text is judged by its best stretch of
-STRETCH windows, so that evidence neither shrinks nor adds up with the length of
-what stands around it; a logistic calibration makes it a probability.
+Two zstandard dictionaries of equal size are trained, one on toxic and one on
+ordinary text, both from whole passages as they stand in the learning texts. The
+toxic one takes the passages that set toxic texts apart: those whose words are in
+a larger share of toxic than of ordinary texts, by their log-likelihood ratio.
+The ordinary one takes the ordinary passages that come nearest to them: those
+that share the most of their words and runs of bytes, so that the surroundings
+of a toxic passage, and what merely resembles it, cost the same under both.
+
+A window is a word with spaces around it (punctuation counts as space, and words
+over WINDOW_BYTES are cut), after LEAD bytes that both dictionaries hold equally
+far back. What it saves under the toxic dictionary is its gain; equal windows are
+compressed once. A text is judged by its best stretch of STRETCH windows, so that
+evidence neither shrinks nor adds up with the length of what stands around it; a
+logistic calibration, fitted on learning rows under dictionaries that have not
+seen them, makes it a probability.
 """
 
 from __future__ import annotations
@@ -16,6 +23,7 @@ import heapq
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -25,154 +33,204 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_at_spaces, held_out, learn_rows, plain, slices
+from .common import cut_at_spaces, held_out, learn_rows, plain, slices, text_bytes, words
 from .language_id import FILL, compressor
 
 PER_CLASS = 2000
-BASE_BYTES = 6_000
-TOXIC_BYTES = 6_000
-#: zstandard stores the literals of so short a window as they are, which makes a matched word stand out.
-WINDOW_BYTES = 12
-#: Windows to a stretch, about 2 KB of text; each stretch begins half a stretch after the last.
+#: Bytes of toxic passages; twice as many of ordinary ones, of which both dictionaries end with the same half.
+PASSAGE_BYTES = 4_000
+#: Passages are cut at white space after so many bytes.
+SPAN = 12
+#: Ordinary passages that the ordinary dictionary is chosen from, spread evenly over all of the learning texts.
+CANDIDATES = 60_000
+#: Log-likelihood ratio from which a word tells toxic texts: about one word in 5,000 of no meaning reaches it by chance.
+TELLING = 14.0
+#: Runs of bytes by which passages are found alike.
+GRAM = 5
+WINDOW_BYTES = 64
+#: Windows to a stretch; each stretch begins half a stretch after the last.
 STRETCH = 128
-#: A telling word is in so many times the share of toxic texts, and its log-likelihood ratio is so large.
-MIN_LIFT, MIN_RATIO = 8.0, 16.0
-#: Gains that are counted.
-STEPS = (2, 3, 4, 5, 6)
+#: Gains that are counted, and the largest that is told apart.
+STEPS, MOST = (2, 3, 4, 5, 6), 8
+MARKS = b".,;:!?\"'()"
 WORD = re.compile(rb"[^\s.,;:!?\"'()]+")
-LEVEL = 6
+#: Bytes of base before each window: with a match before it, one match and two of a window differ by whole bytes.
+LEAD = 14
+LEVEL = 9
+#: The calibration sees each part of the learning texts under dictionaries of the other parts.
+FOLDS = 4
 #: Rounds of choosing best stretches.
 CHOICES = 5
+#: Windows whose gains a task keeps from one batch to the next; beyond it starts anew.
+MEMO_WINDOWS = 400_000
 
 
-def telling_words(toxic: list[bytes], ordinary: list[bytes]) -> dict[bytes, float]:
-    """Words that far more toxic than ordinary texts hold, with their log-likelihood ratios.
+# ---------------------------------------------------------------- dictionaries
 
-    There is no floor to the share of toxic texts that hold a word: the words of a
-    language that few texts are in are in few texts.
-    """
+
+def telling_words(toxic: list[bytes], ordinary: list[bytes]) -> tuple[dict[bytes, float], Counter]:
+    """Log-likelihood ratios, from TELLING on, of words that a larger share of toxic than of ordinary texts hold; and how many ordinary texts hold each word."""
     a, b = Counter(), Counter()
     for texts, into in ((toxic, a), (ordinary, b)):
         for text in texts:
             into.update(set(WORD.findall(text)))
-    n, m = max(len(toxic), 1), max(len(ordinary), 1)
-    out = {}
+    n, m, out = len(toxic), len(ordinary), {}
     for w, c in a.items():
-        if len(w) < 3 or c < 3 or c / n <= MIN_LIFT * (b[w] + 0.5) / (m + 1):
+        if c * m <= b[w] * n:
             continue
         both = (c + b[w]) / (n + m)
         ratio = 2 * (c * math.log(c / n / both) + (b[w] * math.log(b[w] / m / both) if b[w] else 0))
-        if ratio >= MIN_RATIO:
+        if ratio >= TELLING:
             out[w] = ratio
-    return out
+    return out, b
 
 
-def opening_lines(texts: list[bytes], most: int) -> bytes:
-    """Whole lines, the first of each text that is no longer than a tenth of `most`, until `most` bytes are full."""
-    out, size = [], 0
-    for text in texts:
-        line = text.split(b"\n", 1)[0]
-        if line and len(line) <= most // 10 and size + len(line) < most:
-            out.append(line + b"\n")
-            size += len(line) + 1
-    return b"".join(out)
-
+def chosen(worth: dict[bytes, tuple[Iterable, float]], weight: dict, most: int) -> list[bytes]:
+    """Passages in order of worth, until `most` bytes are full: worth[passage] is what it holds and what it costs.
 
-def passages(texts: list[bytes], telling: dict[bytes, float], most: int) -> bytes:
-    """Windows of the texts that hold telling words, those last that tell the most and whose words few others hold."""
-    held = {p: {w for w in WORD.findall(p) if w in telling} for text in texts for p in cut_at_spaces(text, WINDOW_BYTES)}
+    What has been taken before counts less each time it is taken again. Equal
+    worths go by the passages' bytes, so the order of texts does not matter.
+    """
     taken: Counter = Counter()
-    worth = lambda p: sum(math.sqrt(telling[w]) / (1 + taken[w]) ** 2 for w in held[p])
-    heap = [(-worth(p), p) for p, found in held.items() if found]
+    value = lambda p: sum(weight[u] / (1 + taken[u]) ** 2 for u in worth[p][0]) - worth[p][1]
+    heap = [(-value(p), p) for p in worth]
     heapq.heapify(heap)
     out, size = [], 0
     while heap:
         _, p = heapq.heappop(heap)
-        now = -worth(p)
-        if heap and now > heap[0][0]:  # its words have been taken since
+        now = -value(p)
+        if heap and now > heap[0][0]:  # what it holds has been taken since
             heapq.heappush(heap, (now, p))
             continue
-        if size + len(p) >= most:
+        passage = p.strip() + b" "
+        if now >= 0 or size + len(passage) > most:
             break
-        out.append(p if p.endswith(b" ") else p + b" ")
-        size += len(out[-1])
-        taken.update(held[p])
-    return b"".join(reversed(out))
+        out.append(passage)
+        size += len(passage)
+        taken.update(worth[p][0])
+    return out
 
 
-def without_telling(passage: bytes, telling: dict[bytes, float], base: bytes) -> bytes:
-    """The passage with words of base for the telling ones; its length stays."""
-    by_size: dict[int, list[bytes]] = {}
-    for w in WORD.findall(base):
-        if w not in telling:
-            by_size.setdefault(len(w), []).append(w)
-    used: Counter = Counter()
+def units(passage: bytes) -> set[bytes]:
+    """The runs of GRAM bytes and the words of a passage by which it is compared with others."""
+    padded = b" " + passage
+    return {padded[k : k + GRAM] for k in range(len(padded) - GRAM + 1)} | {b"=" + w for w in WORD.findall(passage)}
+
+
+def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> dict[str, bytes]:
+    """What the toxic dictionary (extra) and the ordinary one (plain) begin with, and what both end with (base); base and plain are ordinary passages."""
+    telling, seen = telling_words(toxic, ordinary)
+    worth = {}
+    for passage in {p for text in toxic for p in cut_at_spaces(text, SPAN)}:
+        found = set(WORD.findall(passage))
+        if marks := {w for w in found if w in telling}:
+            # rare words around telling ones would gain where they stand in ordinary texts
+            worth[passage] = (sorted(marks), sum(max(0.0, 4 - math.log2(1 + seen[w])) for w in found - marks))
+    extra = chosen(worth, {w: math.sqrt(x) for w, x in telling.items()}, PASSAGE_BYTES)
+    size = sum(map(len, extra))
+    counts = Counter(u for p in extra for u in units(p))
+    known = {u: k for k, u in enumerate(sorted(counts))}
+    # words weigh more than runs of bytes
+    weight = {known[u]: math.sqrt(c) * (4 if u[:1] == b"=" else 1) for u, c in counts.items()}
+    passages = sorted({p for text in ordinary for p in cut_at_spaces(text, SPAN)})
+    near = {}
+    for passage in passages[:: max(1, len(passages) // CANDIDATES)]:
+        if not any(w in telling for w in WORD.findall(passage)):
+            near[passage] = (sorted(known[u] for u in units(passage) if u in known), 0.0)
+    base = chosen(near, weight, size)
+    used = set(base)
+    plain_ = chosen({p: x for p, x in near.items() if p.strip() + b" " not in used}, weight, size)
+    return {"extra": b"".join(extra), "plain": b"".join(plain_), "base": b"".join(base)}
 
-    def other(found: re.Match) -> bytes:
-        w = found.group()
-        if w not in telling:
-            return w
-        used[len(w)] += 1
-        if len(w) in by_size:
-            return by_size[len(w)][used[len(w)] % len(by_size[len(w)])]
-        return (base[used[len(w)] :] + b" " * len(w))[: len(w)]
 
-    return WORD.sub(other, passage)
+def tools(model: dict) -> tuple[zstd.ZstdCompressor, zstd.ZstdCompressor]:
+    return compressor(model["plain"] + model["base"], LEVEL), compressor(model["extra"] + model["base"], LEVEL)
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> dict:
-    """The dictionaries and the calibration, from at most per_class rows of each class that are not held out."""
-    rows = [(y, text.lower().encode()) for y, _, text in learn_rows(docs, labels, label, per_class, [0, 1], id_col, text_col)]
-    counts = {r["y"]: r["n"] for r in labels.where(F.col(label).isin([0, 1]) & ~held_out(id_col)).groupBy(F.col(label).alias("y")).agg(F.count("*").alias("n")).collect()}
-    return fit([t for y, t in rows if y], [t for y, t in rows if not y], counts)
+# ---------------------------------------------------------------- scores
 
 
-def fit(toxic: list[bytes], ordinary: list[bytes], counts: dict[int, int]) -> dict:
-    """The model of lower-cased training texts; counts: labels of each class.
+class Gains:
+    """What each window saves under the toxic dictionary; keeps gains from batch to batch."""
 
-    The calibration sees each half of the texts under dictionaries of the other
-    half: a text's own passages would make it look too easy.
-    """
-    if not toxic or not ordinary:
-        return dictionaries([], [], {}) | {"weights": [0.0] * (len(STEPS) + 3)}
-    telling = telling_words(toxic, ordinary)
-    found, y = [], []
-    for k in (0, 1):
-        pair = tools(dictionaries(toxic[1 - k :: 2], ordinary[1 - k :: 2], telling))
-        for label, texts in enumerate((ordinary[k::2], toxic[k::2])):
-            found += features(texts, *pair)
-            y += [label] * len(texts)
-    y = np.array(y, float)
-    weight = np.where(y == 1, counts.get(1, 1) / len(toxic), counts.get(0, 1) / len(ordinary))
-    best = np.array([x[x[:, 2].argmax()] for x in found])
-    for _ in range(CHOICES):  # which stretch is the best hangs on the weights, and these on the best stretches
-        w = fit_logistic(best, y, weight)
-        best = np.array([x[(x @ w[:-1]).argmax()] for x in found])
-    return dictionaries(toxic, ordinary, telling) | {"weights": w.tolist()}
+    def __init__(self, model: dict, memo_windows: int = MEMO_WINDOWS):
+        (self.ordinary, self.toxic), self.memo, self.most = tools(model), {}, memo_windows
+        self.lead = model["base"][:LEAD] + b" "
 
+    def gain(self, word: bytes) -> int:
+        pieces = [word[k : k + WINDOW_BYTES] for k in range(0, len(word), WINDOW_BYTES)]
+        return max(len(self.ordinary.compress(p)) - len(self.toxic.compress(p)) for p in (self.lead + p + b" " + FILL for p in pieces))
 
-def dictionaries(toxic: list[bytes], ordinary: list[bytes], telling: dict[bytes, float]) -> dict:
-    """base, which both dictionaries begin with, and what the ordinary (plain) and the toxic one (extra) end with."""
-    base, extra = opening_lines(ordinary, BASE_BYTES), passages(toxic, telling, TOXIC_BYTES)
-    return {"base": base, "plain": without_telling(extra, telling, base), "extra": extra}
+    def __call__(self, known: list[bytes]) -> np.ndarray:
+        if len(self.memo) + len(known) > self.most:
+            self.memo = {}
+        memo = self.memo
+        for w in known:
+            if w not in memo:
+                memo[w] = min(max(self.gain(w), 0), MOST)
+        return np.fromiter(map(memo.__getitem__, known), np.int64, len(known))
 
 
-def tools(model: dict) -> tuple[zstd.ZstdCompressor, zstd.ZstdCompressor]:
-    return compressor(model["base"] + model["plain"], LEVEL), compressor(model["base"] + model["extra"], LEVEL)
-
-
-def features(texts: list[bytes], ordinary: zstd.ZstdCompressor, toxic: zstd.ZstdCompressor) -> list[np.ndarray]:
-    """For each stretch of each text: the largest window gain, the roots of how many windows gain STEPS bytes and more, and the logged number of windows."""
-    out = []
-    for text in texts:
-        gain = np.array([len(ordinary.compress(p)) - len(toxic.compress(p)) for p in (b" " + p + FILL for p in cut_at_spaces(text, WINDOW_BYTES))], np.int64)
-        x = []
-        for at in range(0, max(len(gain) - STRETCH // 2, 1), STRETCH // 2):
-            at = max(min(at, len(gain) - STRETCH), 0)
-            part = gain[at : at + STRETCH]
-            x.append([max(part.max(), 0), *(math.sqrt((part >= step).sum()) for step in STEPS), math.log(len(part))])
-        out.append(np.array(x, float))
-    return out
+SPACED = np.arange(256, dtype=np.uint8)
+SPACED[list(MARKS)] = 32
+
+
+def spaced(texts: pa.Array) -> pa.Array:
+    """The texts in lower case, with a space for each mark."""
+    data, ends = text_bytes(pc.utf8_lower(texts))
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(SPACED[data]))
+
+
+def features(texts: pa.Array, gains: Gains) -> tuple[np.ndarray, np.ndarray]:
+    """For each stretch of each text the largest gain, the roots of how many windows gain STEPS bytes and more, and the logged number of windows; and where each text's stretches begin."""
+    codes, starts, known = words(spaced(texts))
+    gain = gains(known.cast(pa.large_binary()).to_pylist())[codes] if len(codes) else np.zeros(0, np.int64)
+    n = np.diff(starts)
+    half = STRETCH // 2
+    count = np.maximum(-(-(n - half) // half), 1)
+    at = np.zeros(len(n) + 1, np.int64)
+    np.cumsum(count, out=at[1:])
+    owner = np.repeat(np.arange(len(n)), count)
+    first = np.maximum(np.minimum((np.arange(at[-1]) - at[owner]) * half, n[owner] - STRETCH), 0)
+    size = np.minimum(n[owner], STRETCH)
+    begin = starts[owner] + first
+
+    def many(step: int) -> np.ndarray:
+        total = np.zeros(len(gain) + 1, np.int64)
+        np.cumsum(gain >= step, out=total[1:])
+        return total[begin + size] - total[begin]
+
+    counts = {k: many(k) for k in range(1, MOST + 1)}
+    largest = sum((c > 0).astype(float) for c in counts.values())
+    return np.stack([largest, *(np.sqrt(counts[k]) for k in STEPS), np.log(np.maximum(size, 1))], 1), at
+
+
+def best(odds: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The stretch of the largest odds of each text (the first of equals)."""
+    order = np.lexsort((-np.arange(len(odds)), odds, np.repeat(np.arange(len(at) - 1), np.diff(at))))
+    return order[at[1:] - 1]
+
+
+def fit(toxic: list[str], ordinary: list[str], counts: dict[int, int]) -> dict:
+    """The model of learning texts of both classes; counts: labels of each class."""
+    if not toxic or not ordinary:
+        return {"extra": b"", "plain": b"", "base": b"", "weights": [0.0] * (len(STEPS) + 3)}
+    as_bytes = lambda texts: [t.lower().encode() for t in texts]
+    parts, at, y = [], [0], []
+    for k in range(FOLDS):
+        gains = Gains(dictionaries(*(as_bytes([t for j, t in enumerate(texts) if j % FOLDS != k]) for texts in (toxic, ordinary))))
+        for label, texts in enumerate((ordinary[k::FOLDS], toxic[k::FOLDS])):
+            x, ends = features(pa.array(texts, pa.large_string()), gains)
+            parts.append(x)
+            at += (ends[1:] + at[-1]).tolist()
+            y += [label] * len(texts)
+    x, at, y = np.concatenate(parts), np.array(at), np.array(y, float)
+    weight = np.where(y == 1, counts.get(1, 1) / len(toxic), counts.get(0, 1) / len(ordinary))
+    pick = best(x[:, 2], at)
+    for _ in range(CHOICES):  # which stretch is the best hangs on the weights, and these on the best stretches
+        w = fit_logistic(x[pick], y, weight)
+        pick = best(x @ w[:-1], at)
+    return dictionaries(as_bytes(toxic), as_bytes(ordinary)) | {"weights": w.tolist()}
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -192,14 +250,30 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return w
 
 
+# ---------------------------------------------------------------- the operator
+
+
+def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> dict:
+    """The dictionaries and the calibration, from at most per_class rows of each class that are not held out (see learn_rows())."""
+    rows = learn_rows(docs, labels, label, per_class, [0, 1], id_col, text_col)
+    counts = {r["y"]: r["n"] for r in labels.where(F.col(label).isin([0, 1]) & ~held_out(id_col)).groupBy(F.col(label).alias("y")).agg(F.count("*").alias("n")).collect()}
+    return fit([t for y, _, t in rows if y], [t for y, _, t in rows if not y], counts)
+
+
 def score_toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col and score (0 to 1) of every whole text; a null text counts as empty. An empty table gives an empty result."""
+    """id_col and score (0 to 1) of every whole text.
+
+    A null text counts as empty: one stretch without windows. Repeated rows and
+    equal texts get equal scores; a long text gets that of its best stretch. An
+    empty table gives an empty result. Columns other than the two are not read.
+    """
 
     def run(batches):
-        pair, w = tools(model), np.array(model["weights"])
+        gains, w = Gains(model), np.array(model["weights"])
         for piece in slices(batches, "t"):
-            texts = [t.encode() for t in pc.utf8_lower(plain(piece["t"])).to_pylist()]
-            odds = np.array([(x @ w[:-1]).max() for x in features(texts, *pair)]) + w[-1]
+            x, at = features(plain(piece["t"]), gains)
+            odds = x @ w[:-1]
+            odds = odds[best(odds, at)] + w[-1]
             yield pa.RecordBatch.from_arrays([plain(piece["i"]), pa.array(1 / (1 + np.exp(-np.clip(odds, -500, 500))))], ["i", "score"])
 
     schema = T.StructType([T.StructField("i", docs.schema[id_col].dataType), T.StructField("score", T.DoubleType())])

@@ -39,9 +39,8 @@ def test_toxicity(spark, tables, odd):
     docs, labels = tables
     got = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
     clean, toxic = [r for r in got if r.toxic == 0], [r for r in got if r.toxic == 1]
-    assert sum(r.predicted for r in clean) <= 0.02 * len(clean)
-    # half of the toxic labels lie on texts without any toxic word
-    assert sum(r.predicted for r in toxic) >= 0.4 * len(toxic)
+    assert sum(r.predicted for r in clean) <= 0.03 * len(clean)
+    assert sum(r.predicted for r in toxic) >= 0.8 * len(toxic)
     model = toxicity.learn(docs, labels)
     scores = {r.doc_id: r.score for r in toxicity.score_toxicity(odd, model).collect()}
     assert all(0 <= s <= 1 for s in scores.values()) and scores[-1] == scores[-2] < 0.5
@@ -64,30 +63,52 @@ def flagged(spark, model, texts):
 def test_toxic_passage_in_a_long_clean_text(spark, toxic_model):
     model, toxic, clean = toxic_model
     alone = flagged(spark, model, [r.text for r in toxic])
-    ordinary = "\n".join(r.text for r in clean[:100])
-    fillers = [ordinary[k * 1000 : k * 1000 + 20_000] for k in range(len(toxic))]
+    ordinary = "\n".join(r.text for r in clean)
+    step = len(ordinary) // len(toxic)
+    fillers = [ordinary[k * step : (k + 1) * step][:20_000] for k in range(len(toxic))]
     inside = flagged(spark, model, [f"{f}\n{r.text}\n{f}" for f, r in zip(fillers, toxic)])
-    assert alone >= 0.6 * len(toxic) and inside >= 0.85 * alone
+    assert alone >= 0.85 * len(toxic) and inside >= 0.85 * alone
     assert flagged(spark, model, fillers) <= 0.2 * len(fillers)
 
 
-def test_toxic_words_of_every_language(spark, toxic_model):
-    model, toxic, _ = toxic_model
-    for lang in ("de", "en", "fr"):  # six held-out texts are too few to tell for Spanish
+def test_toxic_texts_of_every_language(spark, toxic_model):
+    model, toxic, clean = toxic_model
+    assert flagged(spark, model, [r.text for r in clean]) <= 0.02 * len(clean)
+    for lang in ("de", "en", "fr", "es"):
         texts = [r.text for r in toxic if r.lang == lang]
-        assert flagged(spark, model, texts) >= 0.35 * len(texts)
+        assert flagged(spark, model, texts) >= 0.8 * len(texts)
 
 
 def test_toxicity_dictionaries_are_passages():
     ordinary = [f"the weather of day {k} was fair\nand mild".encode() for k in range(60)]
     toxic = [f"they said you fool number {k} and left".encode() for k in range(120)] + [f"da war der dummkopf mit hut {k}".encode() for k in range(5)]
-    model = toxicity.fit(toxic, ordinary, {0: 60, 1: 125})
-    lines = {t.split(b"\n")[0] for t in ordinary}
-    assert set(model["base"].splitlines()) <= lines and model["base"].count(b"\n") >= 20
-    assert b"fool" in model["extra"] and b"they said you " in model["extra"]
-    assert len(model["plain"]) == len(model["extra"]) and b"fool" not in model["plain"]
-    # five texts of 125 are below the old floor of a twentieth
-    assert b"dummkopf" in toxicity.telling_words(toxic, [*ordinary * 20])
+    found = toxicity.dictionaries(toxic, ordinary * 20)
+    pieces = {p.strip() for t in toxic for p in toxicity.cut_at_spaces(t, toxicity.SPAN)}
+    taken = found["extra"].decode()
+    for p in sorted(pieces, key=len, reverse=True):
+        taken = taken.replace(p.decode() + " ", "")
+    assert taken == "" and b"fool" in found["extra"] and b"dummkopf" in found["extra"]
+    # the ordinary ones are ordinary passages, and no longer than the toxic ones
+    assert b"fool" not in found["plain"] + found["base"] and all(w in b" ".join(ordinary) for w in found["base"].split())
+    assert max(len(found["plain"]), len(found["base"])) <= len(found["extra"])
+
+
+def test_windows_against_single_calls():
+    ordinary = [f"the weather of day {k} was fair and mild as ever" for k in range(60)]
+    toxic = [f"they said you fool number {k} and left the day" for k in range(120)]
+    model = toxicity.fit(toxic, ordinary, {0: 60, 1: 120})
+    texts = ["", "you FOOL", "fool\nfool, the weather", "x" * 200, "the day was mild " * 100 + "you fool", "fool " * 300]
+    plain = toxicity.compressor(model["plain"] + model["base"], toxicity.LEVEL)
+    extra = toxicity.compressor(model["extra"] + model["base"], toxicity.LEVEL)
+    got, at = toxicity.features(toxicity.pa.array(texts, toxicity.pa.large_string()), toxicity.Gains(model, memo_windows=3))
+    for k, text in enumerate(texts):
+        gain = []
+        for word in text.lower().replace(",", " ").encode().split():
+            cuts = [model["base"][:14] + b" " + word[i : i + 64] + b" " + bytes(256) for i in range(0, len(word), 64)]
+            gain.append(min(max(0, *(len(plain.compress(c)) - len(extra.compress(c)) for c in cuts)), 8))
+        begins = sorted({max(min(b, len(gain) - 128), 0) for b in range(0, max(len(gain) - 64, 1), 64)})
+        want = [[max(part, default=0), *(sum(g >= s for g in part) ** 0.5 for s in (2, 3, 4, 5, 6)), np.log(max(len(part), 1))] for part in (gain[b : b + 128] for b in begins)]
+        assert np.allclose(got[at[k] : at[k + 1]], want)
 
 
 def test_quality(spark, tables, odd):
