@@ -26,12 +26,31 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back.
 
     Later jobs start from the written files, so a lost executor costs only the
-    tasks that it ran. The files stay until the shared folder is cleared.
+    tasks that it ran. drop() deletes them; else they stay until the folder is cleared.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/campuslake/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables of cut() that nothing reads any more: what was made of them has been written."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of a side that is broadcast (tens of bytes each); larger sides are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, broadcast if it is within BROADCAST_ROWS; its rows must be of fixed width."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 #: A key counts as hot if it has more than one row in so many; there are as many hot keys at most.

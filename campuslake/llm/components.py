@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, drop
 
 
 def _least(both: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def _least(both: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) of every node of links (a, b): label is the least node that it is connected with.
+    """(node, label) of every node of links (a, b), as a written table: label is the least node that it is connected with.
 
     Each round hangs the larger neighbours of a node, then the smaller ones, on
     the least node known; it ends when the links no longer change. A node with
@@ -29,10 +29,13 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b")))
-        edges = cut(small.where("a <> b").distinct(), "links")
+        before, edges = edges, cut(small.where("a <> b").distinct(), "links")
+        drop(before)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break
         seen = state
     out = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    return out.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
+    out = cut(out.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()), "labels")
+    drop(edges)
+    return out

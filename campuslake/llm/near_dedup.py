@@ -19,8 +19,10 @@ sets of up to POOL shingles it is no estimate but the similarity itself.
 
 How groups of copies stay cheap: equal sets become one node. In the first rounds
 each member of a list is tried with one member of another component only, the
-links are confirmed, and components grow; the last round looks at all pairs that
-are still in different components.
+links are confirmed, and components grow; long lists are dealt into blocks then,
+and the list's first member joins each of them. The last round looks at all pairs
+that are still in different components: the members outside a list's largest
+component meet each other and those inside it, block by block.
 """
 
 from __future__ import annotations
@@ -30,11 +32,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut, mix, plain, slices, windows, words
+from .common import cut, drop, mix, plain, slices, small, windows, words
 from .components import components
 
 SHINGLE = 5
@@ -45,15 +47,13 @@ HOT = 256
 #: The bound: 100 * intersection >= PERCENT * union.
 PERCENT = 75
 SLACK = 5.5
-#: Members of a list that meet in one call; longer lists are dealt into blocks, and each pair of blocks is a call.
-BLOCK = 2048
+#: Members of a list that meet in one call; longer lists are dealt into blocks.
+BLOCK = 512
 PAD = np.uint64(2**64 - 1)
 #: Sketches travel as the upper halves of their hashes: equal halves of unequal hashes only let a pair pass that the full sets then judge.
 HALF = np.uint32(2**32 - 1)
 #: Rounds that try one pair for each member of a list.
 ROUNDS = 3
-#: Rows of a side that is broadcast (16 bytes each); larger sides are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
 
 
 # ---------------------------------------------------------------- sets and sketches
@@ -80,11 +80,7 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """docs (d, h, t) to (u, d, h, n, s1, s2, pool): the row's number, the set's size, two sums that stand for the set, and its smallest hashes.
-
-    Rows are numbered here unless docs has a column u that numbers them.
-    """
-    numbered = "u" in docs.columns
+    """docs (d, h, t) to (u, d, h, n, s1, s2, pool): the row's number, the set's size, two sums that stand for the set, and its smallest hashes."""
 
     def run(batches):
         u = TaskContext.get().partitionId() << 33
@@ -99,7 +95,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     sums.append((total[at[1:]] - total[at[:-1]]).view(np.int64))
             pools = [hashes[a : min(b, a + POOL)].tobytes() for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays(
-                [plain(piece["u"]) if numbered else pa.array(np.arange(u, u + len(n))), plain(piece["d"]), plain(piece["h"]), pa.array(n), pa.array(sums[0]), pa.array(sums[1]), pa.array(pools, pa.binary())],
+                [pa.array(np.arange(u, u + len(n))), plain(piece["d"]), plain(piece["h"]), pa.array(n), pa.array(sums[0]), pa.array(sums[1]), pa.array(pools, pa.binary())],
                 ["u", "d", "h", "n", "s1", "s2", "pool"],
             )
             u += len(n)
@@ -299,21 +295,35 @@ def candidates(lists: DataFrame, few: bool) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def in_blocks(active: DataFrame, pools: DataFrame) -> DataFrame:
-    """Lists of members of several components, with what members are judged by; lists over BLOCK go out as pairs of blocks."""
-    of = active.groupBy("v").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"))
-    of = of.where("m > 1 and low <> high").select("v", F.ceil(F.col("m") / BLOCK).alias("blocks"))
-    lists = active.join(of, "v")
-    mine = F.pmod(F.xxhash64("u"), F.col("blocks"))
-    others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    lists = lists.withColumn("mine", mine).withColumn("other", F.explode(others))
-    lists = lists.select("v", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "u", "label", "mostly")
-    return lists.join(pools, "u")
-
+def in_blocks(active: DataFrame, pools: DataFrame, few: bool) -> DataFrame:
+    """Lists of members of several components, with what members are judged by; lists over BLOCK go out in blocks x, y.
 
-def small(df: DataFrame) -> DataFrame:
-    """df, broadcast if it is within BROADCAST_ROWS."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    few: each member goes out once, and the list's first member to every block.
+    Else the members outside the list's largest component go to a call with each
+    block, those inside it to one with each block of those outside.
+    """
+    cast = ["v", "x", "y", "side", "u", "label", "mostly"]
+    if few:
+        of = active.groupBy("v").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct("u", "label", "mostly")).alias("hub"))
+        of = of.where("m > 1 and low <> high").select("v", "hub", F.ceil(F.col("m") / BLOCK).alias("blocks"))
+        mine = F.pmod(F.xxhash64("u"), F.col("blocks"))
+        lists = active.join(of.select("v", "blocks"), "v").withColumns({"x": mine, "y": mine, "side": F.lit(0)}).select(cast)
+        hubs = of.where("blocks > 1").select("v", "hub.*", "blocks").withColumn("mine", mine)
+        hubs = hubs.withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where("x <> mine")
+        lists = lists.unionByName(hubs.withColumns({"y": F.col("x"), "side": F.lit(0)}).select(cast))
+    else:
+        of = active.groupBy("v", "label").agg(F.count("*").alias("c")).groupBy("v").agg(F.sum("c").alias("m"), F.max(F.struct("c", "label")).alias("main"), F.count("*").alias("k"))
+        one = F.col("m") <= BLOCK
+        outer = F.when(one, 1).otherwise(F.ceil((F.col("m") - F.col("main.c")) / BLOCK)).cast("long")
+        inner = F.when(one, 0).otherwise(F.ceil(F.col("main.c") / BLOCK)).cast("long")
+        of = of.where("k > 1").select("v", F.when(~one, F.col("main.label")).alias("main"), outer.alias("outer"), inner.alias("inner"))
+        lists = active.join(of, "v")
+        inside, h = F.coalesce(F.col("label") == F.col("main"), F.lit(False)), F.xxhash64("u")
+        lists = lists.withColumn("mine", F.when(inside, F.col("outer") + F.pmod(h, F.greatest("inner", F.lit(1).cast("long")))).otherwise(F.pmod(h, F.col("outer"))))
+        last = F.when(inside, F.col("outer") - 1).otherwise(F.col("outer") + F.col("inner") - 1)
+        lists = lists.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        lists = lists.withColumns({"x": F.least("mine", "other"), "y": F.greatest("mine", "other"), "side": (F.col("mine") > F.col("other")).cast("int")}).select(cast)
+    return lists.join(pools, "u")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -340,18 +350,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- the operator
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
-    """id_col, n_shingles, component_id, kept and first for every row of docs.
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(d, h, n, component_id, first) for every row of docs, as a written table: its id, the hash of its text, its set's size, the least id of its component, and whether it is the one row that stands for it.
 
-    component_id is the least id that links lead to, kept whether that is the row's
-    own; first is true for one row of each component, even where rows are repeated
-    with one id. Words are split at ASCII white space and A-Z lower-cased; a text
-    of fewer than five words is one shingle; null texts and texts without words
-    are linked with nothing. A null id counts as none: its row takes the least id
-    of the others. Other columns are not read. row_col: a long column that numbers
-    the rows of docs; it is then in the result too.
+    What near_dedup() says of ids, nulls and repeats holds here.
     """
-    text = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"), *([F.col(row_col).alias("u")] if row_col else []))
+    text = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
     base = cut(sketches(text), "sketches")
     nodes = base.where("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("u", "d", "h")).alias("x"), F.min("d").alias("least"))
     nodes = cut(nodes.select("s1", "s2", "n", "least", "x.*"), "nodes")
@@ -359,32 +363,86 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     active = cut(postings(sketched), "postings")
     members = cut(active.select("u").distinct(), "members")
     pools = cut(halves(base.join(small(members), "u", "left_semi")), "pools")
+    long_sets: list[DataFrame] = []
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        """The pairs confirmed on full sets, which are made anew from the texts of these documents alone."""
-        ends = cut(pairs.select(F.col("a").alias("u")).unionByName(pairs.select(F.col("b").alias("u"))).distinct().join(nodes.select("u", "d", "h"), "u"), "ends")
-        same_row = F.col("t.u") == F.col("w.u") if row_col else F.col("t.h").eqNullSafe(F.col("w.h")) & F.col("t.d").eqNullSafe(F.col("w.d"))
-        found = text.alias("t").join(small(ends).alias("w"), same_row).select("w.u", "t.t")
-        sets = cut(full_sets(found.groupBy("u").agg(F.min("t").alias("t"))), "sets")
-        return cut(confirmed(pairs, sets), "confirmed")
-
-    known, links = active.withColumn("label", F.col("u")), None
-    few, turn = True, 0
+        """The pairs confirmed on full sets. A set of up to POOL is its sketch; longer ones are made anew from the texts, once for each document that needs it."""
+        found = cut(pairs.select(F.col("a").alias("u")).unionByName(pairs.select(F.col("b").alias("u"))).distinct(), "ends")
+        ends = cut(nodes.select("u", "d", "h", "n").join(small(found), "u"), "ends")
+        sets = base.join(small(ends.where(F.col("n") <= POOL).select("u")), "u", "left_semi").select("u", F.col("pool").alias("set"))
+        new = ends.where(F.col("n") > POOL).select("u", "d", "h")
+        for known in long_sets:
+            new = new.join(known.select("u"), "u", "left_anti")
+        new = cut(new, "ends")
+        if not new.isEmpty():
+            same_row = F.col("t.h").eqNullSafe(F.col("w.h")) & F.col("t.d").eqNullSafe(F.col("w.d"))
+            # a text of more than POOL shingles has more characters than that
+            texts = text.where(F.length("t") > POOL).alias("t").join(small(new).alias("w"), same_row).select("w.u", "t.t")
+            long_sets.append(cut(full_sets(texts.groupBy("u").agg(F.min("t").alias("t"))), "sets"))
+        for known in long_sets:
+            sets = sets.unionByName(known)
+        out = cut(confirmed(pairs, sets), "confirmed")
+        drop(found, ends, new)
+        return out
+
+    known, links = active.withColumn("label", F.col("u")), []
+    few, turn, labels = True, 0, None
     while True:
-        more = links_of(cut(candidates(in_blocks(known, pools), few), "pairs"))
-        links = more if links is None else links.unionByName(more)
-        labels = cut(components(links), "labels")
+        pairs = cut(candidates(in_blocks(known, pools, few), few), "pairs")
+        links.append(links_of(pairs))
+        every = links[0]
+        for more in links[1:]:
+            every = every.unionByName(more)
+        before, labels = labels, components(every)
+        drop(pairs, *([before] if before is not None else []))
         if not few:
             break
         known = active.join(labels.withColumnRenamed("node", "u"), "u", "left").withColumn("label", F.coalesce("label", "u"))
         turn += 1
-        few = turn < ROUNDS and not more.isEmpty()
+        few = turn < ROUNDS and not links[-1].isEmpty()
 
     of = nodes.join(labels.withColumnRenamed("node", "u"), "u", "left").withColumn("label", F.coalesce("label", "u"))
     least = of.groupBy("label").agg(F.min("least").alias("component_id"), F.min(F.struct("d", "u")).alias("head"))
     of = of.join(least, "label").select("s1", "s2", "n", "component_id", F.col("head.u").alias("head"))
-    out = base.select("u", "d", "n", "s1", "s2").join(of, ["s1", "s2", "n"], "left")
-    return out.select(
-        F.col("d").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "d").alias("component_id"),
-        F.coalesce(F.col("d") == F.coalesce("component_id", "d"), F.lit(False)).alias("kept"), (F.col("u") == F.coalesce("head", "u")).alias("first"), *([F.col("u").alias(row_col)] if row_col else []),
-    )
+    out = base.select("u", "d", "h", "n", "s1", "s2").join(of, ["s1", "s2", "n"], "left")
+    out = cut(out.select("d", "h", "n", F.coalesce("component_id", "d").alias("component_id"), (F.col("u") == F.coalesce("head", "u")).alias("first")), "classes")
+    drop(base, nodes, active, members, pools, labels, *links, *long_sets)
+    return out
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id_col, n_shingles, component_id, kept and first for every row of docs.
+
+    component_id is the least id that links lead to, kept whether that is the row's
+    own; first is true for one row of each component, even where rows are repeated
+    with one id. Words are split at ASCII white space and A-Z lower-cased; a text
+    of fewer than five words is one shingle; null texts and texts without words
+    are linked with nothing. A null id counts as none: its row takes the least id
+    of the others. Texts of any length are compared whole. An empty table gives an
+    empty result. Other columns are not read, so their names may be any.
+    """
+    same = F.col("d") == F.col("component_id")
+    return classes(docs, id_col, text_col).select(F.col("d").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(same, F.lit(False)).alias("kept"), "first")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs less all but one of each component, with their columns as they are; rows are told apart by id and text.
+
+    Of rows repeated with one id and one text any one stays. Null and empty texts
+    stay; an empty table gives an empty result.
+    """
+    found = classes(docs, id_col, text_col)
+    keys = cut(found.groupBy("d", "h").agg(F.max("first").alias("stays"), F.count_if("first").alias("times"), F.count("*").alias("many")), "keys")
+    drop(found)
+    d, h = F.col(id_col).cast("long"), F.xxhash64(text_col)
+
+    def of(which: str) -> tuple[DataFrame, Column]:
+        chosen = small(keys.where(which).select(F.col("d").alias("key_d"), F.col("h").alias("key_h")))
+        return chosen, d.eqNullSafe(F.col("key_d")) & h.eqNullSafe(F.col("key_h"))
+
+    rows = docs.join(*of("not stays"), "left_anti")
+    twice = "stays and times < many"
+    if keys.where(twice).isEmpty():
+        return rows
+    again = rows.join(*of(twice), "left_semi").withColumns({"key_d": d, "key_h": h}).dropDuplicates(["key_d", "key_h"]).drop("key_d", "key_h")
+    return rows.join(*of(twice), "left_anti").unionByName(again)

@@ -14,10 +14,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campuslake.llm.common import cut, positional, shared_dir
+from campuslake.llm.common import positional, shared_dir
 from campuslake.llm.language_id import UNKNOWN, identify, learn
 from campuslake.llm.line_dedup import line_dedup
-from campuslake.llm.near_dedup import near_dedup
+from campuslake.llm.near_dedup import one_of_each
 from campuslake.llm.packing import pack
 from campuslake.llm.quality_rules import quality_rules
 
@@ -61,9 +61,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     rows, at, inside = named(docs)
-    rows = cut(rows.withColumn("u", F.monotonically_increasing_id()), "rows")
-    gone = near_dedup(rows, at["doc_id"], at["text"], row_col="u").where("not first").select("u")
-    return rows.join(gone, "u", "left_anti").select(inside).toDF(*docs.columns)
+    return one_of_each(rows, at["doc_id"], at["text"]).select(inside).toDF(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 
 import numpy as np
 import pytest
 
-from campuslake.llm import components, line_dedup, near_dedup, warc
+from campuslake.llm import common, components, line_dedup, near_dedup, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -84,7 +85,31 @@ def test_components_against_brute_force(spark, monkeypatch, hot, block):
 
 
 def test_near_dedup_of_nothing(spark):
-    assert near_dedup.near_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    nothing = spark.createDataFrame([], "doc_id long, text string")
+    assert near_dedup.near_dedup(nothing).count() == 0 and near_dedup.one_of_each(nothing).count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [10**6, 0])
+def test_one_of_each_component_stays(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast)
+    rows = [(k, t) for k, t in enumerate(corpus(5), 10)]
+    rows += [rows[3], rows[40], rows[40], (None, rows[50][1]), (None, "no id at all"), (None, "no id at all"), (7, None), (7, None), (8, ""), (8, "")]
+    df = spark.createDataFrame([(i, t, "u", n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, h string, u int").repartition(3)
+    got = near_dedup.one_of_each(df).collect()
+    sets = [shingle_set(t) for _, t in rows]
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    of = groups(links, range(len(rows)))
+    assert sorted(of[r.u] for r in got) == sorted({of[n] for n in range(len(rows))})
+    assert all((r.doc_id, r.text) == rows[r.u] for r in got) and got[0].__fields__ == ["doc_id", "text", "h", "u"]
+    assert len(list(os.scandir(f"{common.shared_dir(spark)}/campuslake"))) >= 1
+
+
+def test_tables_are_deleted_once_used(spark):
+    before = {x.name for x in os.scandir(f"{common.shared_dir(spark)}/campuslake")}
+    rows = [(k, t) for k, t in enumerate(corpus(6), 10)]
+    near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = {x.name for x in os.scandir(f"{common.shared_dir(spark)}/campuslake")} - before
+    assert {x.split("-")[0] for x in left} <= {"classes", "ends"} and sum(x.startswith("classes") for x in left) == 1
 
 
 def test_no_link_is_missed_by_the_estimate(spark):
