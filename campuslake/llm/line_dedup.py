@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from .common import cut, join_groups, per_text, plain, positional, slices, split_flat, words
+from .common import cut, drop, join_groups, per_text, plain, positional, slices, split_flat, words
 
 MIN_WORDS = 50
 
+
 def shortest_runs(size: np.ndarray, starts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """For each line, how many lines from it onward (and up to it) hold `least` words within its document; 0 if too few are left."""
     before = np.zeros(len(size) + 1, np.int64)
@@ -83,28 +84,30 @@ def repeated(lines: DataFrame, min_words: int) -> DataFrame:
 
 
 def classes(first: DataFrame, min_words: int) -> list[DataFrame]:
-    """Tables (u, p, d, name, k): positions whose class of depth 2^k has several members, and its first member (d, u, p)."""
+    """Written tables (u, p, d, name), the k-th of positions whose class of depth 2^k has several members, and its first member (d, u, p); the first of them is `first`."""
     me = F.struct("d", "u", "p")
-    active, out, h = first.select("u", "d", "p", "name"), [first.select("u", "d", "p", "name", F.lit(0).alias("k"))], 1
+    active, out, h = first.select("u", "d", "p", "name"), [first], 1
     while 2 * h <= min_words:
         ahead = F.first("name").over(W.partitionBy("u").orderBy("p").rangeBetween(h, h))
         pairs = active.withColumn("next", ahead).where(F.col("next").isNotNull())
         groups = pairs.groupBy("name", "next").agg(F.min(me).alias("new"), F.count("*").alias("n")).where("n > 1")
         active = cut(join_groups(pairs, groups, ["name", "next"], active.count()).select("u", "d", "p", F.col("new").alias("name")), "classes")
         if active.isEmpty():
+            drop(active)
             break
-        out.append(active.withColumn("k", F.lit(len(out))))
+        out.append(active)
         h *= 2
     return out
 
 
 def later_copies(lines: DataFrame, min_words: int) -> DataFrame:
-    """(u, p, n): the runs of n lines from line p that also begin earlier, as far as shortest runs go."""
+    """(u, runs), as a written table: of each document the runs (p, n) of n lines from line p that also begin earlier, as far as shortest runs go."""
     first = cut(repeated(lines, min_words), "repeated")
     levels = classes(first, min_words)
-    named = levels[0]
-    for level in levels[1:]:
-        named = named.unionByName(level)
+    named = None
+    for k, level in enumerate(levels):
+        level = level.select("u", "p", "name", F.lit(k).alias("k"))
+        named = level if named is None else named.unionByName(level)
     forth = first.where("forth > 0").select("u", "d", "p", F.col("forth").alias("n"))
     back = first.where("back > 0").select("u", "d", (F.col("p") - F.col("back") + 1).alias("p"), F.col("back").alias("n"))
     runs = forth.unionByName(back).distinct()
@@ -114,11 +117,14 @@ def later_copies(lines: DataFrame, min_words: int) -> DataFrame:
     runs = runs.join(named.select("u", F.col("p").alias("q"), "k", F.col("name").alias("y")), ["u", "q", "k"])
     runs = cut(runs.select("u", "d", "p", "n", "x", "y"), "runs")
     heads = runs.groupBy("n", "x", "y").agg(F.min(F.struct("d", "u", "p")).alias("first"), F.count("*").alias("many")).where("many > 1")
-    return join_groups(runs, heads, ["n", "x", "y"], runs.count(), "many").where(F.struct("d", "u", "p") != F.col("first")).select("u", "p", "n")
+    later = join_groups(runs, heads, ["n", "x", "y"], runs.count(), "many").where(F.struct("d", "u", "p") != F.col("first"))
+    out = cut(later.groupBy("u").agg(F.collect_list(F.struct("p", "n")).alias("runs")), "later")
+    drop(runs, *levels)
+    return out
 
 
-def without(text: str, runs: list[tuple[int, int]]) -> tuple[str, int, int]:
-    """The text less the runs (first line, lines; counted among lines with a word), the lines with a word, and how many of them went.
+def without(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
+    """The text less the runs (first line, lines; counted among lines with a word), and how many lines with a word went.
 
     Blank lines between two deleted lines of overlapping or touching runs go with them.
     """
@@ -134,7 +140,7 @@ def without(text: str, runs: list[tuple[int, int]]) -> tuple[str, int, int]:
         drop.add(full[q])
         if q + 1 in gone:
             drop.update(range(full[q], full[q + 1]))
-    return "\n".join(s for i, s in enumerate(lines) if i not in drop), len(full), len(gone)
+    return "\n".join(s for i, s in enumerate(lines) if i not in drop), len(gone)
 
 
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
@@ -143,8 +149,9 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_i
     The earlier of two copies is that in the document of the smaller id (null
     first; among rows repeated with an id, in the order read), then the one nearer
     the beginning. Copies inside one document count; lines are equal if their
-    texts are. Null and empty texts have no lines and stay as they are. Other
-    columns are kept, whatever their names; those named as counts are replaced.
+    texts are. Null and empty texts have no lines and stay as they are; texts and
+    lines of any length are taken whole. An empty table gives an empty result.
+    Other columns are kept, whatever their names; those named as counts are replaced.
     """
     docs = docs.drop(*counts)
     names = docs.columns
@@ -153,18 +160,23 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_i
     rows = rows.withColumn("u", F.monotonically_increasing_id())
     rows = cut(rows, "documents")
     lines = cut(line_rows(rows.select("u", F.col(i).cast("long").alias("d"), F.col(t).alias("t")), min_words), "lines")
-    gone = later_copies(lines, min_words).groupBy("u").agg(F.collect_list(F.struct("p", "n")).alias("runs"))
-    joined = rows.join(gone, "u", "left").drop("u")
+    gone = later_copies(lines, min_words)
+    many = cut(lines.groupBy("u").agg(F.count("*").alias("n_lines")).join(gone, "u", "left"), "counts")
+    drop(lines, gone)
+    joined = rows.join(many, "u", "left").drop("u").withColumn("n_lines", F.coalesce("n_lines", F.lit(0).cast("long")))
 
     def run(batches):
         for batch in batches:
-            texts, runs = batch.column(t).to_pylist(), batch.column("runs").to_pylist()
-            found = [(x, 0, 0) if x is None else without(x, [(r["p"], r["n"]) for r in g or []]) for x, g in zip(texts, runs)]
-            columns = {c: batch.column(c) for c in inside}
-            columns[t] = pa.array([x for x, _, _ in found], batch.column(t).type)
-            columns["n_lines"], columns["n_removed"] = pa.array([n for _, n, _ in found], pa.int64()), pa.array([n for _, _, n in found], pa.int64())
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
-
-    schema = T.StructType([*joined.select(inside).schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
-    out = joined.mapInArrow(run, schema)
-    return out.toDF(*names, *counts)
+            columns = {c: batch.column(c) for c in [*inside, "n_lines"]}
+            removed = np.zeros(batch.num_rows, np.int64)
+            at = np.flatnonzero(batch.column("runs").is_valid().to_numpy(zero_copy_only=False))
+            if len(at):  # all other texts pass as they are
+                less = [without(columns[t][i].as_py(), [(r["p"], r["n"]) for r in batch.column("runs")[i].as_py()]) for i in at.tolist()]
+                mask = np.zeros(batch.num_rows, bool)
+                mask[at] = True
+                columns[t] = pc.replace_with_mask(columns[t], pa.array(mask), pa.array([x for x, _ in less], columns[t].type))
+                removed[at] = [n for _, n in less]
+            yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(removed)], [*columns, "n_removed"])
+
+    schema = T.StructType([*joined.select([*inside, "n_lines"]).schema.fields, T.StructField("n_removed", T.LongType())])
+    return joined.mapInArrow(run, schema).toDF(*names, *counts)
