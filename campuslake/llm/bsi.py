@@ -1,7 +1,8 @@
 """Exact top-k search by inner product on a bit-sliced index.
 
-A block of vectors is kept as bitmaps: slice b of attribute d has a bit for every
-row whose quantised value has bit b. The scores of all rows of a block for a query
+A block of vectors is indexed as bitmaps, cut once and written: slice b of
+attribute d has a bit for every row whose quantised value, less the attribute's
+least one, has bit b. The scores of all rows of a block for a query
 are the weighted sum of the attributes; it is formed by adding slices with
 carry-save adders on whole bitmaps, and comes out as slices again. The top rows
 are found from the most significant score slice downward, and the rows that tie
@@ -11,7 +12,6 @@ at the border are resolved by their id.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -25,6 +25,8 @@ SCALE = 256
 #: Rows to a block: 64 of them share a word of each bitmap.
 BLOCK_ROWS = 8192
 QUERY_EVERY = 50
+#: Blocks whose queries meet a block in one row.
+QUERY_BLOCKS = 32
 TOP = 5
 #: The squares of a vector's quantised values sum to less, so that they fit 32 bits and every score 64; other vectors are refused.
 BOUND = 1 << 62
@@ -37,18 +39,21 @@ def bitmap(flags: np.ndarray) -> np.ndarray:
     return np.packbits(padded, axis=-1, bitorder="little").view(np.uint64)
 
 
+def cut_slices(values: np.ndarray) -> tuple[np.ndarray, int, np.ndarray]:
+    """The least value of each attribute, how many slices an attribute has, and the slices (attribute, bit, words) of quantised vectors (rows x attributes)."""
+    low = values.min(0) if len(values) else np.zeros(values.shape[1], np.int64)
+    moved = (values - low).T
+    bits = max(int(moved.max(initial=0)).bit_length(), 1)
+    return low, bits, np.stack([bitmap((moved >> b & 1).astype(bool)) for b in range(bits)], 1)
+
+
 class Slices:
-    """The slices of a block of quantised vectors (rows x attributes)."""
-
-    def __init__(self, values: np.ndarray):
-        self.values, self.rows = values, len(values)
-        self.low = values.min(0)
-        top = int((values - self.low).max(initial=0))
-        self.bits = max(top.bit_length(), 1)
-        moved = (values - self.low).T
-        self.ones = np.stack([bitmap((moved >> b & 1).astype(bool)) for b in range(self.bits)], 1)
-        self.zeros = ~self.ones
-        self.full = bitmap(np.ones(self.rows, bool))
+    """One block of the index: its rows' ids, and what cut_slices() gave."""
+
+    def __init__(self, ids: np.ndarray, low: np.ndarray, bits: int, ones: np.ndarray):
+        self.ids, self.low, self.bits, self.ones = ids, low, bits, ones
+        self.zeros = ~ones
+        self.full = bitmap(np.ones(len(ids), bool))
 
     def scores(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """Slices of the score, least significant first, and what to add to the number that they spell.
@@ -87,7 +92,7 @@ class Slices:
             k += 1
         return out, base
 
-    def top(self, query: np.ndarray, k: int, without: int | None, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def top(self, query: np.ndarray, k: int, without: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Rows and scores of the k best rows, ties to the smaller id; `without` is the query's own row."""
         slices, base = self.scores(query)
         sure, open_ = np.zeros_like(self.full), self.full.copy()
@@ -108,7 +113,7 @@ class Slices:
         rows = self.listed(sure)
         if have < k:  # the border: these rows have one score
             edge = self.listed(open_)
-            edge = edge[np.lexsort((edge, ids[edge]))][: k - have]
+            edge = edge[np.lexsort((edge, self.ids[edge]))][: k - have]
             rows = np.concatenate([rows, edge])
         spelled = np.zeros(len(rows), np.int64)
         for b, s in enumerate(slices):
@@ -137,8 +142,11 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.select(F.col(id_col).cast("long").alias("id"), F.when(squares < float(BOUND), F.transform(x, lambda v: whole(v).cast("int"))).otherwise(refused).alias("q"))
 
 
-def index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Blocks of at most block_rows rows: block, rows, width, ids and values (binary). Shorter vectors are filled up with zeros."""
+INDEX = "block long, width long, bits long, ids binary, low binary, slices binary, q_rows binary, q_ids binary, q_values binary"
+
+
+def index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, query_every: int = QUERY_EVERY) -> DataFrame:
+    """Blocks of about block_rows rows: their slices, and the values of the rows whose id is divisible by query_every. Shorter vectors are filled up with zeros."""
     rows = quantised(vectors, id_col, vector_col)
     # dealt round robin: each task gets about block_rows rows, whatever the ids are, and makes one block
     rows = rows.repartition(max(1, -(-rows.count() // block_rows)))
@@ -148,7 +156,7 @@ def index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
         for batch in batches:
             q = batch.column("q")
             sizes = np.diff(np.asarray(q.offsets))
-            part = np.zeros((len(sizes), int(sizes.max(initial=0))), np.int32)
+            part = np.zeros((len(sizes), int(sizes.max(initial=0))), np.int64)
             part[np.arange(part.shape[1]) < sizes[:, None]] = np.asarray(q.flatten())
             ids.append(np.asarray(batch.column("id")))
             parts.append(part)
@@ -156,60 +164,57 @@ def index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
             width = max(p.shape[1] for p in parts)
             values = np.concatenate([np.pad(p, ((0, 0), (0, width - p.shape[1]))) for p in parts])
             ids = np.concatenate(ids)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([len(ids)]), pa.array([width]), pa.array([ids.tobytes()]), pa.array([values.tobytes()])],
-                ["block", "rows", "width", "ids", "values"],
-            )
-
-    return rows.mapInArrow(run, "block long, rows long, width long, ids binary, values binary")
-
+            low, bits, slices = cut_slices(values)
+            asked = np.flatnonzero(ids % query_every == 0)
+            found = [TaskContext.get().partitionId(), width, bits, ids.tobytes(), low.astype(np.int64).tobytes(), slices.tobytes(), asked.astype(np.int64).tobytes(), ids[asked].tobytes(), values[asked].astype(np.int32).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in found], [c.split()[0] for c in INDEX.split(", ")])
 
-def unpack(row) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row.ids, np.int64), np.frombuffer(row.values, np.int32).reshape(row.rows, row.width).astype(np.int64)
+    return rows.mapInArrow(run, INDEX)
 
 
-def search(blocks: DataFrame, query_every: int = QUERY_EVERY, k: int = TOP) -> DataFrame:
-    """query_id, rank, vec_id, score: the k best rows for each row whose id is divisible by query_every.
+def search(blocks: DataFrame, k: int = TOP) -> DataFrame:
+    """query_id, rank, vec_id, score: the k best rows of an index() for each of its queries.
 
     A query meets every row but itself; rows repeated under its id are other rows.
-    Every block of rows meets the queries of every block: that is the stated query
-    set against all rows, block by block. Each pair of blocks gives k rows a query
-    at most, and only those are shuffled.
+    Every block meets every query, those of QUERY_BLOCKS blocks at a time: that is
+    the stated query set against all rows, block by block. Each pair of a block and
+    a query gives k rows at most, and only these are shuffled.
     """
-
-    def cut_queries(frames):
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                ids, values = unpack(row)
-                mine = np.flatnonzero(ids % query_every == 0)
-                if len(mine):
-                    yield pd.DataFrame({"q_block": [row.block], "q_rows": [mine.astype(np.int64).tobytes()], "q_width": [row.width], "q_ids": [ids[mine].tobytes()], "q_values": [values[mine].astype(np.int32).tobytes()]})
-
-    queries = blocks.mapInPandas(cut_queries, "q_block long, q_rows binary, q_width long, q_ids binary, q_values binary")
     last = blocks.agg(F.max("block")).first()[0]
-    if last is None:
-        last = 0
-    # blocks are numbered from 0: each block of queries goes to every block of rows
-    pairs = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(last)).cast("array<long>"))).join(blocks, "block")
-
-    def meet(frame):
-        row = next(frame.itertuples(index=False))
-        ids, values = unpack(row)
-        slices = Slices(values)
-        own, names = np.frombuffer(row.q_rows, np.int64), np.frombuffer(row.q_ids, np.int64)
-        asked = np.frombuffer(row.q_values, np.int32).reshape(len(names), row.q_width).astype(np.int64)
-        asked = asked[:, : row.width] if row.q_width >= row.width else np.pad(asked, ((0, 0), (0, row.width - row.q_width)))
-        out = []
-        for name, at, query in zip(names, own, asked):
-            found, score = slices.top(query, k, int(at) if row.q_block == row.block else None, ids)
-            out.append(np.stack([np.full(len(found), name), np.full(len(found), row.q_block), np.full(len(found), at), ids[found], score], 1))
-        return pd.DataFrame(np.concatenate(out), columns=["query_id", "q_block", "q_row", "vec_id", "score"])
-
-    best = pairs.groupBy("block", "q_block").applyInPandas(meet, "query_id long, q_block long, q_row long, vec_id long, score long")
+    asked = blocks.where(F.length("q_ids") > 0).select(F.floor(F.col("block") / QUERY_BLOCKS).alias("batch"), F.struct("block", "width", "q_rows", "q_ids", "q_values").alias("q"))
+    batches = asked.groupBy("batch").agg(F.collect_list("q").alias("queries"))  # QUERY_BLOCKS structs at most
+    # blocks are numbered from 0: each batch of queries goes to every block
+    batches = batches.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(last or 0)).cast("array<long>")))
+    pairs = blocks.select("block", "width", "bits", "ids", "low", "slices").join(batches, "block")
+
+    def run(frames):
+        held, slices = None, None
+        for frame in frames:
+            for row in frame.to_pylist():
+                if held != row["block"]:  # the pairs of a block come one after the other
+                    ones = np.frombuffer(row["slices"], np.uint64).reshape(row["width"], row["bits"], -1)
+                    held, slices = row["block"], Slices(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["low"], np.int64), row["bits"], ones)
+                for q in row["queries"]:
+                    own, names = np.frombuffer(q["q_rows"], np.int64), np.frombuffer(q["q_ids"], np.int64)
+                    values = np.frombuffer(q["q_values"], np.int32).reshape(len(names), q["width"]).astype(np.int64)
+                    values = values[:, : row["width"]] if q["width"] >= row["width"] else np.pad(values, ((0, 0), (0, row["width"] - q["width"])))
+                    out = []
+                    for name, at, query in zip(names, own, values):
+                        found, score = slices.top(query, k, int(at) if q["block"] == row["block"] else None)
+                        out.append(np.stack([np.full(len(found), name), np.full(len(found), q["block"]), np.full(len(found), at), slices.ids[found], score], 1))
+                    rows = np.concatenate(out)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, c])) for c in range(5)], ["query_id", "q_block", "q_row", "vec_id", "score"])
+
+    best = pairs.mapInArrow(run, "query_id long, q_block long, q_row long, vec_id long, score long")
     order = W.partitionBy("q_block", "q_row", "query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def top_k_search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query_every: int = QUERY_EVERY, k: int = TOP, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """search() on the index of vectors; without a query or another row the result is empty."""
-    return search(cut(index(vectors, id_col, vector_col, block_rows), "index"), query_every, k)
+    """search() on the index of vectors, which is written first; without a query or another row the result is empty.
+
+    Null and empty vectors, vectors that hold null or non-finite components and
+    rows without an id take no part; ties go to the smaller vec_id. Other columns
+    are not read, so their names may be any.
+    """
+    return search(cut(index(vectors, id_col, vector_col, block_rows, query_every), "index"), k)

@@ -35,6 +35,21 @@ def test_top_k(spark, block):
     assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, 50, 5)
 
 
+def test_index_holds_the_slices(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(130, 5)).astype(np.float32)
+    df = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    want = {n: np.floor(256 * v.astype(float)).astype(int).tolist() for n, v in enumerate(vectors)}
+    for row in bsi.index(df, block_rows=50).collect():
+        ids, low = np.frombuffer(row.ids, np.int64), np.frombuffer(row.low, np.int64)
+        ones = np.frombuffer(row.slices, np.uint64).reshape(row.width, row.bits, -1)
+        for r, i in enumerate(ids):
+            bits = ones[:, :, r // 64] >> np.uint64(r % 64) & np.uint64(1)
+            assert (low + (bits.astype(int) << np.arange(row.bits)).sum(1)).tolist() == want.pop(i)
+        assert sorted(np.frombuffer(row.q_ids, np.int64)) == sorted(i for i in ids if i % 50 == 0)
+    assert not want
+
+
 def test_top_k_of_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     assert bsi.top_k_search(spark.createDataFrame([], schema)).count() == 0
