@@ -5,17 +5,24 @@ is the last one of a prefix exactly if it is a suffix of the prefix and stands
 after the last token of what is before it without any merge across the two. The
 distinct words of a batch are walked depth first in sorted order, which is the
 walk of their trie: the states of a shared prefix are computed once.
+
+Texts are cut into words by a pattern over classes of characters. The tables of
+these classes differ between Unicode versions, so the two engines at hand are
+compared over all characters once a process; a text that holds a character on
+which they differ is cut by the tokenizers library itself.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import sys
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+from tokenizers import Regex, Tokenizer, pre_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,10 +43,27 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+@cache
+def differing() -> str | None:
+    """A pattern of the characters that the two engines put into different classes, or None if there are none."""
+    every = "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF)
+    found: set[int] = set()
+    for kind in (r"\p{L}", r"\p{N}", r"\s"):
+        here = set(map(ord, regex.findall(kind, every)))
+        there = pre_tokenizers.Split(Regex(f"{kind}+"), "removed", invert=True).pre_tokenize_str(every)
+        found |= here ^ {ord(c) for part, _ in there for c in part}
+    points = np.array(sorted(found), np.int64)
+    if not len(points):
+        return None
+    runs = np.split(points, np.flatnonzero(np.diff(points) > 1) + 1)
+    return "[" + "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs) + "]"
+
+
 class Vocabulary:
     """The tokens of a byte-level BPE file of the tokenizers library, and the encoder of its words."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, odd: str | None):
+        """odd: what differing() gives."""
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = byte_letters()
@@ -54,10 +78,20 @@ class Vocabulary:
             self.merged[x, y] = (rank, z)
             if z not in self.born:
                 self.born[z], self.left[z], self.right[z] = rank, x, y
-        self.longest = max(map(len, self.id_of))
+        # how long the tokens are that end in the same two or three bytes, the longest first
+        self.by_end: dict[bytes, list[int]] = {}
+        for token in self.id_of:
+            for n in (2, 3):
+                if len(token) >= n:
+                    self.by_end.setdefault(token[-n:], []).append(len(token))
+        pairs = {k for k in self.by_end if len(k) == 2 and k in self.id_of}
+        for end, sizes in self.by_end.items():
+            more = {1, 2} if end[-2:] in pairs else {1}
+            self.by_end[end] = sorted({*sizes, *more} if len(end) == 3 else more, reverse=True)
         self.apart: dict[tuple[int, int], bool] = {}
         self.splitter = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.words = regex.compile(WORDS)
+        self.tool, self.letters, self.odd = Tokenizer.from_file(path).pre_tokenizer, letters, regex.compile(odd) if odd else None
 
     def stays_apart(self, a: int, b: int) -> bool:
         """Whether a then b, encoded together, give just these two.
@@ -93,7 +127,7 @@ class Vocabulary:
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """The ids (little-endian unsigned 32-bit) of each word; the words must be sorted and distinct."""
         out, path, states, before = [], [], [], b""
-        id_of, apart, stays = self.id_of, self.apart, self.stays_apart
+        id_of, apart, stays, by_end, alone = self.id_of, self.apart, self.stays_apart, self.by_end, [1]
         for word in words:
             # back up the trie to the node that this word shares with the last one
             same, most = 0, min(len(word), len(before))
@@ -101,8 +135,12 @@ class Vocabulary:
                 same += 1
             del states[same:]
             for end in range(same + 1, len(word) + 1):
-                for start in range(max(0, end - self.longest), end):
-                    token = id_of.get(word[start:end])
+                sizes = by_end.get(word[end - 3 : end]) if end > 2 else None
+                if sizes is None:
+                    sizes = by_end.get(word[end - 2 : end], alone) if end > 1 else alone
+                for size in sizes:
+                    start = end - size
+                    token = id_of.get(word[start:end]) if start >= 0 else None
                     if token is None:
                         continue
                     if start == 0:
@@ -124,38 +162,46 @@ class Vocabulary:
             before = word
         return out
 
-    def pieces(self, text: str) -> list[str | int]:
+    def cut(self, text: str) -> list[str | bytes]:
+        """The words of a text in order, as text or as bytes."""
+        if text.isascii() or not self.odd or not self.odd.search(text):
+            return self.words.findall(text)
+        return [bytes(self.letters[c] for c in part) for part, _ in self.tool.pre_tokenize_str(text)]
+
+    def pieces(self, text: str) -> list[str | bytes | int]:
         """The words of a text in order; a special token's own text is its id."""
         if not self.splitter or not self.splitter.search(text):
-            return self.words.findall(text)
+            return self.cut(text)
         out, at = [], 0
         for m in self.splitter.finditer(text):
-            out += [*self.words.findall(text[at : m.start()]), self.special[m[0]]]
+            out += [*self.cut(text[at : m.start()]), self.special[m[0]]]
             at = m.end()
-        return out + self.words.findall(text[at:])
+        return out + self.cut(text[at:])
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
 @cache
-def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+def vocabulary(path: str, odd: str | None) -> Vocabulary:
+    return Vocabulary(path, odd)
 
 
 class Encoder:
     """Encodes batches of texts; keeps words from batch to batch."""
 
-    def __init__(self, path: str, memo_words: int = MEMO_WORDS):
-        self.vocabulary, self.memo, self.most = vocabulary(path), {}, memo_words
+    def __init__(self, path: str, odd: str | None, memo_words: int = MEMO_WORDS):
+        self.vocabulary, self.memo, self.most = vocabulary(path, odd), {}, memo_words
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [self.vocabulary.pieces(t) for t in texts]
         wanted = {w for s in split for w in s}
         if len(self.memo) + len(wanted) > self.most:
             self.memo = {}
-        new = sorted((w.encode(), w) for w in wanted if w not in self.memo and isinstance(w, str))
-        self.memo.update(zip((w for _, w in new), self.vocabulary.encode_words([b for b, _ in new])))
+        new = [(w if isinstance(w, bytes) else w.encode(), w) for w in wanted if w not in self.memo and not isinstance(w, int)]
+        known = sorted({b for b, _ in new})
+        found = dict(zip(known, self.vocabulary.encode_words(known)))
+        self.memo.update((w, found[b]) for b, w in new)
         self.memo.update((w, np.array([w], "<u4").tobytes()) for w in wanted if isinstance(w, int))
         get = self.memo.__getitem__
         return [b"".join(map(get, s)) for s in split]
@@ -166,11 +212,14 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     path: the vocabulary file, present on every executor. A null text counts as
     empty: no ids. keep_text adds the decoded text. Repeated rows get equal
-    results; an empty table gives an empty result.
+    results; an empty table gives an empty result. Texts of any length are encoded
+    whole, and every text gets the ids that the tokenizers library gives it.
+    Columns other than the two are not read, so their names may be any.
     """
+    odd = differing()  # found once, on the driver
 
     def run(batches):
-        encode = Encoder(path)
+        encode = Encoder(path, odd)
         for piece in slices(batches, "t"):
             ids = encode(plain(piece["t"]).to_pylist())
             decoded = [encode.vocabulary.decode(x) for x in ids]

@@ -46,12 +46,23 @@ def test_encoding(spark, docs):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(max_size=40), max_size=5))
 def test_encoding_of_any_text(found):
-    tool, encode = Tokenizer.from_file(BYTE) if not hasattr(test_encoding, "tool") else test_encoding.tool, bpe.Encoder(BYTE, memo_words=50)
+    tool, encode = Tokenizer.from_file(BYTE) if not hasattr(test_encoding, "tool") else test_encoding.tool, bpe.Encoder(BYTE, bpe.differing(), memo_words=50)
     test_encoding.tool = tool
     for ids, text in zip(encode(found), found):
         assert np.frombuffer(ids, "<u4").tolist() == tool.encode(text, add_special_tokens=False).ids
 
 
+def test_encoding_of_every_character():
+    tool, encode = Tokenizer.from_file(BYTE), bpe.Encoder(BYTE, bpe.differing())
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    odd = [c for c in every if encode.vocabulary.odd and encode.vocabulary.odd.match(c)]
+    found = [c + "'s" for c in every] + [x for c in odd for x in ("a" + c + "b", " " + c, "1" + c + " " + c + c)]
+    for k in range(0, len(found), 100_000):
+        part = found[k : k + 100_000]
+        for text, ids, want in zip(part, encode(part), tool.encode_batch_fast(part, add_special_tokens=False)):
+            assert np.frombuffer(ids, "<u4").tolist() == want.ids, text
+
+
 def check_pieces(pieces, want, window):
     """Every id in one piece, sequences gapless, padding by sequence."""
     docs, sequences, padding = {}, {}, 0
