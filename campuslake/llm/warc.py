@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import shared_dir
+from .common import cut, shared_dir, small
 
 MIN_REVISIT_BYTES = 1000
 #: Rows of pages to an archive file, so that a reader's memory is bounded.
@@ -45,7 +45,7 @@ def with_roles(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     rows = rows.withColumns({"payload_digest": F.sha1(F.col("payload").cast("binary")), "payload_bytes": F.octet_length("payload").cast("long")})
     # the copies of one payload meet as one pre-aggregated row from each task
     last = rows.where(F.col("payload_bytes") >= MIN_REVISIT_BYTES).groupBy(F.col("payload_digest").alias("d"), F.col("payload_bytes").alias("b")).agg(F.max("page_id").alias("last"), F.count("*").alias("n"))
-    last = last.where("n > 1").drop("n")
+    last = small(cut(last.where("n > 1").drop("n"), "last"))
     out = rows.join(last, (F.col("payload_digest") == F.col("d")) & (F.col("payload_bytes") == F.col("b")), "left")
     refers = F.when(F.col("last").isNotNull() & ~F.col("last").eqNullSafe(F.col("page_id")), F.col("last"))
     return out.withColumn("refers_to", refers).drop("d", "b", "last")
@@ -151,16 +151,20 @@ def read_warc(spark: SparkSession, path: str, keep_blocks: bool = True) -> DataF
 
 
 def assemble(found: DataFrame, with_blocks: bool = True) -> DataFrame:
-    """One nested row for each capture: the response or revisit, joined to the request and the metadata that are concurrent to it.
+    """One nested row for each capture: the response or revisit, with the request and the metadata that are concurrent to it.
 
-    A capture without request or metadata keeps a null there.
+    A capture without request or metadata keeps a null there; a request or metadata
+    record without its response gives no row. The records of a capture meet in one
+    shuffle by the response's id; the archives are parsed once.
     """
     keep = ["record_id", "uri", "block", "headers"] if with_blocks else ["record_id"]
-    side = lambda kind, extra: found.where(F.col("kind") == kind).select(F.col("concurrent_to").alias("to"), F.struct(*keep, *extra).alias(kind))
-    main = found.where(F.col("kind").isin("response", "revisit"))
-    main = main.select("record_id", F.col("kind").alias("record_type"), "uri", "page_id", "refers_to", "digest", "payload_sha1", "payload_bytes", *(["block", "headers"] if with_blocks else []))
-    out = main.join(side("request", []), F.col("record_id") == F.col("to"), "left").drop("to")
-    return out.join(side("metadata", ["length"]), F.col("record_id") == F.col("to"), "left").drop("to")
+    mine = F.col("kind").isin("response", "revisit")
+    main = ["record_id", F.col("kind").alias("record_type"), "uri", "page_id", "refers_to", "digest", "payload_sha1", "payload_bytes", *(["block", "headers"] if with_blocks else [])]
+    one = lambda of, *columns: F.first(F.when(of, F.struct(*columns)), ignorenulls=True)
+    rows = found.groupBy(F.when(mine, F.col("record_id")).otherwise(F.col("concurrent_to")).alias("capture")).agg(
+        one(mine, *main).alias("main"), one(F.col("kind") == "request", *keep).alias("request"), one(F.col("kind") == "metadata", *keep, "length").alias("metadata")
+    )
+    return rows.where("main IS NOT NULL").select("main.*", "request", "metadata")
 
 
 def warc_round_trip(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
