@@ -22,7 +22,7 @@ def resolve_cost_dims(df: DataFrame) -> DataFrame:
     """
     s = df.sparkSession
     cities, degrees, stays = cat.cost_cities(s), cat.cost_degrees(s), cat.accommodations(s)
-    dorm = next(m for a, m in cat.ACCOMMODATIONS if a == "dorm")
+    dorm = next(m for a, _, m in cat.ACCOMMODATIONS if a == "dorm")
     city = cities.select(F.col("country_id").alias("country"), F.col("city_id").alias("city"), F.struct("living_mult", "accom_base").alias("city_dim"))
     first = cities.where("pos = 0").select(F.col("country_id").alias("country"), F.struct("living_mult", "accom_base").alias("first_dim"))
     tuition = degrees.select(F.col("country_id").alias("country"), "degree", F.struct("public_tuition", "private_tuition").alias("degree_dim"))
@@ -69,6 +69,17 @@ def estimate_costs(df: DataFrame) -> DataFrame:
     return out.select(*df.columns, *parts, "application", "hidden")
 
 
+def cost_labels(df: DataFrame) -> DataFrame:
+    """The names of what each request has chosen; what no catalog lists has no name. Broadcasts only: no shuffle."""
+    s = df.sparkSession
+    countries = cat.cost_countries(s).select(F.col("country_id").alias("country"), "country_name", "flag")
+    cities = cat.cost_cities(s).select(F.col("country_id").alias("country"), F.col("city_id").alias("city"), "city_name")
+    out = df.join(F.broadcast(countries), "country", "left").join(F.broadcast(cities), ["country", "city"], "left")
+    for names, key in ((cat.degree_types(s), "degree"), (cat.school_types(s), "school_type"), (cat.accommodations(s).drop("multiplier"), "accommodation")):
+        out = out.join(F.broadcast(names), key, "left")
+    return out.select(*df.columns, "country_name", "flag", "city_name", "degree_name", "school_type_name", "accommodation_name")
+
+
 def default_durations(df: DataFrame) -> DataFrame:
     """default_duration of (country, degree), else 1; so is a default of 0."""
     d = cat.cost_degrees(df.sparkSession).select(F.col("country_id").alias("country"), "degree", "default_duration")

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: The events that carry a value, and the one category besides Engagement.
-VALUED = ["generate_pdf_report", "click_cta_button", "generate_cost_saving_plan"]
-CONVERSIONS = ["copy_wechat_id"]
+from ..sources import catalogs as cat
+
+CONVERSIONS = sorted({name for name, category, _ in cat.EVENT_SITES if category == "Conversion"})
 
 
 def event_envelope(df: DataFrame) -> DataFrame:
-    """event_id, ts, user_id and envelope {name, event_category, event_label, value}; only VALUED events keep a value."""
+    """event_id, ts, user_id and envelope {name, event_category, event_label, value}; only events that carry one keep a value."""
     category = F.when(F.col("name").isin(CONVERSIONS), "Conversion").otherwise("Engagement")
-    value = F.when(F.col("name").isin(VALUED), F.col("value"))
+    value = F.when(F.col("name").isin(cat.VALUED_EVENTS), F.col("value"))
     return df.select("event_id", "ts", "user_id", F.struct("name", category.alias("event_category"), "event_label", value.alias("value")).alias("envelope"))
 
 

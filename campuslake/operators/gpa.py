@@ -6,21 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import parse_float
-from ..sources.catalogs import SCALES
+from ..sources.catalogs import SCALES, grade_scales
 
-#: Scales that queries use; register_scale() adds to it.
-_scales = dict(SCALES)
+#: Credits are whole numbers of so many parts: exact up to six decimals.
+UNIT = 1_000_000
 
 
-def scales() -> dict:
-    return dict(_scales)
-
-
-def register_scale(scale_id: str, max_x10: int, bands: list[tuple[float, int]]) -> None:
-    """A further scale as data: (lower bound, points times ten), the highest bound first."""
+def register_scale(scale_id: str, max_x10: int, bands: list[tuple[float, int]], scales: dict = SCALES) -> dict:
+    """The scales and one more, as data: (lower bound, points times ten), the highest bound first. The result is what the operators below take as scales."""
     if sorted(bands, reverse=True) != list(bands):
         raise ValueError("bands must go from the highest bound down")
-    _scales[scale_id] = (max_x10, list(bands))
+    return scales | {scale_id: (max_x10, list(bands))}
 
 
 def countable() -> Column:
@@ -42,29 +38,38 @@ def coerce_course_numbers(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.coalesce(parse_float(F.col(c)), F.lit(0.0)) for c in ("credits", "score")})
 
 
-def points_x10(scale_id: str, score: Column | None = None) -> Column:
+def points_x10(scale_id: str, score: Column | None = None, scales: dict = SCALES) -> Column:
     """Grade points times ten, as one CASE over the scale's bands: no join, no shuffle."""
     score = F.col("score") if score is None else score
     ladder = None
-    for bound, points in _scales[scale_id][1]:
+    for bound, points in scales[scale_id][1]:
         ladder = F.when(score >= float(bound), points) if ladder is None else ladder.when(score >= float(bound), points)
     return F.lit(0) if ladder is None else ladder.otherwise(0)
 
 
-def to_points(df: DataFrame, scale_id: str) -> DataFrame:
-    return df.withColumn("points_x10", points_x10(scale_id))
+def to_points(df: DataFrame, scale_id: str, scales: dict = SCALES) -> DataFrame:
+    return df.withColumn("points_x10", points_x10(scale_id, scales=scales))
+
+
+def to_points_by_table(df: DataFrame, scale_id: str, scales: dict = SCALES) -> DataFrame:
+    """to_points() by the catalog's rows: the bands at or below the score are found in a sorted constant array of the broadcast row; no shuffle, no row more."""
+    bands = grade_scales(df.sparkSession, scales).where(F.col("scale_id") == scale_id)
+    ladder = bands.agg(F.sort_array(F.collect_list(F.struct("lower_bound", "points_x10"))).alias("ladder"))
+    out = df.join(F.broadcast(ladder), how="left")  # one row for all: an empty scale gives an empty ladder
+    below = F.filter("ladder", lambda b: b["lower_bound"] <= F.col("score"))
+    return out.withColumn("points_x10", F.coalesce(F.try_element_at(below, F.lit(-1))["points_x10"], F.lit(0))).drop("ladder")
 
 
-def to_points_all(df: DataFrame) -> DataFrame:
+def to_points_all(df: DataFrame, scales: dict = SCALES) -> DataFrame:
     """A row for each course and scale, from one array: rows are multiplied by the number of scales."""
-    every = F.array(*[F.struct(F.lit(k).alias("scale_id"), F.lit(n).alias("scale_no"), F.lit(top).alias("max_gpa_x10"), points_x10(k).alias("points_x10")) for n, (k, (top, _)) in enumerate(_scales.items())])
+    every = F.array(*[F.struct(F.lit(k).alias("scale_id"), F.lit(n).alias("scale_no"), F.lit(top).alias("max_gpa_x10"), points_x10(k, scales=scales).alias("points_x10")) for n, (k, (top, _)) in enumerate(scales.items())])
     return df.withColumn("s", F.explode(every)).select(*df.columns, "s.*")
 
 
 def _weighted(credits: Column, points: Column) -> tuple[Column, Column]:
-    """Sums of points times credits and of credits, in hundredths, over countable courses."""
-    hundredths = F.round(credits * 100).cast("long")
-    return F.sum(F.when(countable(), points * hundredths).otherwise(0)), F.sum(F.when(countable(), hundredths).otherwise(0))
+    """Sums of points times credits and of credits, in parts of UNIT, over countable courses."""
+    parts = F.round(credits * UNIT).cast("long")
+    return F.sum(F.when(countable(), points * parts).otherwise(0)), F.sum(F.when(countable(), parts).otherwise(0))
 
 
 def gpa_hundredths(p: Column, c: Column) -> Column:
@@ -73,21 +78,32 @@ def gpa_hundredths(p: Column, c: Column) -> Column:
     return F.when(c > 0, ((whole - F.pmod(whole, by)) / by).cast("long")).otherwise(F.lit(0).cast("long"))
 
 
-def weighted_gpa(df: DataFrame, scale_id: str) -> DataFrame:
+def weighted_gpa(df: DataFrame, scale_id: str, scales: dict = SCALES) -> DataFrame:
     """student_id, gpa and total_credits; students without a countable course stay, with zeros. One shuffle, after partial sums."""
-    p, c = _weighted(F.col("credits"), points_x10(scale_id))
+    p, c = _weighted(F.col("credits"), points_x10(scale_id, scales=scales))
     sums = df.groupBy("student_id").agg(p.alias("p"), c.alias("c"))
-    return sums.select("student_id", (gpa_hundredths(F.col("p"), F.col("c")) / 100.0).alias("gpa"), (F.col("c") / 100.0).alias("total_credits"))
+    return sums.select("student_id", (gpa_hundredths(F.col("p"), F.col("c")) / 100.0).alias("gpa"), (F.col("c") / float(UNIT)).alias("total_credits"))
 
 
-def weighted_gpa_all(df: DataFrame) -> DataFrame:
+def weighted_gpa_all(df: DataFrame, scales: dict = SCALES) -> DataFrame:
     """weighted_gpa() on every scale: the scales' sums are columns of one aggregate, so rows are multiplied after the shuffle only."""
-    sums = [_weighted(F.col("credits"), points_x10(k))[0].alias(f"p{n}") for n, k in enumerate(_scales)]
+    sums = [_weighted(F.col("credits"), points_x10(k, scales=scales))[0].alias(f"p{n}") for n, k in enumerate(scales)]
     one = df.groupBy("student_id").agg(*sums, _weighted(F.col("credits"), F.lit(0))[1].alias("c"))
-    every = F.array(*[F.struct(F.lit(k).alias("scale_id"), F.lit(n).alias("scale_no"), F.lit(top).alias("max_gpa_x10"), F.col(f"p{n}").alias("p")) for n, (k, (top, _)) in enumerate(_scales.items())])
+    every = F.array(*[F.struct(F.lit(k).alias("scale_id"), F.lit(n).alias("scale_no"), F.lit(top).alias("max_gpa_x10"), F.col(f"p{n}").alias("p")) for n, (k, (top, _)) in enumerate(scales.items())])
     flat = one.select("student_id", "c", F.explode(every).alias("s")).select("student_id", "c", "s.*")
     cents = gpa_hundredths(F.col("p"), F.col("c"))
-    return flat.select("student_id", "scale_id", "scale_no", "max_gpa_x10", cents.alias("gpa_cents"), (cents / 100.0).alias("gpa"), (F.col("c") / 100.0).alias("total_credits"))
+    return flat.select("student_id", "scale_id", "scale_no", "max_gpa_x10", cents.alias("gpa_cents"), (cents / 100.0).alias("gpa"), (F.col("c") / float(UNIT)).alias("total_credits"))
+
+
+def scale_summary(df: DataFrame) -> DataFrame:
+    """Every scale by name: students with credits, their mean in hundredths (whole, rounded down) and how many reach the maximum."""
+    s = df.sparkSession
+    names = grade_scales(s).select("scale_id", "scale_name", "max_gpa_x10").distinct()
+    found = weighted_gpa_all(df).where("total_credits > 0").groupBy("scale_id").agg(
+        F.count("*").alias("n_students"), F.floor(F.sum("gpa_cents") / F.count("*")).alias("mean_cents"), F.sum((F.col("gpa_cents") == F.col("max_gpa_x10") * 10).cast("long")).alias("n_at_max")
+    )
+    zero = F.lit(0).cast("long")
+    return names.join(found, "scale_id", "left").select("scale_id", "scale_name", "max_gpa_x10", *[F.coalesce(c, zero).alias(c) for c in ("n_students", "mean_cents", "n_at_max")])
 
 
 def best_scale(df: DataFrame) -> DataFrame:

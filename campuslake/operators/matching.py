@@ -32,14 +32,15 @@ def match_schools(applicants: DataFrame) -> DataFrame:
     """Each valid applicant with the schools within reach: level and score.
 
     The catalog has 26 rows, so the theta join is a broadcast one: at most 26 rows
-    an applicant, and no shuffle. Highlights widen reach only.
+    an applicant, and no shuffle. Highlights widen reach only. No countries, or
+    null, mean all of them; null highlights are none.
     """
     valid = adjust_gpa(validate_gpa(applicants).where(F.col("gpa_error").isNull()))
-    lower = F.lit(-0.4) - F.least(F.size("highlights") * F.lit(0.05), F.lit(0.15))
+    lower = F.lit(-0.4) - F.least(F.coalesce(F.size("highlights"), F.lit(0)) * F.lit(0.05), F.lit(0.15))
     keep = [c for c in applicants.columns if c not in ("countries", "highlights")]
     left = valid.select(*keep, "gpa", "adjusted_gpa", "countries", lower.alias("reach_bound"))
     schools = cat.schools(applicants.sparkSession).select("pos", "school_id", "country", "ranking", "req_gpa")
-    wanted = (F.size("countries") == 0) | F.array_contains("countries", F.col("country"))
+    wanted = (F.coalesce(F.size("countries"), F.lit(0)) <= 0) | F.array_contains("countries", F.col("country"))
     diff = F.col("adjusted_gpa") - F.col("req_gpa")
     out = left.join(F.broadcast(schools), wanted & ((diff >= -0.15) | (diff >= F.col("reach_bound"))))
     level = F.when(diff >= 0.2, "safety").when(diff >= -0.15, "match").otherwise("reach")
@@ -63,6 +64,13 @@ def shortlist(ranked: DataFrame) -> DataFrame:
     return out.withColumn("is_locked", F.col("rn") > opened)
 
 
+def school_demand(applicants: DataFrame) -> DataFrame:
+    """Every school of the catalog with what it asks for and how many applicants reach it at each level; partial counts, 26 rows after the shuffle."""
+    counts = match_schools(applicants).groupBy("school_id").agg(*[F.sum((F.col("match_level") == k).cast("long")).alias(k) for k in LEVELS])
+    schools = cat.schools(applicants.sparkSession)
+    return schools.join(counts, "school_id", "left").select(*schools.columns, *[F.coalesce(k, F.lit(0).cast("long")).alias(k) for k in LEVELS])
+
+
 def match_summary(applicants: DataFrame, matches: DataFrame) -> DataFrame:
     """How many schools of each level; valid applicants without a match have zeros."""
     valid = validate_gpa(applicants).where(F.col("gpa_error").isNull()).select("applicant_id")

@@ -31,6 +31,15 @@ def visa_summary(spark: SparkSession) -> DataFrame:
     return visas.select("country_id", "country_name", F.col("v.visa_id").alias("visa_id"), "v.type_name", "v.description", fee["amount"].alias("fee_amount"), fee["currency"].alias("fee_currency"), fee["cny"].alias("fee_cny"), "v.processing_time")
 
 
+def visa_fees(spark: SparkSession) -> DataFrame:
+    """The further fees of each visa in CNY, and all fees together; what a visa does not ask for is null."""
+    visas = cat.visa_catalog(spark).select("country_id", F.explode("visas").alias("v"))
+    fees = F.col("v.fees")
+    cny = {"visa_fee_cny": fees["visa_fee"]["cny"], "sevis_fee_cny": fees["sevis_fee"]["cny"], "ihs_fee_cny": fees["ihs_fee"]["cny"]}
+    every = sum(F.coalesce(c, F.lit(0)) for c in cny.values())
+    return visas.select("country_id", F.col("v.visa_id").alias("visa_id"), *[c.alias(k) for k, c in cny.items()], every.alias("total_cny"))
+
+
 def valid_visa_requests(df: DataFrame) -> DataFrame:
     """Country, visa and identity are all given; identity filters nothing else."""
     given = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
@@ -44,9 +53,14 @@ def visa_checklist(requests: DataFrame) -> DataFrame:
 
 def visa_progress(requests: DataFrame, checked: DataFrame) -> DataFrame:
     """total, done and percent for each request; items checked for other visas do not count. checked: user_id, item_id."""
-    items = visa_checklist(requests).select("request_id", "user_id", "country_id", "visa_id", "item_id")
-    done = items.join(checked.select("user_id", "item_id").distinct().withColumn("checked", F.lit(True)), ["user_id", "item_id"], "left")
-    out = done.groupBy("request_id", "user_id", "country_id", "visa_id").agg(F.count("*").alias("total"), F.sum(F.coalesce("checked", F.lit(False)).cast("long")).alias("done"))
+    items = visa_items(requests.sparkSession)
+    totals = items.groupBy("country_id", "visa_id").agg(F.count("*").alias("total"))
+    # of each user what is checked for each visa, counted before requests come in: rows of requests are never multiplied
+    ticked = checked.select("user_id", "item_id").distinct().join(F.broadcast(items.select("country_id", "visa_id", "item_id")), "item_id")
+    ticked = ticked.groupBy("user_id", "country_id", "visa_id").agg(F.count("*").alias("done"))
+    asked = valid_visa_requests(requests).select("request_id", "user_id", "country_id", "visa_id").join(F.broadcast(totals), ["country_id", "visa_id"])
+    out = asked.join(ticked, ["user_id", "country_id", "visa_id"], "left").withColumn("done", F.coalesce("done", F.lit(0).cast("long")))
+    out = out.select("request_id", "user_id", "country_id", "visa_id", "total", "done")
     percent = F.when(F.col("total") > 0, half_up(F.col("done") * F.lit(100.0) / F.col("total"))).otherwise(F.lit(0).cast("long"))
     return out.withColumn("percent", percent)
 

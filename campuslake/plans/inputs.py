@@ -13,11 +13,15 @@ TAGS = ["research", "internship", "competition", "paper", "volunteer"]
 COST_COUNTRIES = [c[0] for c in cat.COUNTRIES] + ["xx"]
 COST_CITIES = [c[2] for c in cat.CITIES] + ["nowhere"]
 COST_DEGREES = ["bachelor", "master_taught", "master_research", "phd", "diploma"]
-STAYS = [a for a, _ in cat.ACCOMMODATIONS] + ["tent"]
+STAYS = [a for a, _, _ in cat.ACCOMMODATIONS] + ["tent"]
+SCHOOL_TYPES = [k for k, _ in cat.SCHOOL_TYPES]
 TIMELINE_COUNTRIES, TIMELINE_LEVELS = ["美国", "中国香港", "英国", "新加坡"], ["本科", "硕士", "博士"]
 VISA_IDS = [v[2] for v in cat.VISAS] + ["us-h1"]
-EVENT_NAMES = {"view": "select_country", "click": "click_cta_button", "signup": "copy_wechat_id", "purchase": "generate_timeline", "error": "switch_algorithm"}
-EVENT_LABELS = ["GPA Calculator", "Cost Calculator", "Timeline Generator"]
+#: What the labels that are made of a choice are picked from, by the site's place in the catalog.
+CHOICES = {
+    1: list(cat.SCALE_NAMES.values()), 3: list(cat.GPA_BUTTONS.values()), 5: [c[1] for c in cat.COUNTRIES], 6: [a[1] for a in cat.ACCOMMODATIONS], 8: list(cat.COST_BUTTONS.values()),
+    10: [f"{c}_{n}_{g}" for c in TIMELINE_COUNTRIES for n in TIMELINE_LEVELS for g in ("1", "2")], 11: [f"{c}_{n}" for c in TIMELINE_COUNTRIES for n in TIMELINE_LEVELS], 12: cat.LOCK_LABELS,
+}
 
 
 def pick(options: list, index: Column) -> Column:
@@ -51,7 +55,7 @@ def cost_requests(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("o_orderkey")
     return load(spark, sf, "orders").select(
         k.alias("request_id"), pick(COST_COUNTRIES, F.col("o_custkey") % 5).alias("country"), pick(COST_CITIES, k % 8).alias("city"), pick(COST_DEGREES, k % 5).alias("degree"),
-        pick(cat.SCHOOL_TYPES, k % 3).alias("school_type"), ((1 + k % 10) / 2.0).alias("duration"), pick(STAYS, k % 4).alias("accommodation"),
+        pick(SCHOOL_TYPES, k % 3).alias("school_type"), ((1 + k % 10) / 2.0).alias("duration"), pick(STAYS, k % 4).alias("accommodation"),
     )
 
 
@@ -91,7 +95,7 @@ def cost_log(spark: SparkSession, sf: str) -> DataFrame:
     field = pick(["country", "degree", "city", "duration", "school_type", "accommodation"], e % 6)
     value = (
         F.when(e % 6 == 0, pick(COST_COUNTRIES, n % 5)).when(e % 6 == 1, pick(COST_DEGREES, n % 5)).when(e % 6 == 2, pick(COST_CITIES, n % 8))
-        .when(e % 6 == 3, pick(["2", "0", "3.5 years", "none", "4"], n % 5)).when(e % 6 == 4, pick(cat.SCHOOL_TYPES, n % 3)).otherwise(pick(STAYS, n % 4))
+        .when(e % 6 == 3, pick(["2", "0", "3.5 years", "none", "4"], n % 5)).when(e % 6 == 4, pick(SCHOOL_TYPES, n % 3)).otherwise(pick(STAYS, n % 4))
     )
     return load(spark, sf, "events").select(F.col("user_id").alias("session_id"), e.alias("seq"), field.alias("field"), value.alias("value"))
 
@@ -103,7 +107,7 @@ def course_log(spark: SparkSession, sf: str) -> DataFrame:
     code = F.when(e % 89 < 9, F.concat(F.lit("example-"), (e % 3).cast("string"))).otherwise(F.concat(F.lit("c-"), F.when(op == "add", e).otherwise(F.greatest(F.lit(0), div(e, 5) * 5 - 5 * (e % 400))).cast("string")))
     field = pick(["name", "credits", "score"], e % 3)
     value = F.when(e % 3 == 0, F.concat(F.lit("course "), e.cast("string"))).when(e % 3 == 1, pick(["3", "2.5", "x"], e % 7 % 3)).otherwise((e % 101).cast("string"))
-    return load(spark, sf, "events").select((F.col("event_id") % 20).alias("session_id"), e.alias("seq"), op.alias("op"), code.alias("id"), field.alias("field"), value.alias("value"))
+    return load(spark, sf, "events").select(F.col("user_id").alias("session_id"), e.alias("seq"), op.alias("op"), code.alias("id"), field.alias("field"), value.alias("value"))
 
 
 def timeline_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,7 +123,8 @@ def interactions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def interaction_rows(events: DataFrame) -> DataFrame:
-    name = F.lit("select_country")
-    for kind, n in EVENT_NAMES.items():
-        name = F.when(F.col("event_type") == kind, n).otherwise(name)
-    return events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", name.alias("name"), pick(EVENT_LABELS, F.col("user_id") % 3).alias("event_label"), "value")
+    e, n = F.col("event_id"), len(cat.EVENT_SITES)
+    name, label = pick([s[0] for s in cat.EVENT_SITES], e % n), pick([s[2] for s in cat.EVENT_SITES], e % n)
+    for site, options in CHOICES.items():
+        label = F.when(e % n == site, pick(options, div(e, n) % len(options))).otherwise(label)
+    return events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", name.alias("name"), label.alias("event_label"), "value")

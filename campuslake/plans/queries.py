@@ -67,6 +67,50 @@ def cost_estimate(s, d):
     return cost.estimate_costs(inputs.cost_requests(s, d))
 
 
+@query
+def cost_labels(s, d):
+    return cost.cost_labels(inputs.cost_requests(s, d)).drop("duration")
+
+
+@query
+def gpa_band_lookup(s, d):
+    """Bands looked up in the catalog's rows."""
+    return gpa.to_points_by_table(gpa.valid_courses(inputs.transcripts(s, d)), "ustc43").select("student_id", "score", "points_x10")
+
+
+#: A scale that is no part of the catalog.
+HONOURS = ("honours50", 50, [(90, 50), (75, 40), (60, 25)])
+
+
+@query
+def gpa_registered_scale(s, d):
+    return gpa.weighted_gpa(inputs.transcripts(s, d), HONOURS[0], gpa.register_scale(*HONOURS))
+
+
+@query
+def gpa_scale_summary(s, d):
+    return gpa.scale_summary(inputs.transcripts(s, d))
+
+
+@query
+def school_demand(s, d):
+    return matching.school_demand(inputs.applicants(s, d)).withColumn("tags", F.array_join("tags", ","))
+
+
+@query
+def visa_fees(s, d):
+    """What the further fees of all valid requests of a visa come to."""
+    wanted = visa.valid_visa_requests(inputs.visa_requests(s, d)).groupBy("visa_id").agg(F.count("*").alias("n_requests"))
+    return visa.visa_fees(s).join(wanted, "visa_id").withColumn("sum_cny", F.col("n_requests") * F.col("total_cny"))
+
+
+@query
+def event_sites(s, d):
+    """The sites that emit events, with the number of their events and labels."""
+    rows = event_envelope(s, d)
+    return rows.groupBy("name", "event_category").agg(F.count("*").alias("n_events"), F.countDistinct("event_label").alias("n_labels"))
+
+
 @query
 def cost_default_duration(s, d):
     return cost.default_durations(inputs.cost_requests(s, d)).select("request_id", "country", "degree", "default_duration")

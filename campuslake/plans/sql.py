@@ -39,19 +39,20 @@ def _points(bands: list) -> str:
 
 
 _OK = "credits > 0 AND score > 0"
+_BANDS = cat.values("bands", "scale_id, scale_name, max_gpa_x10, lower_bound, points_x10", cat.band_rows())
 GPA = (
-    "sums AS (SELECT student_id, CAST(sum(CASE WHEN " + _OK + " THEN CAST(credits * 100 AS BIGINT) ELSE 0 END) AS BIGINT) AS c, "
-    + ", ".join(f"CAST(sum(CASE WHEN {_OK} THEN {_points(b)} * CAST(credits * 100 AS BIGINT) ELSE 0 END) AS BIGINT) AS p{n}" for n, (_, b) in enumerate(SCALES.values()))
+    "sums AS (SELECT student_id, CAST(sum(CASE WHEN " + _OK + " THEN CAST(round(credits * 1000000) AS BIGINT) ELSE 0 END) AS BIGINT) AS c, "
+    + ", ".join(f"CAST(sum(CASE WHEN {_OK} THEN {_points(b)} * CAST(round(credits * 1000000) AS BIGINT) ELSE 0 END) AS BIGINT) AS p{n}" for n, (_, b) in enumerate(SCALES.values()))
     + " FROM transcripts GROUP BY student_id), gpas AS ("
     + " UNION ALL ".join(f"SELECT student_id, '{k}' AS scale_id, {n} AS scale_no, {top} AS max_gpa_x10, CASE WHEN c > 0 THEN (20 * p{n} + c) // (2 * c) ELSE 0 END AS gpa_cents, c FROM sums" for n, (k, (top, _)) in enumerate(SCALES.items()))
-    + "), gpa AS (SELECT *, gpa_cents / 100.0::DOUBLE AS gpa, c / 100.0::DOUBLE AS total_credits FROM gpas)"
+    + "), gpa AS (SELECT *, gpa_cents / 100.0::DOUBLE AS gpa, c / 1000000.0::DOUBLE AS total_credits FROM gpas)"
 )
 REQUESTS = f"""requests AS (SELECT o_orderkey AS request_id, {pick(i.COST_COUNTRIES, "o_custkey % 5")} AS country, {pick(i.COST_CITIES, "o_orderkey % 8")} AS city,
-  {pick(i.COST_DEGREES, "o_orderkey % 5")} AS degree, {pick(cat.SCHOOL_TYPES, "o_orderkey % 3")} AS school_type, (1 + o_orderkey % 10) / 2.0::DOUBLE AS duration,
+  {pick(i.COST_DEGREES, "o_orderkey % 5")} AS degree, {pick(i.SCHOOL_TYPES, "o_orderkey % 3")} AS school_type, (1 + o_orderkey % 10) / 2.0::DOUBLE AS duration,
   {pick(i.STAYS, "o_orderkey % 4")} AS accommodation FROM orders)"""
 COST_DIMS = ", ".join([
-    cat.values("countries", "country, currency, rate, application_fee, hidden_fee", cat.COUNTRIES), cat.values("cities", "country, pos, city, living_mult, accom_base", cat.CITIES),
-    cat.values("degrees", "country, degree, pub, pri, years", cat.DEGREES), cat.values("stays", "accommodation, mult", cat.ACCOMMODATIONS),
+    cat.values("countries", "country, country_name, flag, currency, rate, application_fee, hidden_fee", cat.COUNTRIES), cat.values("cities", "country, pos, city, city_name, living_mult, accom_base", cat.CITIES),
+    cat.values("degrees", "country, degree, pub, pri, years", cat.DEGREES), cat.values("stays", "accommodation, accommodation_name, mult", cat.ACCOMMODATIONS),
 ])
 _half = lambda x: f"CAST(floor({x} + 0.5::DOUBLE) AS BIGINT)"
 COSTS = f"""{COST_DIMS}, dims AS (
@@ -73,19 +74,21 @@ ITEMS = cat.values("items", "country_id, visa_id, section_no, item_no, item_id,
 _ITEM_COLUMNS = f"{pick(cat.SECTIONS, 'section_no')} AS section"
 VISA_REQUESTS = f"visa_requests AS (SELECT c_custkey AS request_id, c_custkey % 100 AS user_id, split_part({pick(i.VISA_IDS, 'c_custkey % 5')}, '-', 1) AS country_id, {pick(i.VISA_IDS, 'c_custkey % 5')} AS visa_id FROM customer WHERE c_custkey % 7 <> 0)"
 TOGGLES = f"toggles AS (SELECT user_id, {pick([r[4] for r in cat.flat_visa_rows()], 'event_id % 46')} AS item_id FROM events), state AS (SELECT user_id, item_id, count(*) % 2 = 1 AS checked FROM toggles GROUP BY user_id, item_id)"
-_sizes = {t: len(text.strip().split("\n")) for t, text in cat.TIMELINES.items()}
+_sizes = {t: sum(r[0] == t for r in cat.TIMELINES) for t, *_ in cat.TIMELINES}
 STAGES = cat.values("stages", "template_id, idx, stage_id, stage_name, time_range, core_tasks, bg_enhancement, deadline, risk_warning, is_locked", [(*r, r[1] >= int(_sizes[r[0]] * 0.6)) for r in cat.stage_rows()])
 TIMELINE = f"""{STAGES}, t_requests AS (SELECT c_custkey AS request_id, {pick(i.TIMELINE_COUNTRIES, "c_custkey % 4")} AS country, {pick(i.TIMELINE_LEVELS, "c_custkey % 3")} AS level
   FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey % 11 <> 0),
 timeline AS (SELECT request_id, country, level, s.* FROM t_requests JOIN stages AS s ON s.template_id =
   CASE WHEN country = '美国' AND level = '本科' THEN 'US-undergrad' WHEN country = '美国' THEN 'US-master' WHEN country = '中国香港' THEN 'HK-master' ELSE 'US-undergrad' END)"""
-_name = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{n}'" for k, n in i.EVENT_NAMES.items()) + " ELSE 'select_country' END"
-INTERACTIONS = f"""raw AS (SELECT event_id, ts, user_id, {_name} AS name, {pick(i.EVENT_LABELS, "user_id % 3")} AS event_label, value FROM events),
+_SITES = len(cat.EVENT_SITES)
+_name = pick([s[0] for s in cat.EVENT_SITES], f"event_id % {_SITES}")
+_label = f"CASE event_id % {_SITES} " + " ".join(f"WHEN {k} THEN {pick(o, f'event_id // {_SITES} % {len(o)}')}" for k, o in i.CHOICES.items()) + f" ELSE {pick([s[2] or '' for s in cat.EVENT_SITES], f'event_id % {_SITES}')} END"
+INTERACTIONS = f"""raw AS (SELECT event_id, ts, user_id, {_name} AS name, {_label} AS event_label, value FROM events),
 interactions AS (SELECT event_id, ts, user_id, name, CASE WHEN name = 'copy_wechat_id' THEN 'Conversion' ELSE 'Engagement' END AS event_category, event_label,
   CASE WHEN name IN ('generate_pdf_report', 'click_cta_button', 'generate_cost_saving_plan') THEN value END AS value FROM raw)"""
 
 _COST_VALUE = f"""CASE event_id % 6 WHEN 0 THEN {pick(i.COST_COUNTRIES, "event_id // 7 % 5")} WHEN 1 THEN {pick(i.COST_DEGREES, "event_id // 7 % 5")} WHEN 2 THEN {pick(i.COST_CITIES, "event_id // 7 % 8")}
-  WHEN 3 THEN {pick(["2", "0", "3.5 years", "none", "4"], "event_id // 7 % 5")} WHEN 4 THEN {pick(cat.SCHOOL_TYPES, "event_id // 7 % 3")} ELSE {pick(i.STAYS, "event_id // 7 % 4")} END"""
+  WHEN 3 THEN {pick(["2", "0", "3.5 years", "none", "4"], "event_id // 7 % 5")} WHEN 4 THEN {pick(i.SCHOOL_TYPES, "event_id // 7 % 3")} ELSE {pick(i.STAYS, "event_id // 7 % 4")} END"""
 _last = lambda e: f"max_by({e}, seq) FILTER (WHERE {e} IS NOT NULL)"
 COST_REPLAY = f"""WITH {COST_DIMS}, log AS (SELECT user_id AS session_id, event_id AS seq, {pick(["country", "degree", "city", "duration", "school_type", "accommodation"], "event_id % 6")} AS field, {_COST_VALUE} AS value FROM events),
 run AS (SELECT *, coalesce(last_value(CASE WHEN field = 'country' THEN value END IGNORE NULLS) OVER w, '{COST_FORM["country"]}') AS nc,
@@ -99,7 +102,7 @@ e AS (SELECT session_id, seq, CASE WHEN field = 'city' THEN value WHEN field = '
 SELECT session_id, {", ".join(f"coalesce({_last(c)}, {cat.literal(float(v) if c == 'duration' else v)}) AS {c}" for c, v in COST_FORM.items())} FROM e GROUP BY session_id"""
 
 _OP = "CASE WHEN event_id % 97 = 0 THEN 'clear' WHEN event_id % 89 = 0 THEN 'fill' WHEN event_id % 5 = 0 THEN 'add' WHEN event_id % 5 = 4 THEN 'remove' ELSE 'update' END"
-COURSE_REPLAY = f"""WITH l0 AS (SELECT event_id % 20 AS session_id, event_id AS seq, {_OP} AS op, event_id FROM events),
+COURSE_REPLAY = f"""WITH l0 AS (SELECT user_id AS session_id, event_id AS seq, {_OP} AS op, event_id FROM events),
 log AS (SELECT session_id, seq, op,
   CASE WHEN event_id % 89 < 9 THEN 'example-' || (event_id % 3) ELSE 'c-' || CASE WHEN op = 'add' THEN event_id ELSE greatest(0, event_id // 5 * 5 - 5 * (event_id % 400)) END END AS id,
   {pick(["name", "credits", "score"], "event_id % 3")} AS field,
@@ -134,6 +137,21 @@ SQL = {
     "gpa_points": f"WITH {TRANSCRIPTS} " + " UNION ALL ".join(f"SELECT student_id, score, '{k}' AS scale_id, {_points(b)} AS points_x10 FROM transcripts WHERE {_OK}" for k, (_, b) in SCALES.items()),
     "course_numbers": "SELECT l_orderkey AS student_id, coalesce(CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE CAST(CAST(l_quantity AS INT) AS DOUBLE) END, 0) AS credits, CAST((l_partkey * 7) % 106 AS DOUBLE) AS score FROM lineitem",
     "cost_estimate": f"WITH {REQUESTS}, {COSTS} SELECT * FROM totals",
+    "cost_labels": "WITH " + REQUESTS + ", " + COST_DIMS + ", " + cat.values("degree_types", "degree, degree_name", cat.DEGREE_TYPES) + ", " + cat.values("school_types", "school_type, school_type_name", cat.SCHOOL_TYPES)
+    + """ SELECT request_id, country, city, degree, school_type, accommodation, country_name, flag, city_name, degree_name, school_type_name, accommodation_name
+      FROM requests LEFT JOIN countries USING (country) LEFT JOIN cities USING (country, city) LEFT JOIN degree_types USING (degree) LEFT JOIN school_types USING (school_type) LEFT JOIN stays USING (accommodation)""",
+    "gpa_band_lookup": f"WITH {TRANSCRIPTS}, {_BANDS} SELECT student_id, score, coalesce((SELECT max(points_x10) FROM bands WHERE scale_id = 'ustc43' AND lower_bound <= score), 0) AS points_x10 FROM transcripts WHERE {_OK}",
+    "gpa_registered_scale": f"""WITH {TRANSCRIPTS}, s AS (SELECT student_id, sum(CASE WHEN {_OK} THEN credits ELSE 0 END) AS c,
+      sum(CASE WHEN {_OK} THEN credits * CASE WHEN score >= 90 THEN 50 WHEN score >= 75 THEN 40 WHEN score >= 60 THEN 25 ELSE 0 END ELSE 0 END) AS p FROM transcripts GROUP BY student_id)
+      SELECT student_id, CASE WHEN c > 0 THEN (CAST(40 * p AS BIGINT) + CAST(2 * c AS BIGINT)) // CAST(4 * c AS BIGINT) ELSE 0 END / 100.0::DOUBLE AS gpa, c AS total_credits FROM s""",
+    "gpa_scale_summary": f"""WITH {TRANSCRIPTS}, {GPA}, {_BANDS}, n AS (SELECT DISTINCT scale_id, scale_name, max_gpa_x10 FROM bands),
+      f AS (SELECT scale_id, count(*) AS n_students, CAST(floor(sum(gpa_cents) / count(*)) AS BIGINT) AS mean_cents, count(*) FILTER (WHERE gpa_cents = max_gpa_x10 * 10) AS n_at_max FROM gpa WHERE c > 0 GROUP BY scale_id)
+      SELECT scale_id, scale_name, max_gpa_x10, coalesce(n_students, 0) AS n_students, coalesce(mean_cents, 0) AS mean_cents, coalesce(n_at_max, 0) AS n_at_max FROM n LEFT JOIN f USING (scale_id)""",
+    "school_demand": f"WITH {APPLICANTS}, {MATCHES}, " + cat.values("details", "pos, school_id, name, en_name, country, ranking, req_gpa, req_toefl, req_ielts, tags", [(*r[:-1], ",".join(r[-1])) for r in cat.school_rows()])
+    + " SELECT d.*, " + ", ".join(f"count(*) FILTER (WHERE match_level = '{k}') AS {k}" for k in SHORTLIST) + " FROM details AS d LEFT JOIN matches AS m ON m.school_id = d.school_id GROUP BY ALL",
+    "visa_fees": "WITH " + cat.values("fees", "country_id, visa_id, visa_fee_cny, sevis_fee_cny, ihs_fee_cny", [(v[0], v[2], *(f and f[2] for f in v[7:])) for v in cat.VISAS])
+    + f", {VISA_REQUESTS} SELECT f.*, visa_fee_cny + coalesce(sevis_fee_cny, 0) + coalesce(ihs_fee_cny, 0) AS total_cny, count(*) AS n_requests, CAST(sum(visa_fee_cny + coalesce(sevis_fee_cny, 0) + coalesce(ihs_fee_cny, 0)) AS BIGINT) AS sum_cny FROM fees AS f JOIN visa_requests AS r USING (visa_id) GROUP BY ALL",
+    "event_sites": f"WITH {INTERACTIONS} SELECT name, event_category, count(*) AS n_events, count(DISTINCT event_label) AS n_labels FROM interactions GROUP BY ALL",
     "cost_default_duration": f"WITH {REQUESTS}, {COST_DIMS} SELECT request_id, country, degree, coalesce(nullif(years, 0), 1.0::DOUBLE) AS default_duration FROM requests LEFT JOIN degrees USING (country, degree)",
     "cost_cta": f"WITH {REQUESTS}, {COSTS} SELECT request_id, total_budget, total_medium, CASE WHEN total_budget > 500000 THEN 'plan' ELSE 'guide' END AS cta_tier FROM totals",
     "cost_form_replay": COST_REPLAY,

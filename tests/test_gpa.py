@@ -51,10 +51,22 @@ def test_best_scale_and_tiers(spark, transcripts):
 
 
 def test_registered_scale(spark, transcripts):
-    gpa.register_scale("pass_fail", 10, [(60, 10)])
-    try:
-        assert {r.gpa for r in gpa.weighted_gpa(transcripts.where("student_id = 1"), "pass_fail").collect()} == {1.0}
-        with pytest.raises(ValueError):
-            gpa.register_scale("wrong", 10, [(1, 1), (60, 10)])
-    finally:
-        gpa._scales.pop("pass_fail")
+    scales = gpa.register_scale("pass_fail", 10, [(60, 10)])
+    assert {r.gpa for r in gpa.weighted_gpa(transcripts.where("student_id = 1"), "pass_fail", scales).collect()} == {1.0}
+    assert "pass_fail" not in gpa.SCALES and len(gpa.weighted_gpa_all(transcripts.where("student_id = 1"), scales).collect()) == len(scales) == 8
+    with pytest.raises(ValueError):
+        gpa.register_scale("wrong", 10, [(1, 1), (60, 10)])
+
+
+def test_credits_are_exact(spark):
+    rows = [(1, "a", 0.333, 95.0), (1, "b", 0.004, 65.0), (2, "a", 0.004, 95.0)]
+    got = {r.student_id: (r.gpa, r.total_credits) for r in gpa.weighted_gpa(spark.createDataFrame(rows, "student_id long, course_id string, credits double, score double"), "standard40").collect()}
+    assert got == {1: (round((0.333 * 4 + 0.004) / 0.337, 2), 0.337), 2: (4.0, 0.004)}
+
+
+def test_bands_by_table_and_by_case(spark):
+    edges = [(b + d,) for _, bands in gpa.SCALES.values() for b, _ in bands for d in (0.0, -0.01)] + [(0.0,), (-1.0,), (120.0,), (None,)]
+    df = spark.createDataFrame(edges, "score double")
+    for scale in gpa.SCALES:
+        both = gpa.to_points_by_table(gpa.to_points(df, scale).withColumnRenamed("points_x10", "by_case"), scale).collect()
+        assert len(both) == len(edges) and all(r.by_case == r.points_x10 for r in both)

@@ -70,3 +70,10 @@ def test_rank_and_shortlist_against_brute_force(spark):
 def test_rank_is_limited_before_the_shuffle(spark):
     df = matching.shortlist(matching.rank_matches(matching.match_schools(frame(spark, ("3.5", "c9", [], [])))))
     assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_null_lists(spark):
+    rows = [(1, "3.7", "other", None, None), (2, "3.7", "other", [], [])]
+    got = matching.match_schools(spark.createDataFrame(rows, "applicant_id long, gpa_text string, school_bg string, countries array<string>, highlights array<string>")).collect()
+    of = lambda k: sorted((r.school_id, r.match_level) for r in got if r.applicant_id == k)
+    assert of(1) == of(2) and len(of(1)) > 10
