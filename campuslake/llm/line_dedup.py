@@ -1,17 +1,21 @@
-"""Line deduplication by prefix doubling over sequences of line ids.
+"""Line deduplication on a suffix array of line ids, built by prefix doubling.
 
-The lines of all documents make one long sequence. Two positions are in one class
-of depth h if the h lines from there on are equal, inside their documents: the
-class is the interval of the suffix array whose longest common prefixes reach h.
-Classes of depth 2h come from pairs of classes of depth h, one shuffle a round,
-and a position whose class has no other member drops out. A class is named by its
-first member, so its name says at once which copy stays.
+The lines of all documents make one long sequence of line ids. The suffix array
+of depth h holds the positions in the order of the h lines from there on, inside
+their documents. A position's rank is how many positions come before its equals,
+so that equal ranks are an interval whose longest common prefixes reach h. The
+array of depth 2h is the order of the pairs (rank at the position, rank h lines
+on): one shuffle and one range-partitioned sort of the distinct pairs a round. A
+position that has no equal any more drops out: its longest common prefix with any
+other is known to be shorter, and only repeated runs are looked for.
 
 A run of at least `min_words` words that also begins earlier is a later copy, and
-its lines are deleted. Every such run is covered by its shortest sub-runs of
-min_words words (from each line onward, and up to each line), so only these are
-looked up: two overlapping classes of depth 2^k tell a run of 2^k to 2^(k+1)
-lines. A line has a word at least, so no run is longer than min_words lines.
+its lines are deleted. Every maximal repeated run is covered by its shortest
+sub-runs of min_words words (from each line onward, and up to each line), so only
+these are looked up: positions whose longest common prefix reaches n lines are
+those with equal ranks of depth 2^k at the run's first line and 2^k lines before
+its end, where 2^k <= n <= 2^(k+1). A line has a word at least, so no run is
+longer than min_words lines, and the array needs no greater depth.
 """
 
 from __future__ import annotations
@@ -68,30 +72,51 @@ def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
     return rows.select("u", "d", "p", "w", "forth", "back", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"))
 
 
+def ranked(groups: DataFrame, keys: list[str]) -> DataFrame:
+    """groups (a row for each of the keys, with n positions) and rank: how many positions of groups come before in the order of the keys; as a written table.
+
+    The groups are dealt out by ranges of the keys; the driver gets one sum for
+    each range.
+    """
+    dealt = cut(groups.repartitionByRange(*keys).withColumn("range", F.spark_partition_id()), "ranges")
+    before, total = [], 0
+    for r in dealt.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect():
+        before.append((r["range"], total))
+        total += r["n"]
+    starts = groups.sparkSession.createDataFrame(before, "range int, start long")
+    inside = F.sum("n").over(W.partitionBy("range").orderBy(*keys).rowsBetween(W.unboundedPreceding, -1))
+    rank = F.col("start") + F.coalesce(inside, F.lit(0).cast("long"))
+    out = cut(dealt.join(F.broadcast(starts), "range").withColumn("rank", rank).drop("range", "start"), "ranks")
+    drop(dealt)
+    return out
+
+
 def repeated(lines: DataFrame, min_words: int) -> DataFrame:
-    """(u, p, d, name, forth, back): lines that are repeated, named by their first copy, in stretches of repeated lines of min_words words or more.
+    """(u, p, d, rank, forth, back): lines that are repeated, with the rank of their id, in stretches of repeated lines of min_words words or more; as a written table.
 
     A shortest run that reaches beyond its stretch holds a line that is found
     nowhere else, and is left out (0).
     """
-    groups = lines.groupBy("a", "b").agg(F.min(F.struct("d", "u", "p")).alias("name"), F.count("*").alias("n")).where("n > 1")
-    active = join_groups(lines, groups, ["a", "b"], lines.count()).select("u", "d", "p", "w", "name", "forth", "back")
+    groups = ranked(lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1"), ["a", "b"])
+    active = join_groups(lines, groups, ["a", "b"], lines.count()).select("u", "d", "p", "w", "rank", "forth", "back")
     active = active.withColumn("stretch", F.col("p") - F.row_number().over(W.partitionBy("u").orderBy("p")))
     whole = W.partitionBy("u", "stretch")
     active = active.withColumns({"held": F.sum("w").over(whole), "low": F.min("p").over(whole), "high": F.max("p").over(whole)}).where(F.col("held") >= min_words)
     inside = {"forth": F.col("p") + F.col("forth") - 1 <= F.col("high"), "back": F.col("p") - F.col("back") + 1 >= F.col("low")}
-    return active.select("u", "d", "p", "name", *[F.when(fits, F.col(c)).otherwise(0).alias(c) for c, fits in inside.items()])
+    out = cut(active.select("u", "d", "p", "rank", *[F.when(fits, F.col(c)).otherwise(0).alias(c) for c, fits in inside.items()]), "repeated")
+    drop(groups)
+    return out
 
 
-def classes(first: DataFrame, min_words: int) -> list[DataFrame]:
-    """Written tables (u, p, d, name), the k-th of positions whose class of depth 2^k has several members, and its first member (d, u, p); the first of them is `first`."""
-    me = F.struct("d", "u", "p")
-    active, out, h = first.select("u", "d", "p", "name"), [first], 1
+def suffix_arrays(first: DataFrame, min_words: int) -> list[DataFrame]:
+    """Written tables (u, d, p, rank): the k-th is the suffix array of depth 2^k, of the positions that are not alone there; the first of them is `first`."""
+    active, out, h = first.select("u", "d", "p", "rank"), [first], 1
     while 2 * h <= min_words:
-        ahead = F.first("name").over(W.partitionBy("u").orderBy("p").rangeBetween(h, h))
-        pairs = active.withColumn("next", ahead).where(F.col("next").isNotNull())
-        groups = pairs.groupBy("name", "next").agg(F.min(me).alias("new"), F.count("*").alias("n")).where("n > 1")
-        active = cut(join_groups(pairs, groups, ["name", "next"], active.count()).select("u", "d", "p", F.col("new").alias("name")), "classes")
+        ahead = F.first("rank").over(W.partitionBy("u").orderBy("p").rangeBetween(h, h))
+        pairs = active.withColumn("next", ahead).where(F.col("next").isNotNull()).withColumnRenamed("rank", "here")
+        groups = ranked(pairs.groupBy("here", "next").agg(F.count("*").alias("n")).where("n > 1"), ["here", "next"])
+        active = cut(join_groups(pairs, groups, ["here", "next"], active.count()).select("u", "d", "p", "rank"), "array")
+        drop(groups)
         if active.isEmpty():
             drop(active)
             break
@@ -102,20 +127,21 @@ def classes(first: DataFrame, min_words: int) -> list[DataFrame]:
 
 def later_copies(lines: DataFrame, min_words: int) -> DataFrame:
     """(u, runs), as a written table: of each document the runs (p, n) of n lines from line p that also begin earlier, as far as shortest runs go."""
-    first = cut(repeated(lines, min_words), "repeated")
-    levels = classes(first, min_words)
+    first = repeated(lines, min_words)
+    levels = suffix_arrays(first, min_words)
     named = None
     for k, level in enumerate(levels):
-        level = level.select("u", "p", "name", F.lit(k).alias("k"))
+        level = level.select("u", "p", "rank", F.lit(k).alias("k"))
         named = level if named is None else named.unionByName(level)
     forth = first.where("forth > 0").select("u", "d", "p", F.col("forth").alias("n"))
     back = first.where("back > 0").select("u", "d", (F.col("p") - F.col("back") + 1).alias("p"), F.col("back").alias("n"))
     runs = forth.unionByName(back).distinct()
     runs = runs.withColumn("k", F.length(F.bin(F.col("n").cast("long"))) - 1)
     runs = runs.withColumn("q", F.col("p") + F.col("n") - F.expr("shiftleft(1, k)"))
-    runs = runs.join(named.select("u", "p", "k", F.col("name").alias("x")), ["u", "p", "k"])
-    runs = runs.join(named.select("u", F.col("p").alias("q"), "k", F.col("name").alias("y")), ["u", "q", "k"])
+    runs = runs.join(named.select("u", "p", "k", F.col("rank").alias("x")), ["u", "p", "k"])
+    runs = runs.join(named.select("u", F.col("p").alias("q"), "k", F.col("rank").alias("y")), ["u", "q", "k"])
     runs = cut(runs.select("u", "d", "p", "n", "x", "y"), "runs")
+    # equal n, x and y are an interval of longest common prefixes of n lines and more
     heads = runs.groupBy("n", "x", "y").agg(F.min(F.struct("d", "u", "p")).alias("first"), F.count("*").alias("many")).where("many > 1")
     later = join_groups(runs, heads, ["n", "x", "y"], runs.count(), "many").where(F.struct("d", "u", "p") != F.col("first"))
     out = cut(later.groupBy("u").agg(F.collect_list(F.struct("p", "n")).alias("runs")), "later")

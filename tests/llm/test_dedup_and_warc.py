@@ -165,6 +165,29 @@ def test_line_dedup_against_brute_force(spark, least):
     assert line_dedup.line_dedup(df.where("false"), least).count() == 0
 
 
+@pytest.mark.parametrize("hot_share", [1000, 3])
+def test_suffix_arrays_are_sorted(spark, monkeypatch, hot_share):
+    """Ranks order the positions by the lines from there on, and equal ranks are the positions with a common prefix that long."""
+    monkeypatch.setattr(common, "HOT_SHARE", hot_share)  # with 3, some groups are hot and some are not
+    rng = random.Random(hot_share)
+    rows = [(k, "\n".join(rng.choice(["a a", "b b b", "c c c c c", "d"]) for _ in range(40))) for k in range(8)]
+    docs = spark.createDataFrame(rows, "d long, t string").repartition(3)
+    lines = common.cut(line_dedup.line_rows(docs.selectExpr("d AS u", "d", "t"), 20), "lines")
+    texts = {d: t.split("\n") for d, t in rows}
+    order = {texts[r.d][r.p]: (r.a, r.b) for r in lines.collect()}
+    for k, level in enumerate(line_dedup.suffix_arrays(line_dedup.repeated(lines, 20), 20)):
+        h = 1 << k
+        every = {}
+        for d, t in texts.items():
+            for p in range(len(t) - h + 1):
+                every.setdefault(tuple(order[x] for x in t[p : p + h]), []).append((d, p))
+        start, want = 0, {}
+        for run in sorted(r for r in every if len(every[r]) > 1):
+            want |= dict.fromkeys(every[run], start)
+            start += len(every[run])
+        assert {(r.d, r.p): r["rank"] for r in level.collect()} == want and (k or want)
+
+
 def test_blank_lines_inside_a_run_go():
     assert line_dedup.without("a\n\nb\n\nc", [(0, 2)]) == ("\nc", 2)
     assert line_dedup.without("a\n\nb\n\nc", [(1, 1)]) == ("a\n\n\nc", 1)
