@@ -62,6 +62,11 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         suffix = spec["model"].get("end_of_word_suffix")
+        if max(self.tool.get_vocab().values()) >= 1 << 16:
+            raise ValueError(f"{path}: ids beyond 16 bits")
+        known = self.encode(["It's  a\tTEST, of 3 words;and (more)!"])[0], self.encode([" ".join(["it", "'s", "a", "test", ",", "of", "3", "words", ";", "and", "(", "more", ")!"])])[0]
+        if known[0] != known[1]:
+            raise ValueError(f"{path}: its words are not those between white space and punctuation, in lower case")
         self.ends = np.zeros(max(self.tool.get_vocab().values()) + 1, bool)
         if suffix:
             self.ends[[v for k, v in spec["model"]["vocab"].items() if k.endswith(suffix)]] = True
@@ -298,7 +303,8 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     that id alone. Repeated rows are packed each on its own. keep_ids adds the
     piece's ids (little-endian unsigned 32-bit). The driver gets one count for
     each length below the window. Ranks within a length come from counts of each
-    part, so that a length of many rows is not gathered anywhere.
+    part, so that a length of many rows is not gathered anywhere. An empty table
+    gives an empty result; columns other than the two are not read.
     """
     rows = cut(token_rows(docs, path, id_col, text_col, window), "tokens")
     cells = rows.where("tail > 0").groupBy("part", "tail").agg(F.count("*").alias("rows"))
