@@ -4,6 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 return the columns of documents. run() writes what a stage returns as Parquet in
 the shared folder and reads it back for the next one, so that a lost executor
 never costs more than the stage that it worked on.
+
+All stages take an empty table and give an empty result, take texts of any length
+whole, and keep columns that documents may have besides, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,13 +37,22 @@ def carried(inside: list[str]) -> list[str]:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base test and that the rules together find good."""
+    """Documents that pass the base test and that the rules together find good.
+
+    Null and empty texts have no words and go; repeated rows get one verdict.
+    Rows stay as they are.
+    """
     rows, at, inside = named(docs)
     return quality_rules(rows, at["doc_id"], at["text"], carry=inside).where("kept").select(carried(inside)).toDF(*docs.columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a recognised language; lang becomes what was recognised."""
+    """Documents of a recognised language; lang becomes what was recognised.
+
+    Null texts and texts without a letter go; a null lang is never learned from,
+    and is filled in. Repeated rows get one result. Equal sizes go to the language
+    that comes first by name.
+    """
     rows, at, inside = named(docs)
     model = learn(rows, at["doc_id"], at["text"], at["lang"])
     found = identify(rows, model, at["doc_id"], at["text"], carry=inside)
@@ -50,7 +62,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents less later copies of line runs; a document of which nothing is left goes."""
+    """Documents less later copies of line runs; a document of which nothing is left goes.
+
+    A text without lines, null or empty, stays as it is. Of repeated rows the first
+    read counts as the earlier; n_chars is counted anew, other columns stay.
+    """
     rows, at, inside = named(docs)
     out = line_dedup(rows, id_col=at["doc_id"], text_col=at["text"]).where((F.col("n_removed") == 0) | (F.col("n_lines") > F.col("n_removed")))
     if "n_chars" in at:
@@ -59,13 +75,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: that of the smallest id (null first), as it is.
+
+    Of repeated rows one stays; null texts and texts without a word are like no
+    other and stay.
+    """
     rows, at, inside = named(docs)
     return one_of_each(rows, at["doc_id"], at["text"]).select(inside).toDF(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents' token windows."""
+    """The pieces of the documents' token windows. A null or empty text is its end token alone; repeated rows are packed each on its own."""
     docs = docs.select("doc_id", "text")
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pytest
 
-from campuslake.llm import language_id, quality_model, toxicity
+from campuslake.llm import common, language_id, quality_model, toxicity
 
 SF = "/root/testdata/sf0.1"
 ODD = [(-1, None), (-2, ""), (-3, "12 345 !!"), (-4, " \n\t"), (-5, "word " * 30_000), (-6, "x"), (None, "the and of that with from"), (-7, "the and of"), (-7, "the and of")]
@@ -35,6 +37,39 @@ def test_language(spark, tables, odd):
     assert language_id.language_id(docs.where("false")).count() == 0
 
 
+def test_language_against_single_calls(spark):
+    """Sizes, choice, score and margin of each text, compressed here piece by piece with the same dictionaries."""
+    model = {"aa": b"the and of that with from this have " * 40, "bb": b"der und die das mit von nicht eine " * 40, "cc": b"le et la les des que pour dans " * 40}
+    texts = ["the and of that", "und die das mit " * 500, "le et la " * 3, "zzz", "THE AND", "x" * 5000, "1 2 3", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in language_id.identify(df, model, min_margin=0.02).collect()}
+    for k, text in enumerate(texts):
+        if k >= 6:
+            assert (got[k].lang_pred, got[k].score, got[k].rejected) == ("und", 0.0, True)
+            continue
+        size = {}
+        for lang, content in model.items():
+            tool = language_id.compressor(content, language_id.LEVEL)
+            size[lang] = sum(len(tool.compress(piece + bytes(256))) for piece in language_id.cut_at_spaces(text.lower().encode(), language_id.PIECE_BYTES))
+        first, second = sorted(size.values())[:2]
+        assert got[k].lang_pred == min(size, key=lambda x: (size[x], x)) and got[k].margin == pytest.approx((second - first) / second)
+        assert got[k].score == pytest.approx(1 / sum(2.0 ** (-2.0 * min(v - first, 500)) for v in size.values()))
+        assert got[k].rejected == ((second - first) / second < 0.02)
+
+
+def test_learning_reads_whole_texts_of_any_length(spark, monkeypatch):
+    rows = [(k, "ab " * 30_000 + f"tail{k} " * 30, "en") for k in range(1, 60)] + [(100 + k, "", "en") for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    content = language_id.learn(df, dict_bytes=2_000, docs_per_lang=10)["en"]
+    assert 1_900 <= len(content) <= 2_010
+    labels = spark.createDataFrame([(i, k % 2) for k, (i, _, _) in enumerate(rows)], "doc_id long, toxic int")
+    got = common.learn_rows(df, labels, "toxic", 50, [0, 1])
+    usable = {i: t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5}
+    assert {(i, t) for _, i, t in got} == set(usable.items())
+    few = common.learn_rows(df, labels, "toxic", 50, [0, 1], most_chars=200_000)
+    assert all(sum(len(t) for y, _, t in few if y == c) <= 200_000 for c in (0, 1)) and sum(not t for _, _, t in few) == sum(not t for t in usable.values())
+
+
 def test_toxicity(spark, tables, odd):
     docs, labels = tables
     got = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
@@ -121,6 +156,26 @@ def test_quality(spark, tables, odd):
     assert {r.score for r in quality_model.quality_classifier(odd, labels.where("false")).collect()} == {0.5}
 
 
+def test_first_split_is_the_best_one():
+    """One tree of one level on few rows, against all splits tried out."""
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(60, 3)).round(1), (rng.random(60) < 0.4).astype(float)
+    y[x[:, 1] > 0.3] = 1
+    model = quality_model.fit(x, y, np.ones(60))
+    p = y.mean()
+    best = None
+    for j in range(3):
+        for edge in np.unique(np.quantile(x[:, j], np.linspace(0, 1, quality_model.BINS + 1)[1:-1])):
+            left = x[:, j] <= edge
+            if min(left.sum(), (~left).sum()) >= quality_model.MIN_ROWS:
+                gain = sum((p * m.sum() - y[m].sum()) ** 2 / (p * (1 - p) * m.sum() + quality_model.RIDGE) for m in (left, ~left))
+                best = max(best or (-1, 0, 0), (round(gain, 6), -j, -edge))
+    feature, cut = model["feature"][0][0], model["cut"][0][0]
+    left = x[:, feature] <= cut
+    got = sum((p * m.sum() - y[m].sum()) ** 2 / (p * (1 - p) * m.sum() + quality_model.RIDGE) for m in (left, ~left))
+    assert got == pytest.approx(best[0], abs=1e-4)
+
+
 def test_trees_against_a_walk_of_each_row():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, 5)).round(1)

@@ -136,6 +136,20 @@ def test_quality_rules(spark):
     assert quality_rules.quality_rules(spark.createDataFrame([], df.schema)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("rule", "text"),
+    [
+        ("symbols", "word # " * 20), ("shouting", "word! " * 20), ("capitals", "WORD " * 20), ("repeats", "a b c d e f g h " * 5), ("same_lines", "same line here\n" * 9),
+        ("word_length", "internationalisation " * 20), ("variety", "one " * 60), ("letters", "12345 " * 20), ("marks", "word " * 30),
+    ],
+)
+def test_each_rule_votes(spark, rule, text):
+    names = list(quality_rules.votes())
+    good = "Several travellers remembered, with some pleasure, the quiet villages along the northern valley; others had never crossed that river before, although every season brought new visitors from distant towns."
+    row = {r.doc_id: r.votes for r in quality_rules.quality_rules(spark.createDataFrame([(1, text), (2, good)], "doc_id long, text string")).collect()}
+    assert row[1][names.index(rule)] == "0" and row[2] == "1" * 9 + "2" and row[1][names.index("prose")] == "1"
+
+
 def test_rules_keep_good_documents(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = quality_rules.quality_rules(docs).join(labels, "doc_id").where("not base_failed").groupBy("quality", "kept").count().collect()

@@ -96,6 +96,18 @@ def test_packing(spark, docs):
     assert packing.pack(docs.where("false"), WORD).count() == 0
 
 
+def test_packing_without_a_broadcast(spark, docs, monkeypatch):
+    rows = docs.where("doc_id is not null and doc_id <> 6").coalesce(1)
+    want = sorted(tuple(r) for r in packing.pack(rows, WORD).collect())
+    monkeypatch.setattr(packing, "BROADCAST_CELLS", 0)
+    assert sorted(tuple(r) for r in packing.pack(rows, WORD).collect()) == want
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError, match="its words are not"):
+        packing.Encoder(BYTE)
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(1, 63), max_size=120))
 def test_layout_of_any_lengths(lengths):
