@@ -105,7 +105,7 @@ def brute_em(patterns, counts, rounds):
         cast = [sum(v[j] != 0 for v in docs) for j in range(m)]
         agree = [sum((p if v[j] > 0 else 1 - p) for v, p in zip(docs, post) if v[j]) for j in range(m)]
         hold, first = quality_rules.HOLD, quality_rules.FIRST_ACCURACY
-        right = [min(max((a + hold * n * first + first) / ((1 + hold) * n + 1), 0.5), 0.99) for a, n in zip(agree, cast)]
+        right = [min(max((a + hold * first) / (n + hold), 0.5), 0.99) for a, n in zip(agree, cast)]
         prior = min(max((sum(post) + 1) / (len(post) + 2), 0.01), 0.99)
     return {tuple(v): p for v, p in zip(docs, post)}
 
