@@ -28,9 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from .common import cut, drop, join_groups, per_text, plain, positional, slices, split_flat, words
+from .common import cut, drop, join_groups, per_text, plain, positional, slices, split_flat, text_bytes, words
 
 MIN_WORDS = 50
+#: Documents with later copies, and runs of them, that are broadcast to the texts (16 bytes each).
+BROADCAST_RUNS = 500_000
 
 
 def shortest_runs(size: np.ndarray, starts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -169,6 +171,21 @@ def without(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
     return "\n".join(s for i, s in enumerate(lines) if i not in drop), len(gone)
 
 
+SPACE = np.zeros(256, bool)
+SPACE[list(b" \t\n\v\f\r")] = True
+
+
+def full_lines(texts: pa.Array) -> np.ndarray:
+    """How many lines with a word each text has."""
+    data, ends = text_bytes(texts)
+    starts = np.sort(np.concatenate([ends[:-1], np.flatnonzero(data == 10) + 1]))
+    before = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(~SPACE[data], out=before[1:])
+    full = starts[before[np.r_[starts[1:], len(data)]] > before[starts]] if len(starts) else starts
+    # an empty text begins where the next one does: a line with a word is the last one's
+    return np.bincount(np.searchsorted(ends, full, "right") - 1, minlength=len(texts))[: len(texts)].astype(np.int64)
+
+
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """docs with text_col less its later copies, and two counts of lines with a word: all, and those removed.
 
@@ -187,22 +204,26 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_i
     rows = cut(rows, "documents")
     lines = cut(line_rows(rows.select("u", F.col(i).cast("long").alias("d"), F.col(t).alias("t")), min_words), "lines")
     gone = later_copies(lines, min_words)
-    many = cut(lines.groupBy("u").agg(F.count("*").alias("n_lines")).join(gone, "u", "left"), "counts")
-    drop(lines, gone)
-    joined = rows.join(many, "u", "left").drop("u").withColumn("n_lines", F.coalesce("n_lines", F.lit(0).cast("long")))
+    drop(lines)
+    many = gone.agg(F.count("*") + F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()[0]
+    # beyond the bound the texts are shuffled to their runs
+    joined = rows.join(F.broadcast(gone) if many <= BROADCAST_RUNS else gone, "u", "left").drop("u")
+    joined = joined.withColumn("missing", F.col(t).isNull())
 
     def run(batches):
-        for batch in batches:
-            columns = {c: batch.column(c) for c in [*inside, "n_lines"]}
-            removed = np.zeros(batch.num_rows, np.int64)
-            at = np.flatnonzero(batch.column("runs").is_valid().to_numpy(zero_copy_only=False))
+        for piece in slices(batches, t):
+            columns = {c: plain(piece[c]) for c in inside}
+            n, removed, texts = full_lines(columns[t]), np.zeros(len(piece), np.int64), columns[t].cast(pa.string())
+            at = np.flatnonzero(plain(piece["runs"]).is_valid().to_numpy(zero_copy_only=False))
             if len(at):  # all other texts pass as they are
-                less = [without(columns[t][i].as_py(), [(r["p"], r["n"]) for r in batch.column("runs")[i].as_py()]) for i in at.tolist()]
-                mask = np.zeros(batch.num_rows, bool)
+                runs = plain(piece["runs"])
+                less = [without(texts[i].as_py(), [(r["p"], r["n"]) for r in runs[i].as_py()]) for i in at.tolist()]
+                mask = np.zeros(len(piece), bool)
                 mask[at] = True
-                columns[t] = pc.replace_with_mask(columns[t], pa.array(mask), pa.array([x for x, _ in less], columns[t].type))
-                removed[at] = [n for _, n in less]
-            yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(removed)], [*columns, "n_removed"])
+                texts = pc.replace_with_mask(texts, pa.array(mask), pa.array([x for x, _ in less], pa.string()))
+                removed[at] = [k for _, k in less]
+            columns[t] = pc.if_else(plain(piece["missing"]), pa.scalar(None, pa.string()), texts)
+            yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(n), pa.array(removed)], [*columns, "n_lines", "n_removed"])
 
-    schema = T.StructType([*joined.select([*inside, "n_lines"]).schema.fields, T.StructField("n_removed", T.LongType())])
+    schema = T.StructType([*joined.select(inside).schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
     return joined.mapInArrow(run, schema).toDF(*names, *counts)

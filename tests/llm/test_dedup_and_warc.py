@@ -146,8 +146,9 @@ def brute_lines(rows, least):
     return {n: [s for k, s in enumerate(lines[n]) if k not in gone[n]] for n in order}
 
 
-@pytest.mark.parametrize("least", [1, 3, 7])
-def test_line_dedup_against_brute_force(spark, least):
+@pytest.mark.parametrize(("least", "broadcast"), [(1, 0), (3, 10**6), (7, 10**6)])
+def test_line_dedup_against_brute_force(spark, monkeypatch, least, broadcast):
+    monkeypatch.setattr(line_dedup, "BROADCAST_RUNS", broadcast)
     rng = random.Random(least)
     pool = ["a b", "c", "d e f", "g", "h i j k", "l", "m n", "", "  "]
     rows = [(n, "\n".join(rng.choice(pool) for _ in range(rng.randrange(14)))) for n in range(60)]
@@ -188,6 +189,13 @@ def test_suffix_arrays_are_sorted(spark, monkeypatch, hot_share):
         assert {(r.d, r.p): r["rank"] for r in level.collect()} == want and (k or want)
 
 
+def test_full_lines():
+    texts = ["", "a", "", "\n", "a\n", "\na\n \n\tb c\nd", "x\n\x0b\x0c\r\n\xa0", " ", "é\n日本", ""]
+    for some in (texts, texts[1:], texts[:0], [""]):
+        want = [sum(bool(WORD.search(x)) for x in t.split("\n")) for t in some]
+        assert line_dedup.full_lines(line_dedup.pa.array(some, line_dedup.pa.large_string())).tolist() == want
+
+
 def test_blank_lines_inside_a_run_go():
     assert line_dedup.without("a\n\nb\n\nc", [(0, 2)]) == ("\nc", 2)
     assert line_dedup.without("a\n\nb\n\nc", [(1, 1)]) == ("a\n\n\nc", 1)
