@@ -72,13 +72,14 @@ def test_learning_reads_whole_texts_of_any_length(spark, monkeypatch):
 
 def test_toxicity(spark, tables, odd):
     docs, labels = tables
-    got = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
-    clean, toxic = [r for r in got if r.toxic == 0], [r for r in got if r.toxic == 1]
-    assert sum(r.predicted for r in clean) <= 0.03 * len(clean)
-    assert sum(r.predicted for r in toxic) >= 0.8 * len(toxic)
     model = toxicity.learn(docs, labels)
+    got = toxicity.score_toxicity(docs, model).join(labels, "doc_id").where(toxicity.held_out()).collect()
+    clean, toxic = [r.score >= 0.5 for r in got if r.toxic == 0], [r.score >= 0.5 for r in got if r.toxic == 1]
+    assert sum(clean) <= 0.03 * len(clean) and sum(toxic) >= 0.8 * len(toxic)
     scores = {r.doc_id: r.score for r in toxicity.score_toxicity(odd, model).collect()}
     assert all(0 <= s <= 1 for s in scores.values()) and scores[-1] == scores[-2] < 0.5
+    few = toxicity.toxicity(docs.where("doc_id < 400"), labels).collect()
+    assert few[0].__fields__ == ["doc_id", "held_out", "score", "predicted"] and all(r.predicted == (r.score >= 0.5) for r in few)
     assert {r.score for r in toxicity.toxicity(odd, labels.where("false")).collect()} == {0.5}
     assert toxicity.toxicity(docs.where("false"), labels).count() == 0
 
