@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop
+from .common import cut, drop, join_groups
 
 
 def _least(both: DataFrame) -> DataFrame:
-    """For each node a of (a, b): the least of itself and its neighbours."""
-    return both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    """For each node a of (a, b): the least of itself and its neighbours, and how many links it has."""
+    return both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), F.count("*").alias("n"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -18,23 +18,25 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hangs the larger neighbours of a node, then the smaller ones, on
     the least node known; it ends when the links no longer change. A node with
-    very many links is pre-aggregated before the shuffle, and no list of
-    neighbours is gathered.
+    very many links is pre-aggregated before the shuffle, its links stay where they
+    are (join_groups()), and no list of neighbours is gathered. Links of a node to
+    itself and links with a null say nothing.
     """
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    seen = None
+    seen, total = None, edges.count()
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = both.join(_least(both), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
+        large = join_groups(both, _least(both), ["a"], 2 * total).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = cut(large, "links")
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = join_groups(large, least, ["a"], 2 * total)
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b")))
         before, edges = edges, cut(small.where("a <> b").distinct(), "links")
-        drop(before)
+        drop(before, large)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break
-        seen = state
+        seen, total = state, state[0]
     out = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
     out = cut(out.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()), "labels")
     drop(edges)
