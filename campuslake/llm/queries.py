@@ -157,9 +157,50 @@ FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN seq USING (doc_id) LEFT JOIN (SEL
 """
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import simhash_near_dedup
+
+    return simhash_near_dedup(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ball_tree import ranked_search
+
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), b AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL
+), len AS (
+  SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id
+), all_docs AS (
+  SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM len
+), df AS (
+  SELECT term, count(*) AS df FROM tf GROUP BY term
+), q AS (
+  SELECT item_id, term, count(*) AS times, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM b JOIN df USING (term), all_docs GROUP BY ALL
+), s AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * nn) // ll))))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN len USING (doc_id), all_docs GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER o AS INT) AS rank, doc_id, score FROM s WHERE score > 0 WINDOW o AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER o <= 20
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": OP1, "op2_near_dedup": OP2, "op9_warc": OP9, "op10_line_dedup": OP10}
+    return {"op1_top_k": OP1, "op2_near_dedup": OP2, "op9_warc": OP9, "op10_line_dedup": OP10, "op13_ranked_search": OP13}
