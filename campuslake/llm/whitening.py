@@ -103,43 +103,48 @@ def sweep(q: list[float], e: list[float], shift: float) -> tuple[list[float], li
 def squares(q: np.ndarray, e: np.ndarray) -> list[float]:
     """The squared singular values of the bidiagonal whose squared entries are q and e, by dqds."""
     out: list[float] = []
-    todo = [(list(map(float, q)), list(map(float, e)), 0.0)]
+    # what has been shifted is kept as a sum of two numbers: a shift may be far below its last digit
+    todo = [(list(map(float, q)), list(map(float, e)), 0.0, 0.0)]
     small = (8 * EPS) ** 2
     while todo:
-        q, e, moved = todo.pop()
+        q, e, moved, rest = todo.pop()
         turns = 0
         while q:
             n = len(q)
             if n == 1:
-                out.append(moved + q[0])
+                out.append(moved + (rest + q[0]))
                 break
             if n == 2:
                 root = math.sqrt((q[0] - q[1]) ** 2 + 2 * e[0] * (q[0] + q[1]) + e[0] ** 2)
                 large = (q[0] + q[1] + e[0] + root) / 2
-                out += [moved + large, moved + (q[0] * (q[1] / large) if large > 0 else 0.0)]
+                out += [moved + (rest + large), moved + (rest + (q[0] * (q[1] / large) if large > 0 else 0.0))]
                 break
-            if e[-1] <= small * (moved + q[-1]):
-                out.append(moved + q.pop())
+            last = EPS / 16 * moved
+            # the last entry above the diagonal is gone, or moves the last value by less than its last digit
+            if e[-1] <= small * (moved + q[-1]) or (q[-2] > 4 * q[-1] and e[-1] <= last) or q[-2] * e[-1] <= last * last:
+                out.append(moved + (rest + q.pop()))
                 e.pop()
                 continue
             gap = next((k for k in range(n - 2, -1, -1) if e[k] <= small * (moved + min(q[k], q[k + 1]))), None)
             if gap is not None:
-                todo.append((q[: gap + 1], e[:gap], moved))
+                todo.append((q[: gap + 1], e[:gap], moved, rest))
                 q, e = q[gap + 1 :], e[gap + 1 :]
                 continue
             if 1.5 * q[0] < q[-1]:  # the least values belong at the end
                 q.reverse()
                 e.reverse()
             turns += 1
-            if turns > 60 * n:
+            if turns > 60 * n + 600:
                 raise ArithmeticError("the quotient-difference sweeps do not settle")
             q, e, _, reciprocals = sweep(q, e, 0.0)
             # 1 / reciprocals is no larger than the least value
             shift = 1 / reciprocals if reciprocals > 0 else 0.0
-            while shift > EPS * moved and shift > 0:
+            while shift > 0:
                 if (found := sweep(q, e, shift)) is not None:
                     q, e = found[:2]
-                    moved += shift
+                    total = moved + shift
+                    rest += (moved - total) + shift
+                    moved = total
                     break
                 shift *= 0.5
     return out

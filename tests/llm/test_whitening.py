@@ -31,6 +31,26 @@ def test_values_and_directions(name):
     assert np.abs(r.T @ (r @ found) - found * values[: found.shape[1]]).max(initial=0) <= 1e-13 * top**2
 
 
+def test_many_matrices():
+    rng = np.random.default_rng(3)
+    for k in range(300):
+        d = int(rng.integers(2, 30))
+        r = rng.normal(size=(d, d))
+        if k % 5 == 1:  # columns of very different sizes
+            r = r * 10.0 ** rng.integers(-12, 12, d)
+        elif k % 5 == 2:  # whole numbers
+            r = rng.integers(-2, 3, (d, d)).astype(float)
+        elif k % 5 == 3:  # values that repeat
+            r = np.linalg.qr(r)[0] @ np.diag(rng.integers(1, 4, d).astype(float)) @ np.linalg.qr(rng.normal(size=(d, d)))[0]
+        elif k % 5 == 4:  # all but one value nearly zero
+            r = r[:, [0] * d] + 1e-9 * rng.normal(size=(d, d))
+        values, found = wh.principal(r, 6)
+        want = np.linalg.svd(r, compute_uv=False)
+        assert np.abs(np.sqrt(values) - want).max() <= 1e-12 * want[0]
+        assert np.abs(found.T @ found - np.eye(found.shape[1])).max(initial=0) < 1e-12
+        assert np.abs(r.T @ (r @ found) - found * values[: found.shape[1]]).max(initial=0) <= 1e-12 * want[0] ** 2
+
+
 def test_small_values_keep_their_digits():
     # a graded bidiagonal: all digits of values over thirty orders of magnitude, against whole-number arithmetic
     from fractions import Fraction
