@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -23,28 +23,81 @@ def validate_gpa(df: DataFrame) -> DataFrame:
 
 def adjust_gpa(df: DataFrame) -> DataFrame:
     """adjusted_gpa: gpa plus what the background adds; an unknown background adds nothing."""
-    adj = cat.background_adjustments(df.sparkSession).withColumnRenamed("bg_code", "school_bg")
-    out = df.join(F.broadcast(adj), "school_bg", "left")
-    return out.withColumn("adjusted_gpa", F.col("gpa") + F.coalesce("gpa_adj", F.lit(0.0))).select(*df.columns, "adjusted_gpa")
+    adj = F.create_map(*[F.lit(x) for pair in cat.BACKGROUNDS for x in pair])
+    return df.withColumn("adjusted_gpa", F.col("gpa") + F.coalesce(F.try_element_at(adj, F.col("school_bg")), F.lit(0.0)))
 
 
-def match_schools(applicants: DataFrame) -> DataFrame:
-    """Each valid applicant with the schools within reach: level and score.
+#: What is known of a school in a match, in the order of the catalog's columns.
+_SCHOOL = {"pos": (0, "int"), "school_id": (1, "string"), "country": (4, "string"), "ranking": (5, "int"), "req_gpa": (6, "double")}
+
 
-    The catalog has 26 rows, so the theta join is a broadcast one: at most 26 rows
-    an applicant, and no shuffle. Highlights widen reach only. No countries, or
-    null, mean all of them; null highlights are none.
+def matched(applicants: DataFrame) -> DataFrame:
+    """Each valid applicant with `matches`: the schools within reach in catalog order, as an array of structs.
+
+    The catalog is a constant array in the row, so matching, ranking and counting
+    need no join and no shuffle; rows are multiplied at the end, if at all.
+    Highlights widen reach only. No countries, or null, mean all of them; null
+    highlights are none.
     """
     valid = adjust_gpa(validate_gpa(applicants).where(F.col("gpa_error").isNull()))
     lower = F.lit(-0.4) - F.least(F.coalesce(F.size("highlights"), F.lit(0)) * F.lit(0.05), F.lit(0.15))
-    keep = [c for c in applicants.columns if c not in ("countries", "highlights")]
-    left = valid.select(*keep, "gpa", "adjusted_gpa", "countries", lower.alias("reach_bound"))
-    schools = cat.schools(applicants.sparkSession).select("pos", "school_id", "country", "ranking", "req_gpa")
-    wanted = (F.coalesce(F.size("countries"), F.lit(0)) <= 0) | F.array_contains("countries", F.col("country"))
-    diff = F.col("adjusted_gpa") - F.col("req_gpa")
-    out = left.join(F.broadcast(schools), wanted & ((diff >= -0.15) | (diff >= F.col("reach_bound"))))
-    level = F.when(diff >= 0.2, "safety").when(diff >= -0.15, "match").otherwise("reach")
-    return out.select("applicant_id", "pos", "school_id", "country", "ranking", "req_gpa", level.alias("match_level"), diff.alias("match_score"))
+    every = F.array(*[F.struct(*[F.lit(r[k]).cast(t).alias(c) for c, (k, t) in _SCHOOL.items()]) for r in cat.school_rows()])
+    anywhere = F.coalesce(F.size("countries"), F.lit(0)) <= 0
+
+    def judged(s: Column) -> Column:
+        diff = F.col("adjusted_gpa") - s["req_gpa"]
+        level = F.when(diff >= 0.2, "safety").when(diff >= -0.15, "match").when(diff >= F.col("reach_bound"), "reach")
+        wanted = F.col("anywhere") | F.coalesce(F.array_contains("countries", s["country"]), F.lit(False))
+        return F.struct(*[s[c].alias(c) for c in _SCHOOL], F.when(wanted, level).alias("match_level"), diff.alias("match_score"))
+
+    rows = valid.withColumns({"reach_bound": lower, "anywhere": anywhere})
+    found = F.filter(F.transform(every, judged), lambda m: m["match_level"].isNotNull())
+    return rows.select(*[c for c in applicants.columns if c not in ("countries", "highlights")], found.alias("matches"))
+
+
+def match_schools(applicants: DataFrame) -> DataFrame:
+    """Each valid applicant with the schools within reach: level and score, at most 26 rows an applicant."""
+    return matched(applicants).select("applicant_id", F.inline("matches"))
+
+
+def ranked(applicants: DataFrame) -> DataFrame:
+    """matched(), with an array for each level in order of rank: match by nearness, the others by required GPA downward; ties in catalog order."""
+
+    def ordered(level: str) -> Column:
+        key = (lambda m: F.abs(m["match_score"])) if level == "match" else (lambda m: -m["req_gpa"])
+        mine = F.filter("matches", lambda m: m["match_level"] == level)
+        return F.array_sort(F.transform(mine, lambda m: F.struct(key(m).alias("key"), m["pos"].alias("pos"), m["school_id"].alias("school_id"))))
+
+    return matched(applicants).withColumns({level: ordered(level) for level in LEVELS})
+
+
+def _numbered(ranks: Column, level: str) -> Column:
+    return F.transform(ranks, lambda m, n: F.struct(m["school_id"].alias("school_id"), F.lit(level).alias("match_level"), (n + 1).alias("rn")))
+
+
+def _rows(df: DataFrame, of: dict[str, Column], fields: list[str]) -> DataFrame:
+    """A row for each entry of the levels' arrays, with its place among them."""
+    return df.select("applicant_id", F.inline(F.concat(*[_numbered(a, level) for level, a in of.items()]))).select("applicant_id", *fields)
+
+
+def school_ranks(applicants: DataFrame) -> DataFrame:
+    """applicant_id, school_id, match_level and rn of every match; no shuffle."""
+    return _rows(ranked(applicants), {k: F.col(k) for k in LEVELS}, ["school_id", "match_level", "rn"])
+
+
+def school_shortlist(applicants: DataFrame) -> DataFrame:
+    """The first of each level, the later ones locked; no shuffle."""
+    out = _rows(ranked(applicants), {k: F.slice(k, 1, most) for k, (most, _) in SHORTLIST.items()}, ["school_id", "match_level", "rn"])
+    opened = F.lit(0)
+    for level, (_, free) in SHORTLIST.items():
+        opened = F.when(F.col("match_level") == level, free).otherwise(opened)
+    return out.withColumn("is_locked", F.col("rn") > opened)
+
+
+def school_counts(applicants: DataFrame) -> DataFrame:
+    """How many schools of each level; valid applicants without a match have zeros. No shuffle."""
+    count = lambda level: F.size(F.filter("matches", lambda m: m["match_level"] == level)).cast("long")
+    return matched(applicants).select("applicant_id", *[count(k).alias(k) for k in LEVELS])
 
 
 def rank_matches(matches: DataFrame) -> DataFrame:

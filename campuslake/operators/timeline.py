@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -44,6 +46,16 @@ def mask_locked(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.col("is_locked"), F.col(c)) for c in HIDDEN})
 
 
+def first_locked_of(requests: DataFrame) -> DataFrame:
+    """The first locked stage of every valid request, -1 where there is none: a constant of its template, so requests stay where they are."""
+    size: dict[str, int] = {}
+    for r in cat.stage_rows():
+        size[r[0]] = size.get(r[0], 0) + 1
+    first = {t: min((r[1] for r in cat.stage_rows() if r[0] == t and r[1] >= math.floor(n * LOCK_FROM)), default=-1) for t, n in size.items()}
+    of = F.create_map(*[F.lit(x) for pair in first.items() for x in pair])
+    return choose_template(valid_timeline_requests(requests)).select("request_id", F.try_element_at(of, F.col("template_id")).alias("first_locked"))
+
+
 def first_locked(df: DataFrame) -> DataFrame:
     """The first locked stage of each request, -1 where there is none."""
     return df.groupBy("request_id").agg(F.coalesce(F.min(F.when(F.col("is_locked"), F.col("idx"))), F.lit(-1)).alias("first_locked"))
