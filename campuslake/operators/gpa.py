@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import parse_float
 from ..sources.catalogs import SCALES, grade_scales
+from ..sources.scratch import BROADCAST_ROWS
 
 #: Credits are whole numbers of so many parts: exact up to six decimals.
 UNIT = 1_000_000
@@ -60,6 +61,40 @@ def to_points_by_table(df: DataFrame, scale_id: str, scales: dict = SCALES) -> D
     return out.withColumn("points_x10", F.coalesce(F.try_element_at(below, F.lit(-1))["points_x10"], F.lit(0))).drop("ladder")
 
 
+def scale_ladders(scales: DataFrame) -> DataFrame:
+    """scale_id and its bands, by rising bound. scales: scale_id, lower_bound, points_x10, a row for each band; further rows make a further scale."""
+    return scales.groupBy("scale_id").agg(F.array_sort(F.collect_list(F.struct("lower_bound", "points_x10"))).alias("ladder"))
+
+
+def to_points_by_scale(df: DataFrame, scales: DataFrame) -> DataFrame:
+    """to_points() where each row names its scale_id: the bound at or below the score is found by halving the scale's bands. A scale that is not in scales gives null.
+
+    The scales are broadcast as long as they have BROADCAST_ROWS bands at most.
+    """
+    ladders = scale_ladders(scales.where(F.col("scale_id").isNotNull()))
+    if scales.count() <= BROADCAST_ROWS:
+        ladders = F.broadcast(ladders)
+    out = df.join(ladders, "scale_id", "left")
+    halvings = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(F.size("ladder") + 1)).cast("int")))
+
+    def half(bounds: Column, _: Column) -> Column:
+        middle = F.shiftright(bounds["low"] + bounds["high"], 1)
+        below = (bounds["low"] < bounds["high"]) & (F.get("ladder", middle)["lower_bound"] <= F.col("score"))
+        return F.struct(F.when(below, middle + 1).otherwise(bounds["low"]).alias("low"), F.when(below, bounds["high"]).otherwise(F.least(middle, bounds["high"])).alias("high"))
+
+    # low: how many bounds the score reaches
+    low = F.aggregate(halvings, F.struct(F.lit(0).alias("low"), F.size("ladder").alias("high")), half)["low"]
+    points = F.when(F.col("ladder").isNotNull(), F.when(low > 0, F.get("ladder", low - 1)["points_x10"]).otherwise(0))
+    return out.withColumn("points_x10", points).select(*df.columns, "points_x10")
+
+
+def weighted_gpa_by_scale(df: DataFrame, scales: DataFrame) -> DataFrame:
+    """student_id, scale_id, gpa and total_credits, each student on the scale that the rows name (a row for each scale, if they name several); an unknown scale has a null gpa. One shuffle of courses."""
+    p, c = _weighted(F.col("credits"), F.coalesce("points_x10", F.lit(0)))
+    sums = to_points_by_scale(df, scales).groupBy("student_id", "scale_id").agg(p.alias("p"), c.alias("c"), F.max("points_x10").isNotNull().alias("known"))
+    return sums.select("student_id", "scale_id", F.when(F.col("known"), gpa_hundredths(F.col("p"), F.col("c")) / 100.0).alias("gpa"), (F.col("c") / float(UNIT)).alias("total_credits"))
+
+
 def to_points_all(df: DataFrame, scales: dict = SCALES) -> DataFrame:
     """A row for each course and scale, from one array: rows are multiplied by the number of scales."""
     every = F.array(*[F.struct(F.lit(k).alias("scale_id"), F.lit(n).alias("scale_no"), F.lit(top).alias("max_gpa_x10"), points_x10(k, scales=scales).alias("points_x10")) for n, (k, (top, _)) in enumerate(scales.items())])
