@@ -40,6 +40,41 @@ def transcripts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: The scale that each student has chosen: those of the catalog, one that rows register, one that nobody knows.
+CHOSEN_SCALES = [*cat.SCALES, "honours50", "none-such"]
+
+
+def scaled_transcripts(spark: SparkSession, sf: str) -> DataFrame:
+    return transcripts(spark, sf).withColumn("scale_id", pick(CHOSEN_SCALES, F.col("student_id") % len(CHOSEN_SCALES)))
+
+
+def raw_transcripts(spark: SparkSession, sf: str) -> DataFrame:
+    """Transcripts as they may come in: numbers as text, some of them none, some rows without a student; no names."""
+    c, n = F.col, F.col("l_linenumber")
+    return load(spark, sf, "lineitem").select(
+        F.when(c("l_orderkey") % 50 != 0, c("l_orderkey").cast("string")).alias("student_id"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("course_id"),
+        F.when(n == 2, "pass").when(n == 3, F.lit(None)).otherwise((c("l_quantity").cast("int") % 9).cast("string")).alias("credits"), (c("l_partkey") % 106).cast("int").alias("score"),
+    )
+
+
+def stored_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored checklists as text, whole and broken."""
+    return load(spark, sf, "events").select("event_id", pick(list(STORED), F.col("event_id") % len(STORED)).alias("json"))
+
+
+#: Stored texts, with how many entries reading finds, and how many of them are checked.
+STORED = {
+    '{"us-f1-core-1":true,"us-f1-core-2":false}': (2, 1), "{oops": (0, 0), "": (0, 0), "[1,2]": (0, 0), '{"a":true,"b":"x","c":true}': (3, 3), "null": (0, 0), "{}": (0, 0),
+    '{"a":0,"b":"","c":null,"d":1.5,"e":[],"f":{"g":1}}': (6, 3), '{"a":true} and more': (0, 0),
+}
+
+
+def arrivals(events: DataFrame) -> DataFrame:
+    """events with the run in which each arrives: by its day of the month, but some come later than their days."""
+    week = F.least(F.lit(3), F.floor((F.dayofmonth("ts") - 1) / 8)).cast("int")
+    return events.withColumn("run", F.when(F.col("event_id") % 20 == 7, F.least(F.lit(3), week + 1 + (F.col("event_id") % 3).cast("int"))).otherwise(week))
+
+
 def applicants(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("o_orderkey")
     gpa = ((k * 37) % 430 - 10) / 100.0

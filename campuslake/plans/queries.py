@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cost, events, gpa, matching, replay, timeline, visa
-from ..sources.scratch import load
+from ..sources import catalogs as cat
+from ..sources import facts
+from ..sources.scratch import load, shared_dir, written
 from ..streaming import streams
 from . import inputs
 
@@ -138,17 +141,17 @@ def school_match(s, d):
 
 @query
 def school_rank(s, d):
-    return matching.rank_matches(school_match(s, d)).select("applicant_id", "school_id", "match_level", "rn")
+    return matching.school_ranks(inputs.applicants(s, d))
 
 
 @query
 def school_shortlist(s, d):
-    return matching.shortlist(matching.rank_matches(school_match(s, d))).select("applicant_id", "school_id", "match_level", "rn", "is_locked")
+    return matching.school_shortlist(inputs.applicants(s, d))
 
 
 @query
 def school_summary(s, d):
-    return matching.match_summary(inputs.applicants(s, d), school_match(s, d))
+    return matching.school_counts(inputs.applicants(s, d))
 
 
 @query
@@ -180,7 +183,7 @@ def visa_tips(s, d):
 
 @query
 def visa_progress(s, d):
-    return visa.visa_progress(inputs.visa_requests(s, d), replay.replay_checklist(inputs.toggles(s, d)))
+    return visa.mask_progress(inputs.visa_requests(s, d), replay.checklist_masks(inputs.toggles(s, d)))
 
 
 @query
@@ -206,7 +209,7 @@ def timeline_masked(s, d):
 
 @query
 def timeline_first_locked(s, d):
-    return timeline.first_locked(_stages(s, d))
+    return timeline.first_locked_of(inputs.timeline_requests(s, d))
 
 
 @query
@@ -242,3 +245,57 @@ def stream_event_counts(s, d):
     return streams.run_to_table(streams.event_counts_stream(labelled), "append").drop("batch")
 
 
+@query
+def gpa_chosen_scale(s, d):
+    """Each student on the scale of their choice; one scale is registered by rows."""
+    further = s.createDataFrame([(HONOURS[0], HONOURS[0], HONOURS[1], float(b), p) for b, p in HONOURS[2]], cat.grade_scales(s).schema)
+    return gpa.weighted_gpa_by_scale(inputs.scaled_transcripts(s, d), cat.grade_scales(s).unionByName(further))
+
+
+@query
+def event_rollup_weekly(s, d):
+    """Weeks merged from a table of days."""
+    rows = events.event_envelope(inputs.interactions(s, d)).select("ts", "user_id", "envelope.*")
+    daily = written(events.daily_rollup(rows), "daily", "day")
+    return events.span_rollup(daily, F.date_trunc("week", "day").cast("date")).withColumnRenamed("span", "week")
+
+
+@query
+def facts_checked(s, d):
+    """Raw transcripts held against their schema."""
+    return facts.checked(inputs.raw_transcripts(s, d), "transcripts").select("course_id", "student_id", "name", "credits", "score", "reason")
+
+
+@query
+def stored_state_read(s, d):
+    """Stored checklists, broken ones too: what reading finds."""
+    read = visa.read_checked(inputs.stored_states(s, d), "json")
+    checked = F.size(F.filter(F.map_values("checked"), lambda c: F.coalesce(c, F.lit(False))))
+    return read.select("event_id", F.size("checked").cast("long").alias("n_read"), checked.cast("long").alias("n_checked"))
+
+
+@query
+def stream_checklists(s, d):
+    """Live checklists, kept as JSON text: toggles arrive in several files, in two runs of the stream."""
+    folder = f"{shared_dir(s)}/campuslake/checklists-{uuid.uuid4().hex}"
+    rows = inputs.arrivals(load(s, d, "events"))
+    for run in range(4):
+        rows.where(F.col("run") == run).drop("run").coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+        if run % 2:
+            streams.run_checklists(inputs.toggle_rows(streams.read_stream(s, folder, "events", 1)), folder, every=3)
+    return streams.checklists(s, folder)
+
+
+@query
+def stream_late_events(s, d):
+    """Windows of events that arrive in four runs, some of them too late; and how many came too late in each run."""
+    folder = f"{shared_dir(s)}/campuslake/windows-{uuid.uuid4().hex}"
+    rows = inputs.arrivals(load(s, d, "events"))
+    for run in range(4):
+        rows.where(F.col("run") == run).drop("run").coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+        arrived = events.event_envelope(inputs.interaction_rows(streams.read_stream(s, folder, "events"))).select("ts", "envelope.*")
+        streams.run_windows(arrived, folder)
+    counted = streams.closed_windows(s, folder).select(F.lit("window").alias("kind"), F.col("window_start").cast("string").alias("at"), "event_category", "event_label", "n")
+    none = F.lit(None).cast("string")
+    late = streams.window_runs(s, folder).select(F.lit("late").alias("kind"), F.concat(F.lit("run "), F.col("run")).alias("at"), none.alias("event_category"), none.alias("event_label"), F.col("n_late").alias("n"))
+    return counted.unionByName(late)

@@ -128,7 +128,25 @@ SELECT session_id, {", ".join(f"coalesce({_last(c)}, '') AS {c}" for c in TIMELI
 _limits = " OR ".join(f"(match_level = '{k}' AND rn <= {n})" for k, (n, _) in SHORTLIST.items())
 _open = "CASE match_level " + " ".join(f"WHEN '{k}' THEN {n}" for k, (_, n) in SHORTLIST.items()) + " END"
 
+_CHOSEN = "CASE scale_id " + " ".join(f"WHEN '{k}' THEN {_points(b)}" for k, (_, b) in {**SCALES, "honours50": (50, [(90, 50), (75, 40), (60, 25)])}.items()) + " END"
+ARRIVALS = f"""{INTERACTIONS}, weeks AS (SELECT *, least(3, (day(ts) - 1) // 8) AS week FROM interactions),
+arrived AS (SELECT *, CASE WHEN event_id % 20 = 7 THEN least(3, week + 1 + event_id % 3) ELSE week END AS run, date_trunc('day', ts) + INTERVAL 1 DAY AS closes FROM weeks),
+marks AS (SELECT r.run, (SELECT max(ts) FROM arrived AS a WHERE a.run < r.run) - INTERVAL 1 HOUR AS mark, (SELECT max(ts) FROM arrived AS a WHERE a.run <= r.run) - INTERVAL 1 HOUR AS after FROM (VALUES (0), (1), (2), (3)) AS r(run)),
+judged AS (SELECT a.*, coalesce(closes <= mark, FALSE) AS is_late FROM arrived AS a JOIN marks USING (run))"""
+
 SQL = {
+    "gpa_chosen_scale": f"""WITH {TRANSCRIPTS}, c AS (SELECT *, {pick(i.CHOSEN_SCALES, f"student_id % {len(i.CHOSEN_SCALES)}")} AS scale_id FROM transcripts),
+      s AS (SELECT student_id, scale_id, CAST(sum(CASE WHEN {_OK} THEN credits * 2 ELSE 0 END) AS BIGINT) AS c, CAST(sum(CASE WHEN {_OK} THEN credits * 2 * ({_CHOSEN}) ELSE 0 END) AS BIGINT) AS p FROM c GROUP BY ALL)
+      SELECT student_id, scale_id, CASE WHEN scale_id = 'none-such' THEN NULL WHEN c > 0 THEN (20 * p + c) // (2 * c) ELSE 0 END / 100.0::DOUBLE AS gpa, c / 2.0::DOUBLE AS total_credits FROM s""",
+    "event_rollup_weekly": f"WITH {INTERACTIONS} SELECT CAST(date_trunc('week', ts) AS DATE) AS week, event_category, event_label, count(*) AS n_events, CAST(sum(CAST(coalesce(value, 0) AS DECIMAL(18, 2))) AS DOUBLE) AS value_sum, count(DISTINCT user_id) AS n_users, count(*) FILTER (WHERE event_category = 'Conversion') AS conversions FROM interactions GROUP BY ALL",
+    "facts_checked": """SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS course_id, CASE WHEN l_orderkey % 50 <> 0 THEN l_orderkey END AS student_id, CAST(NULL AS VARCHAR) AS name,
+      CASE WHEN l_linenumber NOT IN (2, 3) THEN CAST(CAST(l_quantity AS INT) % 9 AS DOUBLE) END AS credits, CAST(l_partkey % 106 AS DOUBLE) AS score,
+      nullif(concat_ws('; ', CASE WHEN l_orderkey % 50 = 0 THEN 'null: student_id' END, CASE WHEN l_linenumber = 2 THEN 'type: credits' END), '') AS reason FROM lineitem""",
+    "stored_state_read": f"SELECT event_id, {pick([float(n) for n, _ in i.STORED.values()], f'event_id % {len(i.STORED)}')}::BIGINT AS n_read, {pick([float(n) for _, n in i.STORED.values()], f'event_id % {len(i.STORED)}')}::BIGINT AS n_checked FROM events",
+    "stream_checklists": f"""WITH t AS (SELECT user_id, event_id % 46 AS no, {pick([r[4] for r in cat.flat_visa_rows()], "event_id % 46")} AS item_id, count(*) % 2 = 1 AS is_on FROM events GROUP BY ALL)
+      SELECT user_id, CAST(coalesce(sum(1 << CAST(no AS BIGINT)) FILTER (WHERE is_on), 0) AS BIGINT) AS mask, '{{' || coalesce(string_agg('"' || item_id || '":true', ',' ORDER BY no) FILTER (WHERE is_on), '') || '}}' AS json, count(*) FILTER (WHERE is_on) AS n_checked FROM t GROUP BY user_id""",
+    "stream_late_events": f"""WITH {ARRIVALS} SELECT 'window' AS kind, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS at, event_category, event_label, count(*) AS n FROM judged WHERE NOT is_late AND closes <= (SELECT max(after) FROM marks) GROUP BY ALL
+      UNION ALL SELECT 'late', 'run ' || run, NULL, NULL, count(*) FILTER (WHERE is_late) FROM judged GROUP BY run""",
     "gpa_standard40": f"WITH {TRANSCRIPTS}, {GPA} SELECT student_id, gpa, total_credits FROM gpa WHERE scale_id = 'standard40'",
     "gpa_all_scales": f"WITH {TRANSCRIPTS}, {GPA} SELECT student_id, scale_id, gpa, total_credits FROM gpa",
     "gpa_best_scale": f"WITH {TRANSCRIPTS}, {GPA} SELECT student_id, scale_id, gpa FROM gpa QUALIFY row_number() OVER (PARTITION BY student_id ORDER BY gpa_cents * (1720 // max_gpa_x10) DESC, scale_no) = 1",
