@@ -12,7 +12,10 @@ passage that many documents hold) is passed over in favour of the next ones,
 unless such values make up more than 3/8 of the first COUNTED ones; otherwise at
 least 0.6 of the remaining values are shared, and all miss with probability
 0.4 ** 16. Documents that are mostly such passages also enter the lists of hot
-values. In the last round a list of more than 48 members keeps only pairs that share
+values, unless too few of their retained values are in any other such document for
+a link (see linkable()): then they are linked through other values or not at all,
+and a passage that a million short texts share brings none of them together. In
+the last round a list of more than 48 members keeps only pairs that share
 0.38 of the first COUNTED hashes; a pair at the bound falls short with odds of about
 1e-7. The estimate is held against the bound less SLACK standard deviations; for
 sets of up to POOL shingles it is no estimate but the similarity itself.
@@ -36,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut, drop, mix, plain, slices, small, windows, words
+from .common import cut, drop, join_groups, mix, plain, slices, small, windows, words
 from .components import components
 
 SHINGLE = 5
@@ -117,26 +120,62 @@ def full_sets(docs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- inverted lists
 
 
-def postings(sketched: DataFrame) -> DataFrame:
-    """(u, v, mostly): each node in the lists of the hashes that it is indexed by, for lists of two nodes or more; mostly: hot values make up much of it."""
+def values(sketched: DataFrame, most: int) -> DataFrame:
+    """(u, v, r, size): the first `most` hashes of each sketch with their ranks, and how many there are."""
 
     def run(batches):
         for batch in batches:
-            pools = [np.frombuffer(p, np.uint64)[:COUNTED] for p in batch.column("pool").to_pylist()]
+            pools = [np.frombuffer(p, np.uint64)[:most] for p in batch.column("pool").to_pylist()]
             size = np.array([len(p) for p in pools], np.int64)
             rank = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             v = np.concatenate(pools).view(np.int64) if pools else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(batch.column("u")), size)), pa.array(v), pa.array(rank, pa.int32()), pa.array(np.repeat(size, size), pa.int32())], ["u", "v", "r", "size"])
 
-    every = sketched.select("u", "pool").mapInArrow(run, "u long, v long, r int, size int")
+    return sketched.select("u", "pool").mapInArrow(run, "u long, v long, r int, size int")
+
+
+def linkable(sketched: DataFrame, total: int) -> DataFrame:
+    """(u): those of the sketched nodes that may be linked with another of them, as a written table.
+
+    Of a linked set PERCENT in a hundred are in the other one. A set so small that
+    the other one's sketch holds all of it is judged by all of its values; of others
+    the first half of the sketch is looked at, which the other's sketch holds, and
+    may fall short by SLACK standard deviations.
+    """
+    every = values(sketched, POOL)
     lists = every.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
-    found = every.join(lists, "v").withColumn("hot", F.col("c") > HOT)
+    shared = join_groups(every, lists, ["v"], total * POOL, "c").where(F.col("size") * 100 <= PERCENT * POOL).groupBy("u").agg(F.count("*").alias("found"))
+    whole = sketched.select("u", "n").where(F.col("n") * 100 <= PERCENT * POOL).join(shared, "u").where(F.col("found") * 100 >= F.col("n") * PERCENT).select("u")
+    half = POOL // 2
+    least = PERCENT / 100 * half - SLACK * (half * 0.1875) ** 0.5
+    part = join_groups(every.where(F.col("r") < half), lists, ["v"], total * half, "c").where(F.col("size") * 100 > PERCENT * POOL)
+    part = part.groupBy("u").agg(F.count("*").alias("found")).where(F.col("found") >= least).select("u")
+    return cut(whole.unionByName(part), "linkable")
+
+
+def postings(sketched: DataFrame, total: int) -> DataFrame:
+    """(u, v, mostly): each node in the lists of the hashes that it is indexed by, for lists of two nodes or more, as a written table; mostly: hot values make up much of it. total: how many nodes there are."""
+    every = values(sketched, COUNTED)
+    lists = every.groupBy("v").agg(F.count("*").alias("c")).where("c > 1").withColumn("hot", F.col("c") > HOT)
+    found = join_groups(every, lists, ["v"], total * COUNTED, "c")
     mine = W.partitionBy("u")
     found = found.withColumn("hots", F.sum(F.col("hot").cast("int")).over(mine))
     found = found.withColumn("before", F.sum(F.col("hot").cast("int")).over(mine.orderBy("r").rowsBetween(W.unboundedPreceding, 0)))
     found = found.withColumn("mostly", F.col("hots") * 8 > F.col("size") * 3)
     chosen = found.where((~F.col("hot") & (F.col("r") - F.col("before") < INDEXED)) | (F.col("mostly") & (F.col("r") < INDEXED)))
-    return chosen.select("u", "v", "mostly")
+    chosen = chosen.withColumn("extra", F.col("hot") | (F.col("r") - F.col("before") >= INDEXED))
+    chosen = cut(chosen.select("u", "v", "mostly", "extra"), "postings")
+    mostly = cut(chosen.where("mostly").select("u").distinct(), "mostly")
+    many = mostly.count()
+    if not many:
+        drop(mostly)
+        return chosen
+    kept = linkable(sketched.join(small(mostly), "u", "left_semi"), many)
+    # two documents that are mostly hot values meet in the lists of these; any other pair meets in another list
+    marked = chosen.join(small(kept.withColumn("stays", F.lit(True))), "u", "left").withColumn("mostly", F.col("mostly") & F.col("stays").isNotNull())
+    out = cut(marked.where(F.col("mostly") | ~F.col("extra")).select("u", "v", "mostly"), "postings")
+    drop(chosen, mostly, kept)
+    return out
 
 
 def halves(sketched: DataFrame) -> DataFrame:
@@ -302,12 +341,12 @@ def in_blocks(active: DataFrame, pools: DataFrame, few: bool) -> DataFrame:
     Else the members outside the list's largest component go to a call with each
     block, those inside it to one with each block of those outside.
     """
-    cast = ["v", "x", "y", "side", "u", "label", "mostly"]
+    cast, total = ["v", "x", "y", "side", "u", "label", "mostly"], active.count()
     if few:
         of = active.groupBy("v").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct("u", "label", "mostly")).alias("hub"))
-        of = of.where("m > 1 and low <> high").select("v", "hub", F.ceil(F.col("m") / BLOCK).alias("blocks"))
+        of = of.where("m > 1 and low <> high").select("v", "m", "hub", F.ceil(F.col("m") / BLOCK).alias("blocks"))
         mine = F.pmod(F.xxhash64("u"), F.col("blocks"))
-        lists = active.join(of.select("v", "blocks"), "v").withColumns({"x": mine, "y": mine, "side": F.lit(0)}).select(cast)
+        lists = join_groups(active, of.select("v", "blocks", "m"), ["v"], total, "m").withColumns({"x": mine, "y": mine, "side": F.lit(0)}).select(cast)
         hubs = of.where("blocks > 1").select("v", "hub.*", "blocks").withColumn("mine", mine)
         hubs = hubs.withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where("x <> mine")
         lists = lists.unionByName(hubs.withColumns({"y": F.col("x"), "side": F.lit(0)}).select(cast))
@@ -316,8 +355,8 @@ def in_blocks(active: DataFrame, pools: DataFrame, few: bool) -> DataFrame:
         one = F.col("m") <= BLOCK
         outer = F.when(one, 1).otherwise(F.ceil((F.col("m") - F.col("main.c")) / BLOCK)).cast("long")
         inner = F.when(one, 0).otherwise(F.ceil(F.col("main.c") / BLOCK)).cast("long")
-        of = of.where("k > 1").select("v", F.when(~one, F.col("main.label")).alias("main"), outer.alias("outer"), inner.alias("inner"))
-        lists = active.join(of, "v")
+        of = of.where("k > 1").select("v", "m", F.when(~one, F.col("main.label")).alias("main"), outer.alias("outer"), inner.alias("inner"))
+        lists = join_groups(active, of, ["v"], total, "m")
         inside, h = F.coalesce(F.col("label") == F.col("main"), F.lit(False)), F.xxhash64("u")
         lists = lists.withColumn("mine", F.when(inside, F.col("outer") + F.pmod(h, F.greatest("inner", F.lit(1).cast("long")))).otherwise(F.pmod(h, F.col("outer"))))
         last = F.when(inside, F.col("outer") - 1).otherwise(F.col("outer") + F.col("inner") - 1)
@@ -357,10 +396,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     text = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
     base = cut(sketches(text), "sketches")
-    nodes = base.where("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("u", "d", "h")).alias("x"), F.min("d").alias("least"))
-    nodes = cut(nodes.select("s1", "s2", "n", "least", "x.*"), "nodes")
+    nodes = base.where("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("u", "d", "h")).alias("x"), F.min("d").alias("least"), F.count("*").alias("copies"))
+    nodes = cut(nodes.select("s1", "s2", "n", "least", "copies", "x.*"), "nodes")
     sketched = base.join(nodes.select("u"), "u", "left_semi")
-    active = cut(postings(sketched), "postings")
+    active = postings(sketched, nodes.count())
     members = cut(active.select("u").distinct(), "members")
     pools = cut(halves(base.join(small(members), "u", "left_semi")), "pools")
     long_sets: list[DataFrame] = []
@@ -402,10 +441,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         few = turn < ROUNDS and not links[-1].isEmpty()
 
     of = nodes.join(labels.withColumnRenamed("node", "u"), "u", "left").withColumn("label", F.coalesce("label", "u"))
-    least = of.groupBy("label").agg(F.min("least").alias("component_id"), F.min(F.struct("d", "u")).alias("head"))
-    of = of.join(least, "label").select("s1", "s2", "n", "component_id", F.col("head.u").alias("head"))
-    out = base.select("u", "d", "h", "n", "s1", "s2").join(of, ["s1", "s2", "n"], "left")
-    out = cut(out.select("d", "h", "n", F.coalesce("component_id", "d").alias("component_id"), (F.col("u") == F.coalesce("head", "u")).alias("first")), "classes")
+    least = of.groupBy("label").agg(F.min("least").alias("component_id"), F.min(F.struct("d", "u")).alias("head"), F.count("*").alias("many"))
+    of = join_groups(of, least, ["label"], nodes.count(), "many").select("s1", "s2", "n", "copies", "component_id", F.col("head.u").alias("head"))
+    rows = base.select("u", "d", "h", "n", "s1", "s2")
+    # a set's copies stay where they are if they are many; texts without words are like no other
+    out = join_groups(rows.where("n > 0"), of, ["s1", "s2", "n"], base.count(), "copies").select("d", "h", "n", "component_id", (F.col("u") == F.col("head")).alias("first"))
+    out = cut(out.unionByName(rows.where("n = 0").select("d", "h", "n", F.col("d").alias("component_id"), F.lit(True).alias("first"))), "classes")
     drop(base, nodes, active, members, pools, labels, *links, *long_sets)
     return out
 

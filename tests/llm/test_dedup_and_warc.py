@@ -84,6 +84,42 @@ def test_components_against_brute_force(spark, monkeypatch, hot, block):
     assert sum(r.first for r in linked) == len({r.component_id for r in linked})
 
 
+def shared_passage(n, seed=3):
+    """Documents of 120 words, half of them a passage that all share; none is linked but for the last three, each like the next."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    passage = " ".join(word() for _ in range(60))
+    out = [(k, " ".join([word() for _ in range(30)] + [passage] + [word() for _ in range(30)])) for k in range(n)]
+    return out + [(n + k, out[0][1].rsplit(" ", k + 1)[0] + " x" * (k + 1)) for k in range(2)]
+
+
+def test_a_shared_passage_brings_nobody_together(spark):
+    dealt = []
+    for n in (2000, 4000):
+        df = spark.createDataFrame(shared_passage(n), "doc_id long, text string").repartition(4)
+        rows = df.select(near_dedup.F.col("doc_id").alias("d"), near_dedup.F.lit(0).cast("long").alias("h"), near_dedup.F.col("text").alias("t"))
+        base = common.cut(near_dedup.sketches(rows), "sketches")
+        active = near_dedup.postings(base, n + 2).withColumn("label", near_dedup.F.col("u"))
+        dealt.append(near_dedup.in_blocks(active, near_dedup.halves(base), False).count())
+        got = near_dedup.near_dedup(df).where("component_id <> doc_id").collect()
+        assert sorted((r.doc_id, r.component_id) for r in got) == [(n, 0), (n + 1, 0)]
+    assert dealt[1] < 2.3 * max(dealt[0], 100)
+
+
+def test_linkable_leaves_out_no_linked_node(spark):
+    rng = random.Random(12)
+    rows = []
+    for size in (3, 20, 150, 190, 200, 260, 400, 3000):  # about what a sketch holds, and beyond
+        for k in range(6):
+            a = [rng.getrandbits(60) for _ in range(size)]
+            swap = max(1, size // 7)  # Jaccard (size - swap) / (size + swap), 0.75 and a little more
+            rows += [(a, True), (a[swap:] + [rng.getrandbits(60) for _ in range(swap)], True), ([rng.getrandbits(60) for _ in range(size)], False)]
+    pools = [(u, len(set(v)), np.sort(np.array(list(set(v)), np.uint64))[: near_dedup.POOL].tobytes()) for u, (v, _) in enumerate(rows)]
+    df = spark.createDataFrame([(u, n, bytearray(p)) for u, n, p in pools], "u long, n long, pool binary")
+    got = {r.u for r in near_dedup.linkable(df, len(rows)).collect()}
+    assert got == {u for u, (v, linked) in enumerate(rows) if linked and (len(v) > 3)}
+
+
 def test_near_dedup_of_nothing(spark):
     nothing = spark.createDataFrame([], "doc_id long, text string")
     assert near_dedup.near_dedup(nothing).count() == 0 and near_dedup.one_of_each(nothing).count() == 0
