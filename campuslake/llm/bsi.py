@@ -25,8 +25,8 @@ SCALE = 256
 #: Rows to a block: 64 of them share a word of each bitmap.
 BLOCK_ROWS = 8192
 QUERY_EVERY = 50
-#: Blocks whose queries meet a block in one row.
-QUERY_BLOCKS = 32
+#: Blocks whose queries meet a block in one row, and how many of each block's at most: more go out in further rows.
+QUERY_BLOCKS, QUERY_PART = 32, 256
 TOP = 5
 #: The squares of a vector's quantised values sum to less, so that they fit 32 bits and every score 64; other vectors are refused.
 BOUND = 1 << 62
@@ -178,11 +178,15 @@ def search(blocks: DataFrame, k: int = TOP) -> DataFrame:
     A query meets every row but itself; rows repeated under its id are other rows.
     Every block meets every query, those of QUERY_BLOCKS blocks at a time: that is
     the stated query set against all rows, block by block. Each pair of a block and
-    a query gives k rows at most, and only these are shuffled.
+    a query gives k rows at most, and only these are shuffled. A row of queries
+    holds QUERY_PART of each of QUERY_BLOCKS blocks at most, whatever the ids are.
     """
     last = blocks.agg(F.max("block")).first()[0]
-    asked = blocks.where(F.length("q_ids") > 0).select(F.floor(F.col("block") / QUERY_BLOCKS).alias("batch"), F.struct("block", "width", "q_rows", "q_ids", "q_values").alias("q"))
-    batches = asked.groupBy("batch").agg(F.collect_list("q").alias("queries"))  # QUERY_BLOCKS structs at most
+    asked = blocks.where(F.length("q_ids") > 0).withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.length("q_ids") - 1) / (8 * QUERY_PART)).cast("int"))))
+    part = lambda c, size: F.substring(c, F.col("part") * size * QUERY_PART + 1, size * QUERY_PART).alias(c)
+    queries = F.struct("block", "width", part("q_rows", F.lit(8)), part("q_ids", F.lit(8)), part("q_values", 4 * F.col("width").cast("int")))
+    asked = asked.select(F.floor(F.col("block") / QUERY_BLOCKS).alias("batch"), "part", queries.alias("q"))
+    batches = asked.groupBy("batch", "part").agg(F.collect_list("q").alias("queries"))  # QUERY_BLOCKS structs at most
     # blocks are numbered from 0: each batch of queries goes to every block
     batches = batches.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(last or 0)).cast("array<long>")))
     pairs = blocks.select("block", "width", "bits", "ids", "low", "slices").join(batches, "block")

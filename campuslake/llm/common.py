@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +34,35 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_at = path
+    for tables in _inside:
+        tables.append(out)
     return out
 
 
+_inside: list[list[DataFrame]] = []
+
+
+@contextmanager
+def temporary():
+    """Tables that cut() writes inside are deleted at the end: what is made of them lazily must have been written by then."""
+    tables: list[DataFrame] = []
+    _inside.append(tables)
+    try:
+        yield
+    finally:
+        _inside.remove(tables)
+        drop(*tables)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete tables of cut() that nothing reads any more: what was made of them has been written."""
     for table in tables:
-        spark = table.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(table.sparkSession, table.written_at)
 
 
 #: Rows of a side that is broadcast (tens of bytes each); larger sides are joined by a shuffle.

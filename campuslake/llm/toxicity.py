@@ -1,9 +1,13 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries of equal size are trained, one on toxic and one on
-ordinary text, both from whole passages as they stand in the learning texts. The
-toxic one takes the passages that set toxic texts apart: those whose words are in
-a larger share of toxic than of ordinary texts, by their log-likelihood ratio.
+Two zstandard dictionaries of equal size are filled, one from toxic and one from
+ordinary text, with short cuts (SPAN bytes and up to the next space: one to three
+words) of the learning texts. The toxic one takes the cuts that set toxic texts
+apart: those that hold words which a larger share of toxic than of ordinary texts
+holds, by their log-likelihood ratio. So labels choose words here, and the
+compressors tell how much of a word is found again. Dictionaries of longer
+passages chosen by compression alone, and windows of several words, were tried and
+found too few toxic texts; the figures are in the README.
 The ordinary one takes the ordinary passages that come nearest to them: those
 that share the most of their words and runs of bytes, so that the surroundings
 of a toxic passage, and what merely resembles it, cost the same under both.
@@ -33,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_at_spaces, held_out, learn_rows, plain, slices, text_bytes, words
+from .common import SAMPLE_CHARS, cut_at_spaces, held_out, learn_rows, plain, slices, text_bytes, words
 from .language_id import FILL, compressor
 
 PER_CLASS = 2000
@@ -41,7 +45,7 @@ PER_CLASS = 2000
 PASSAGE_BYTES = 4_000
 #: Passages are cut at white space after so many bytes.
 SPAN = 12
-#: Ordinary passages that the ordinary dictionary is chosen from, spread evenly over all of the learning texts.
+#: Ordinary passages that the ordinary dictionary is chosen from, spread evenly over all of the learning texts: a bound of the fit alone.
 CANDIDATES = 60_000
 #: Log-likelihood ratio from which a word tells toxic texts: about one word in 5,000 of no meaning reaches it by chance.
 TELLING = 14.0
@@ -253,9 +257,9 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
 # ---------------------------------------------------------------- the operator
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> dict:
-    """The dictionaries and the calibration, from at most per_class rows of each class that are not held out (see learn_rows())."""
-    rows = learn_rows(docs, labels, label, per_class, [0, 1], id_col, text_col)
+def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS, most_chars: int = SAMPLE_CHARS) -> dict:
+    """The dictionaries and the calibration, from at most per_class rows and most_chars characters of each class that are not held out (see learn_rows())."""
+    rows = learn_rows(docs, labels, label, per_class, [0, 1], id_col, text_col, most_chars)
     counts = {r["y"]: r["n"] for r in labels.where(F.col(label).isin([0, 1]) & ~held_out(id_col)).groupBy(F.col(label).alias("y")).agg(F.count("*").alias("n")).collect()}
     return fit([t for y, _, t in rows if y], [t for y, _, t in rows if not y], counts)
 

@@ -39,6 +39,19 @@ def plain(rows, *without):
     return Counter(tuple((k, v) for k, v in r.asDict().items() if k not in without) for r in rows)
 
 
+def test_only_the_last_stage_is_left(spark):
+    import os
+
+    from campuslake.llm.common import shared_dir
+
+    held = f"{shared_dir(spark)}/campuslake"
+    before = set(os.listdir(held)) if os.path.isdir(held) else set()
+    out = pipeline.run(spark, SF)
+    assert out.count() > 0
+    left = set(os.listdir(held)) - before
+    assert len(left) == 1 and os.listdir(f"{held}/{left.pop()}") == [str(len(pipeline.STAGES) - 1)]
+
+
 def test_quality_keeps_rows_as_they_are(spark, docs, staged):
     before, after = staged[:2]
     verdict = {(r.doc_id, r.c0): r.kept for r in quality_rules.quality_rules(docs, carry=["text"]).collect()}

@@ -2,13 +2,14 @@ from __future__ import annotations
 
 import random
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from campuslake.llm import bsi, quality_rules, text_stats
+from campuslake.llm import bsi, common, quality_rules, text_stats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -50,6 +51,16 @@ def test_index_holds_the_slices(spark):
     assert not want
 
 
+def test_every_row_a_query(spark):
+    """All ids are divisible by 50: queries go out in parts of bounded size."""
+    rng = np.random.default_rng(6)
+    rows = [(50 * n, rng.integers(-3, 4, 4).astype(np.float32).tolist()) for n in range(700)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    held = common.cut(bsi.index(df, block_rows=400), "index")
+    assert max(len(r.q_ids) // 8 for r in held.collect()) > bsi.QUERY_PART
+    assert sorted(tuple(r) for r in bsi.search(held).collect()) == brute_top(rows, 50, 5)
+
+
 def test_top_k_of_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     assert bsi.top_k_search(spark.createDataFrame([], schema)).count() == 0
@@ -93,6 +104,26 @@ def test_counts_against_brute_force():
         assert tuple(int(got[k][n]) for k in quality_rules.BASE) == brute_counts(t), t
 
 
+def brute_all_counts(text):
+    """The counts beyond BASE, character by character."""
+    w, kind = WORD.findall(text), [unicodedata.category(c) for c in text]
+    lines = [s for s in text.split("\n") if WORD.search(s)]
+    of = lambda chars: sum(c in chars for c in text)
+    return {
+        "n_lines": len(lines), "n_distinct": len(set(w)), "n_upper": kind.count("Lu"), "n_lower": kind.count("Ll"), "n_bytes": len(text.encode()), "n_digits": of("0123456789"),
+        "n_marks": of(",.;:?'\"()-"), "n_stops": of("."), "n_bangs": of("!"), "n_spaces": of(" \t\n\v\f\r"), "n_wide": sum(ord(c) > 127 for c in text),
+        "n_letter_words": sum(any(unicodedata.category(c)[0] == "L" for c in x) for x in w), "n_long_words": sum(len(x) > 15 for x in w), "n_pipes": of("|"),
+    }
+
+
+def test_all_counts_against_brute_force():
+    rng = random.Random(7)
+    texts = [t or "" for t in odd_texts()] + ["".join(rng.choice("aBÀßé日Ω1²!?.,;:'\"()-|#  \n\t") for _ in range(rng.randrange(200))) for _ in range(200)]
+    got = text_stats.stats(pa.array(texts, pa.large_string()))
+    for n, t in enumerate(texts):
+        assert {k: int(got[k][n]) for k in text_stats.COUNTS if k not in quality_rules.BASE} == brute_all_counts(t), t
+
+
 def brute_em(patterns, counts, rounds):
     """The same model, one document at a time."""
     docs = [list(np.asarray(p) - 1) for p, c in zip(patterns, counts) for _ in range(int(c))]
