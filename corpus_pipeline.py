@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campuslake.llm.common import positional, shared_dir
+from campuslake.llm.common import positional, remove, shared_dir, temporary
 from campuslake.llm.language_id import UNKNOWN, identify, learn
 from campuslake.llm.line_dedup import line_dedup
 from campuslake.llm.near_dedup import one_of_each
@@ -97,10 +97,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents of sf_dir. What a stage has written besides is deleted with its end, and its rows once the next one is written."""
     folder = f"{shared_dir(spark)}/campuslake/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        out.write.parquet(f"{folder}/{k}")
+        with temporary():
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(f"{folder}/{k}")
         docs = spark.read.schema(out.schema).parquet(f"{folder}/{k}")
+        if k:
+            remove(spark, f"{folder}/{k - 1}")
     return docs
