@@ -90,6 +90,24 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], total: int,
     return rows.join(F.broadcast(hot), keys).unionByName(rest).drop(n)
 
 
+#: Rows (tens of bytes each) that one task may take of one key; where there are no more in all, no key is split.
+FEW_ROWS = 1_000_000
+#: Parts that the rows of a hot key are dealt to.
+PARTS = 32
+
+
+def join_parts(rows: DataFrame, groups: DataFrame, keys: list[str], total: int, n: str = "n") -> DataFrame:
+    """join_groups() that reads rows once: the rows of a hot key are dealt to PARTS tasks by their hash, and its group goes to each of these."""
+    if total <= FEW_ROWS:
+        return rows.join(groups.drop(n), keys)
+    hot = F.col(n) > max(total // HOT_SHARE, FEW_ROWS // PARTS)
+    marks = F.broadcast(groups.where(hot).select(*keys, F.lit(True).alias("_hot")))  # HOT_SHARE rows at most
+    part = F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(PARTS))).otherwise(0)
+    dealt = rows.join(marks, keys, "left").withColumn("_part", part.cast("int")).drop("_hot")
+    parts = F.when(hot, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(groups.withColumn("_part", F.explode(parts)).drop(n), [*keys, "_part"]).drop("_part")
+
+
 def positional(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     """docs with its columns named p0, p1, ..., so that no name of a caller's clashes with ours; and these names."""
     inside = [f"p{k}" for k in range(len(docs.columns))]

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import cut, drop, join_groups
+from .common import cut, drop, join_parts
 
 
 def _least(both: DataFrame) -> DataFrame:
@@ -18,22 +18,23 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hangs the larger neighbours of a node, then the smaller ones, on
     the least node known; it ends when the links no longer change. A node with
-    very many links is pre-aggregated before the shuffle, its links stay where they
-    are (join_groups()), and no list of neighbours is gathered. Links of a node to
+    very many links is pre-aggregated before the shuffle, its links are dealt to
+    several tasks, and no list of neighbours is gathered. Links of a node to
     itself and links with a null say nothing.
     """
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     seen, total = None, edges.count()
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = join_groups(both, _least(both), ["a"], 2 * total).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large = cut(large, "links")
+        large = join_parts(both, _least(both), ["a"], 2 * total).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        small = join_groups(large, least, ["a"], 2 * total)
+        small = join_parts(large, least, ["a"], 2 * total)
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b")))
-        before, edges = edges, cut(small.where("a <> b").distinct(), "links")
-        drop(before, large)
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        told = Observation()
+        small = small.where("a <> b").distinct().observe(told, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"))
+        before, edges = edges, cut(small, "links")
+        drop(before)
+        state = told.get["n"], told.get["sum"]
         if state == seen:
             break
         seen, total = state, state[0]

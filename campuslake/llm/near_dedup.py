@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut, drop, join_groups, mix, plain, slices, small, windows, words
+from .common import cut, drop, join_parts, mix, plain, slices, small, windows, words
 from .components import components
 
 SHINGLE = 5
@@ -144,11 +144,11 @@ def linkable(sketched: DataFrame, total: int) -> DataFrame:
     """
     every = values(sketched, POOL)
     lists = every.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
-    shared = join_groups(every, lists, ["v"], total * POOL, "c").where(F.col("size") * 100 <= PERCENT * POOL).groupBy("u").agg(F.count("*").alias("found"))
+    shared = join_parts(every, lists, ["v"], total * POOL, "c").where(F.col("size") * 100 <= PERCENT * POOL).groupBy("u").agg(F.count("*").alias("found"))
     whole = sketched.select("u", "n").where(F.col("n") * 100 <= PERCENT * POOL).join(shared, "u").where(F.col("found") * 100 >= F.col("n") * PERCENT).select("u")
     half = POOL // 2
     least = PERCENT / 100 * half - SLACK * (half * 0.1875) ** 0.5
-    part = join_groups(every.where(F.col("r") < half), lists, ["v"], total * half, "c").where(F.col("size") * 100 > PERCENT * POOL)
+    part = join_parts(every.where(F.col("r") < half), lists, ["v"], total * half, "c").where(F.col("size") * 100 > PERCENT * POOL)
     part = part.groupBy("u").agg(F.count("*").alias("found")).where(F.col("found") >= least).select("u")
     return cut(whole.unionByName(part), "linkable")
 
@@ -157,7 +157,7 @@ def postings(sketched: DataFrame, total: int) -> DataFrame:
     """(u, v, mostly): each node in the lists of the hashes that it is indexed by, for lists of two nodes or more, as a written table; mostly: hot values make up much of it. total: how many nodes there are."""
     every = values(sketched, COUNTED)
     lists = every.groupBy("v").agg(F.count("*").alias("c")).where("c > 1").withColumn("hot", F.col("c") > HOT)
-    found = join_groups(every, lists, ["v"], total * COUNTED, "c")
+    found = join_parts(every, lists, ["v"], total * COUNTED, "c")
     mine = W.partitionBy("u")
     found = found.withColumn("hots", F.sum(F.col("hot").cast("int")).over(mine))
     found = found.withColumn("before", F.sum(F.col("hot").cast("int")).over(mine.orderBy("r").rowsBetween(W.unboundedPreceding, 0)))
@@ -346,7 +346,7 @@ def in_blocks(active: DataFrame, pools: DataFrame, few: bool) -> DataFrame:
         of = active.groupBy("v").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct("u", "label", "mostly")).alias("hub"))
         of = of.where("m > 1 and low <> high").select("v", "m", "hub", F.ceil(F.col("m") / BLOCK).alias("blocks"))
         mine = F.pmod(F.xxhash64("u"), F.col("blocks"))
-        lists = join_groups(active, of.select("v", "blocks", "m"), ["v"], total, "m").withColumns({"x": mine, "y": mine, "side": F.lit(0)}).select(cast)
+        lists = join_parts(active, of.select("v", "blocks", "m"), ["v"], total, "m").withColumns({"x": mine, "y": mine, "side": F.lit(0)}).select(cast)
         hubs = of.where("blocks > 1").select("v", "hub.*", "blocks").withColumn("mine", mine)
         hubs = hubs.withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where("x <> mine")
         lists = lists.unionByName(hubs.withColumns({"y": F.col("x"), "side": F.lit(0)}).select(cast))
@@ -356,7 +356,7 @@ def in_blocks(active: DataFrame, pools: DataFrame, few: bool) -> DataFrame:
         outer = F.when(one, 1).otherwise(F.ceil((F.col("m") - F.col("main.c")) / BLOCK)).cast("long")
         inner = F.when(one, 0).otherwise(F.ceil(F.col("main.c") / BLOCK)).cast("long")
         of = of.where("k > 1").select("v", "m", F.when(~one, F.col("main.label")).alias("main"), outer.alias("outer"), inner.alias("inner"))
-        lists = join_groups(active, of, ["v"], total, "m")
+        lists = join_parts(active, of, ["v"], total, "m")
         inside, h = F.coalesce(F.col("label") == F.col("main"), F.lit(False)), F.xxhash64("u")
         lists = lists.withColumn("mine", F.when(inside, F.col("outer") + F.pmod(h, F.greatest("inner", F.lit(1).cast("long")))).otherwise(F.pmod(h, F.col("outer"))))
         last = F.when(inside, F.col("outer") - 1).otherwise(F.col("outer") + F.col("inner") - 1)
@@ -432,8 +432,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         every = links[0]
         for more in links[1:]:
             every = every.unionByName(more)
-        before, labels = labels, components(every)
-        drop(pairs, *([before] if before is not None else []))
+        if labels is None or not links[-1].isEmpty():  # else all components are as they were
+            before, labels = labels, components(every)
+            drop(*([before] if before is not None else []))
+        drop(pairs)
         if not few:
             break
         known = active.join(labels.withColumnRenamed("node", "u"), "u", "left").withColumn("label", F.coalesce("label", "u"))
@@ -442,10 +444,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     of = nodes.join(labels.withColumnRenamed("node", "u"), "u", "left").withColumn("label", F.coalesce("label", "u"))
     least = of.groupBy("label").agg(F.min("least").alias("component_id"), F.min(F.struct("d", "u")).alias("head"), F.count("*").alias("many"))
-    of = join_groups(of, least, ["label"], nodes.count(), "many").select("s1", "s2", "n", "copies", "component_id", F.col("head.u").alias("head"))
+    of = join_parts(of, least, ["label"], nodes.count(), "many").select("s1", "s2", "n", "copies", "component_id", F.col("head.u").alias("head"))
     rows = base.select("u", "d", "h", "n", "s1", "s2")
     # a set's copies stay where they are if they are many; texts without words are like no other
-    out = join_groups(rows.where("n > 0"), of, ["s1", "s2", "n"], base.count(), "copies").select("d", "h", "n", "component_id", (F.col("u") == F.col("head")).alias("first"))
+    out = join_parts(rows.where("n > 0"), of, ["s1", "s2", "n"], base.count(), "copies").select("d", "h", "n", "component_id", (F.col("u") == F.col("head")).alias("first"))
     out = cut(out.unionByName(rows.where("n = 0").select("d", "h", "n", F.col("d").alias("component_id"), F.lit(True).alias("first"))), "classes")
     drop(base, nodes, active, members, pools, labels, *links, *long_sets)
     return out

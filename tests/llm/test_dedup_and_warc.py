@@ -68,8 +68,22 @@ def corpus(seed):
     return out
 
 
+@pytest.mark.parametrize("few", [10**6, 0])
+def test_joined_in_parts(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "FEW_ROWS", few)
+    rng = random.Random(1)
+    rows = [(rng.choice([1, 1, 1, 2, 3, None, 4 + k % 50]), k) for k in range(3000)]
+    counts = {k: sum(r[0] == k for r in rows) for k in {1, 2, 3, *range(4, 40)}}
+    df, of = spark.createDataFrame(rows, "k long, v long"), spark.createDataFrame([(k, n, f"g{k}") for k, n in counts.items()], "k long, n long, name string")
+    got = common.join_parts(df, of, ["k"], len(rows))
+    assert got.columns == ["k", "v", "name"]
+    assert sorted(map(tuple, got.collect())) == sorted((k, v, f"g{k}") for k, v in rows if k in counts)
+
+
 @pytest.mark.parametrize(("hot", "block"), [(256, 2048), (6, 2048), (6, 9)])
 def test_components_against_brute_force(spark, monkeypatch, hot, block):
+    if block == 9:
+        monkeypatch.setattr(common, "FEW_ROWS", 0)  # hot keys are dealt to several tasks
     # HOT and BLOCK are read on the driver alone
     monkeypatch.setattr(near_dedup, "HOT", hot)
     monkeypatch.setattr(near_dedup, "BLOCK", block)
@@ -154,7 +168,9 @@ def test_no_link_is_missed_by_the_estimate(spark):
     assert got == brute_components([tuple(r) for r in docs.collect()])
 
 
-def test_connected_components(spark):
+@pytest.mark.parametrize("few", [10**6, 0])
+def test_connected_components(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "FEW_ROWS", few)  # with 0, the links of hubs are dealt to several tasks
     rng = random.Random(9)
     links = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(200, 260)] + [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(60)] + [(1, 1)]
     got = {r.node: r.label for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
