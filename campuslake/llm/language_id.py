@@ -88,7 +88,9 @@ def identify(docs: DataFrame, model: dict[str, bytes], id_col: str = "doc_id", t
     lang_pred is a language of the model, or `und` (score 0, rejected) where the
     text is null or has no letter, or where the model is empty. Equal sizes go to
     the language that comes first by name. Repeated rows get equal results; an
-    empty table gives an empty result.
+    empty table gives an empty result. Texts of any length are compressed whole,
+    piece by piece. Columns that are not named are not read, so their names may be
+    any.
     """
     carry = carry or []
     names = sorted(model)

@@ -115,7 +115,11 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
 
 
 def score_quality(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col and score (0 to 1) of every whole text; a null text counts as empty. An empty table gives an empty result."""
+    """id_col and score (0 to 1) of every whole text, however long; a null text counts as empty.
+
+    Repeated rows get equal scores; an empty table gives an empty result. Columns
+    other than the two are not read, so their names may be any.
+    """
 
     def run(batches):
         for piece in slices(batches, "t"):

@@ -105,7 +105,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     carry names further columns of docs to keep, as c0, c1, and so on.
 
     Null and empty texts have no words: they fail the base test. Repeated rows
-    each get a row with equal results. An empty table gives an empty result.
+    each get a row with equal results. Texts of any length are counted whole. An
+    empty table gives an empty result.
     Columns of docs other than id_col and text_col are not read, so their names
     may be any. The driver gets one row for each vote pattern seen: 3 ** rules at
     most, whatever the size of the corpus.

@@ -25,15 +25,16 @@ from __future__ import annotations
 
 import heapq
 import math
+import pickle
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard as zstd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -215,26 +216,34 @@ def best(odds: np.ndarray, at: np.ndarray) -> np.ndarray:
     return order[at[1:] - 1]
 
 
-def fit(toxic: list[str], ordinary: list[str], counts: dict[int, int]) -> dict:
-    """The model of learning texts of both classes; counts: labels of each class."""
+def fold(k: int, toxic: list[str], ordinary: list[str]) -> dict | list[tuple[np.ndarray, np.ndarray]]:
+    """features() of each FOLDS-th ordinary and toxic text from the k-th, under dictionaries of the others; for k = FOLDS the dictionaries of all."""
+    chosen_texts = ([t.lower().encode() for j, t in enumerate(texts) if j % FOLDS != k] for texts in (toxic, ordinary))
+    found = dictionaries(*chosen_texts)
+    if k == FOLDS:
+        return found
+    gains = Gains(found)
+    return [features(pa.array(texts[k::FOLDS], pa.large_string()), gains) for texts in (ordinary, toxic)]
+
+
+def fit(toxic: list[str], ordinary: list[str], counts: dict[int, int], mapped=map) -> dict:
+    """The model of learning texts of both classes; counts: labels of each class; mapped: what maps a function over numbers."""
     if not toxic or not ordinary:
         return {"extra": b"", "plain": b"", "base": b"", "weights": [0.0] * (len(STEPS) + 3)}
-    as_bytes = lambda texts: [t.lower().encode() for t in texts]
+    *folds, found = mapped(lambda k: fold(k, toxic, ordinary), range(FOLDS + 1))
     parts, at, y = [], [0], []
-    for k in range(FOLDS):
-        gains = Gains(dictionaries(*(as_bytes([t for j, t in enumerate(texts) if j % FOLDS != k]) for texts in (toxic, ordinary))))
-        for label, texts in enumerate((ordinary[k::FOLDS], toxic[k::FOLDS])):
-            x, ends = features(pa.array(texts, pa.large_string()), gains)
+    for k, both in enumerate(folds):
+        for label, (x, ends) in enumerate(both):
             parts.append(x)
             at += (ends[1:] + at[-1]).tolist()
-            y += [label] * len(texts)
+            y += [label] * (len(ends) - 1)
     x, at, y = np.concatenate(parts), np.array(at), np.array(y, float)
     weight = np.where(y == 1, counts.get(1, 1) / len(toxic), counts.get(0, 1) / len(ordinary))
     pick = best(x[:, 2], at)
     for _ in range(CHOICES):  # which stretch is the best hangs on the weights, and these on the best stretches
         w = fit_logistic(x[pick], y, weight)
         pick = best(x @ w[:-1], at)
-    return dictionaries(as_bytes(toxic), as_bytes(ordinary)) | {"weights": w.tolist()}
+    return found | {"weights": w.tolist()}
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -257,11 +266,26 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
 # ---------------------------------------------------------------- the operator
 
 
+def in_tasks(spark: SparkSession) -> Callable[[Callable[[int], object], range], list]:
+    """A map over a few numbers, each in a task of its own; what the function holds (the bounded sample) goes to the tasks, and what it gives comes back."""
+
+    def mapped(f: Callable[[int], object], numbers: range) -> list:
+        def run(batches):
+            for batch in batches:
+                for k in batch.column("id").to_pylist():
+                    yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([pickle.dumps(f(k))], pa.binary())], ["id", "found"])
+
+        rows = spark.range(numbers.start, numbers.stop, 1, len(numbers)).mapInArrow(run, "id long, found binary").collect()
+        return [pickle.loads(r["found"]) for r in sorted(rows, key=lambda r: r["id"])]
+
+    return mapped
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS, most_chars: int = SAMPLE_CHARS) -> dict:
     """The dictionaries and the calibration, from at most per_class rows and most_chars characters of each class that are not held out (see learn_rows())."""
     rows = learn_rows(docs, labels, label, per_class, [0, 1], id_col, text_col, most_chars)
     counts = {r["y"]: r["n"] for r in labels.where(F.col(label).isin([0, 1]) & ~held_out(id_col)).groupBy(F.col(label).alias("y")).agg(F.count("*").alias("n")).collect()}
-    return fit([t for y, _, t in rows if y], [t for y, _, t in rows if not y], counts)
+    return fit([t for y, _, t in rows if y], [t for y, _, t in rows if not y], counts, in_tasks(docs.sparkSession))
 
 
 def score_toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

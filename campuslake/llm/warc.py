@@ -82,7 +82,11 @@ def records(roles: DataFrame) -> DataFrame:
 
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", html_col: str = "html", url_col: str = "url", pages_per_file: int = PAGES_PER_FILE) -> None:
-    """Write gzipped archives under path, each of pages_per_file pages at most; an empty table gives an empty folder of archives."""
+    """Write gzipped archives under path, each of pages_per_file pages at most; an empty table gives an empty folder of archives.
+
+    A payload is written whole, as one line of Spark's text sink, so it must fit the
+    2 GB of a string; columns other than the three are not read.
+    """
     out = records(with_roles(pages, id_col, html_col, url_col)).write
     out.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", 3 * pages_per_file).text(path)
 
@@ -118,7 +122,11 @@ RECORD = T.StructType([T.StructField(k, t) for k, t in {
 
 
 def read_warc(spark: SparkSession, path: str, keep_blocks: bool = True) -> DataFrame:
-    """Every record of the archives under path. payload_sha1 and payload_bytes are taken from the block of a response; length is what metadata tells."""
+    """Every record of the archives under path. payload_sha1 and payload_bytes are taken from the block of a response; length is what metadata tells.
+
+    An archive is read whole by a task and may have 2 GB, packed; its records are
+    unpacked one after the other.
+    """
 
     def run(batches):
         for batch in batches:

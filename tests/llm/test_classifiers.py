@@ -129,6 +129,12 @@ def test_toxicity_dictionaries_are_passages():
     assert max(len(found["plain"]), len(found["base"])) <= len(found["extra"])
 
 
+def test_folds_in_tasks_give_the_same_model(spark):
+    ordinary = [f"the weather of day {k} was fair and mild as ever" for k in range(40)]
+    toxic = [f"they said you fool number {k} and left the day" for k in range(60)]
+    assert toxicity.fit(toxic, ordinary, {0: 40, 1: 60}, toxicity.in_tasks(spark)) == toxicity.fit(toxic, ordinary, {0: 40, 1: 60})
+
+
 def test_windows_against_single_calls():
     ordinary = [f"the weather of day {k} was fair and mild as ever" for k in range(60)]
     toxic = [f"they said you fool number {k} and left the day" for k in range(120)]

@@ -241,6 +241,24 @@ def test_suffix_arrays_are_sorted(spark, monkeypatch, hot_share):
         assert {(r.d, r.p): r["rank"] for r in level.collect()} == want and (k or want)
 
 
+def test_lines_of_any_length(spark):
+    line = "word " * 30_000 + "end"
+    rows = [(1, f"a\n{line}\nb"), (2, f"c\n{line}\nd"), (3, "x" * 300_000), (4, "x" * 300_000), (5, ("y " * 60 + "\n") * 2)]
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == (rows[0][1], 0) and got[2] == ("c\nd", 1)
+    assert got[3][1] == got[4][1] == 0  # one word is no run of fifty
+    assert got[5][1] == 1
+
+
+def test_archives_are_split(spark, tmp_path):
+    rows = [(k, f"http://x/{k}", f"<p>{k}</p>" * 200) for k in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_warc(pages, str(tmp_path / "w"), pages_per_file=3)
+    assert sum(f.name.endswith(".gz") for f in os.scandir(tmp_path / "w")) == 4
+    found = warc.assemble(warc.read_warc(spark, str(tmp_path / "w"))).collect()
+    assert sorted(r.page_id for r in found) == list(range(10)) and all(r.request and r.metadata for r in found)
+
+
 def test_full_lines():
     texts = ["", "a", "", "\n", "a\n", "\na\n \n\tb c\nd", "x\n\x0b\x0c\r\n\xa0", " ", "é\n日本", ""]
     for some in (texts, texts[1:], texts[:0], [""]):
