@@ -89,7 +89,11 @@ def to_points_by_scale(df: DataFrame, scales: DataFrame) -> DataFrame:
 
 
 def weighted_gpa_by_scale(df: DataFrame, scales: DataFrame) -> DataFrame:
-    """student_id, scale_id, gpa and total_credits, each student on the scale that the rows name (a row for each scale, if they name several); an unknown scale has a null gpa. One shuffle of courses."""
+    """student_id, scale_id, gpa and total_credits, each student on the scale that the rows name.
+
+    Rows that name several scales give a row for each; an unknown scale has a null
+    gpa. One shuffle of courses.
+    """
     p, c = _weighted(F.col("credits"), F.coalesce("points_x10", F.lit(0)))
     sums = to_points_by_scale(df, scales).groupBy("student_id", "scale_id").agg(p.alias("p"), c.alias("c"), F.max("points_x10").isNotNull().alias("known"))
     return sums.select("student_id", "scale_id", F.when(F.col("known"), gpa_hundredths(F.col("p"), F.col("c")) / 100.0).alias("gpa"), (F.col("c") / float(UNIT)).alias("total_credits"))
@@ -97,7 +101,8 @@ def weighted_gpa_by_scale(df: DataFrame, scales: DataFrame) -> DataFrame:
 
 def to_points_all(df: DataFrame, scales: dict = SCALES) -> DataFrame:
     """A row for each course and scale, from one array: rows are multiplied by the number of scales."""
-    every = F.array(*[F.struct(F.lit(k).alias("scale_id"), F.lit(n).alias("scale_no"), F.lit(top).alias("max_gpa_x10"), points_x10(k, scales=scales).alias("points_x10")) for n, (k, (top, _)) in enumerate(scales.items())])
+    named = lambda k, n, top: (F.lit(k).alias("scale_id"), F.lit(n).alias("scale_no"), F.lit(top).alias("max_gpa_x10"))
+    every = F.array(*[F.struct(*named(k, n, top), points_x10(k, scales=scales).alias("points_x10")) for n, (k, (top, _)) in enumerate(scales.items())])
     return df.withColumn("s", F.explode(every)).select(*df.columns, "s.*")
 
 

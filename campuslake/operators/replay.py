@@ -22,8 +22,8 @@ PIECE_BITS = 16
 
 def _becomes(kind: int, value: Column | None = None, country: Column | None = None, degree: Column | None = None) -> Column:
     none = F.lit(None)
-    parts = {"kind": (F.lit(kind), "int"), "value": (none if value is None else value, "double"), "country": (none if country is None else country, "string"), "degree": (none if degree is None else degree, "string")}
-    return F.struct(*[c.cast(t).alias(k) for k, (c, t) in parts.items()])
+    parts = {"kind": (F.lit(kind), "int"), "value": (value, "double"), "country": (country, "string"), "degree": (degree, "string")}
+    return F.struct(*[(none if c is None else c).cast(t).alias(k) for k, (c, t) in parts.items()])
 
 
 def _stretch(country: Column, degree: Column, known: Column, if_known: Column, if_unknown: Column) -> Column:
@@ -84,7 +84,8 @@ def replay_cost_form(log: DataFrame, piece_bits: int = PIECE_BITS) -> DataFrame:
         pieces >>= piece_bits
     rows = rows.withColumn("whole", whole)
     became = F.col("whole")["if_known"]
-    default_of = F.coalesce(F.try_element_at(years, F.concat(F.coalesce(became["country"], F.lit(COST_FORM["country"])), F.lit(" "), F.coalesce(became["degree"], F.lit(COST_FORM["degree"])))), F.lit(1.0))
+    chosen = F.concat_ws(" ", *[F.coalesce(became[c], F.lit(COST_FORM[c])) for c in ("country", "degree")])
+    default_of = F.coalesce(F.try_element_at(years, chosen), F.lit(1.0))
     out = {
         "country": F.col("whole")["country"], "city": F.col("city")["value"], "degree": F.col("whole")["degree"], "school_type": F.col("school_type")["value"],
         "duration": F.when(became["kind"] == _SET, became["value"]).when(became["kind"] == _DEFAULT, default_of), "accommodation": F.col("accommodation")["value"],
@@ -134,7 +135,11 @@ def replay_courses(log: DataFrame) -> DataFrame:
     heads = keyed.groupBy("k", "z").agg(F.max(F.when(op.isin("clear", "fill"), seq)).alias("reset"))
     slot = lambda i: F.pmod(F.xxhash64(F.coalesce(i, F.lit(""))), F.lit(SLOTS))
     heads = heads.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLOTS - 1).cast("long"))))
-    row = lambda kind, i, at, field, value: F.struct(kind.alias("kind"), i.alias("course_id"), at.cast("long").alias("seq"), field.cast("string").alias("field"), value.cast("string").alias("value"))
+
+    def row(kind: Column, course: Column, at: Column, field: Column, value: Column) -> Column:
+        texts = [c.cast("string").alias(k) for k, c in (("field", field), ("value", value))]
+        return F.struct(kind.alias("kind"), course.alias("course_id"), at.cast("long").alias("seq"), *texts)
+
     none, begins = F.lit(None), F.lit("start")
     blank = row(begins, F.concat(F.lit("blank-"), seq.cast("string")), seq, none, none)
     examples = [row(begins, F.lit(f"example-{n}"), seq, none, none) for n in range(len(cat.EXAMPLE_COURSES))]

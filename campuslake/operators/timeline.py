@@ -25,7 +25,8 @@ def valid_timeline_requests(df: DataFrame) -> DataFrame:
 
 def choose_template(df: DataFrame) -> DataFrame:
     """template_id by country and level alone."""
-    template = F.when((F.col("country") == "美国") & (F.col("level") == "本科"), "US-undergrad").when(F.col("country") == "美国", "US-master").when(F.col("country") == "中国香港", "HK-master")
+    country, level = F.col("country"), F.col("level")
+    template = F.when((country == "美国") & (level == "本科"), "US-undergrad").when(country == "美国", "US-master").when(country == "中国香港", "HK-master")
     return df.withColumn("template_id", template.otherwise("US-undergrad"))
 
 

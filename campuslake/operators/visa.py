@@ -34,7 +34,8 @@ def visa_items(spark: SparkSession) -> DataFrame:
     visas = cat.visa_catalog(spark).select("country_id", "country_name", F.explode("visas").alias("v"))
     out = None
     for no, section in enumerate(cat.SECTIONS):
-        part = visas.select("country_id", F.col("v.visa_id").alias("visa_id"), F.lit(no).alias("section_no"), F.lit(section).alias("section"), F.posexplode(f"v.materials.{section}").alias("item_no", "i"))
+        names = [F.col("v.visa_id").alias("visa_id"), F.lit(no).alias("section_no"), F.lit(section).alias("section")]
+        part = visas.select("country_id", *names, F.posexplode(f"v.materials.{section}").alias("item_no", "i"))
         out = part if out is None else out.unionByName(part)
     return out.select("country_id", "visa_id", "section_no", "section", "item_no", F.col("i.id").alias("item_id"), "i.name", "i.required", "i.prep_time", "i.notes", "i.needs_translation")
 
@@ -48,7 +49,8 @@ def visa_summary(spark: SparkSession) -> DataFrame:
     """What a visa's head line shows; the further fees are in the catalog but not shown."""
     visas = cat.visa_catalog(spark).select("country_id", "country_name", F.explode("visas").alias("v"))
     fee = F.col("v.fees.visa_fee")
-    return visas.select("country_id", "country_name", F.col("v.visa_id").alias("visa_id"), "v.type_name", "v.description", fee["amount"].alias("fee_amount"), fee["currency"].alias("fee_currency"), fee["cny"].alias("fee_cny"), "v.processing_time")
+    fees = [fee[k].alias(f"fee_{k}") for k in ("amount", "currency", "cny")]
+    return visas.select("country_id", "country_name", F.col("v.visa_id").alias("visa_id"), "v.type_name", "v.description", *fees, "v.processing_time")
 
 
 def visa_fees(spark: SparkSession) -> DataFrame:
@@ -118,7 +120,8 @@ def read_checked(df: DataFrame, json_col: str) -> DataFrame:
         number = F.try_variant_get(entry, "$", "double")
         return (
             F.when(entry.isNull() | (kind == "VOID"), F.lit(False)).when(kind == "BOOLEAN", F.try_variant_get(entry, "$", "boolean"))
-            .when(kind == "STRING", F.try_variant_get(entry, "$", "string") != "").when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(True)).otherwise(F.coalesce(number != 0, F.lit(True)))
+            .when(kind == "STRING", F.try_variant_get(entry, "$", "string") != "")
+            .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(True)).otherwise(F.coalesce(number != 0, F.lit(True)))
         )
 
     none = F.create_map().cast("map<string,boolean>")

@@ -296,6 +296,5 @@ def stream_late_events(s, d):
         arrived = events.event_envelope(inputs.interaction_rows(streams.read_stream(s, folder, "events"))).select("ts", "envelope.*")
         streams.run_windows(arrived, folder)
     counted = streams.closed_windows(s, folder).select(F.lit("window").alias("kind"), F.col("window_start").cast("string").alias("at"), "event_category", "event_label", "n")
-    none = F.lit(None).cast("string")
-    late = streams.window_runs(s, folder).select(F.lit("late").alias("kind"), F.concat(F.lit("run "), F.col("run")).alias("at"), none.alias("event_category"), none.alias("event_label"), F.col("n_late").alias("n"))
-    return counted.unionByName(late)
+    late = streams.window_runs(s, folder).select(F.lit("late").alias("kind"), F.concat(F.lit("run "), F.col("run")).alias("at"), F.col("n_late").alias("n"))
+    return counted.unionByName(late, allowMissingColumns=True)

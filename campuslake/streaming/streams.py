@@ -111,7 +111,8 @@ def run_windows(events: DataFrame, folder: str, late_s: int = 3600, width_s: int
     run, mark = before.agg(F.max("run"), F.max("watermark_us")).first()
     run, mark = (-1 if run is None else run) + 1, 0 if mark is None else mark
     end = (F.floor(F.unix_micros("ts") / F.lit(width_s * 1_000_000)) + 1) * width_s * 1_000_000
-    seen = events.observe("arrivals", F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum((end <= F.lit(mark)).cast("long")), F.lit(0).cast("long")).alias("n_late"), F.max(F.unix_micros("ts")).alias("last"))
+    late = F.coalesce(F.count_if(end <= F.lit(mark)), F.lit(0).cast("long"))
+    seen = events.observe("arrivals", F.count(F.lit(1)).alias("n_rows"), late.alias("n_late"), F.max(F.unix_micros("ts")).alias("last"))
     counts = event_counts_stream(seen, f"{late_s} seconds", f"{width_s} seconds")
     query = counts.writeStream.outputMode("append").option("checkpointLocation", f"{folder}/offsets").trigger(availableNow=True)
     query = query.foreachBatch(lambda rows, n: rows.write.mode("overwrite").parquet(f"{folder}/out/batch={n}")).start()
