@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from . import common
 from .common import cut, drop, join_parts
 
 
+def _pairs(links: DataFrame, *ways: tuple[str, str]) -> DataFrame:
+    """(a, b): each row of links in these ways, where it is."""
+    return links.select(F.explode(F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ways])).alias("l")).select("l.*")
+
+
 def _least(both: DataFrame) -> DataFrame:
     """For each node a of (a, b): the least of itself and its neighbours, and how many links it has."""
     return both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), F.count("*").alias("n"))
@@ -19,19 +25,20 @@ def components(links: DataFrame) -> DataFrame:
     Each round hangs the larger neighbours of a node, then the smaller ones, on
     the least node known; it ends when the links no longer change. A node with
     very many links is pre-aggregated before the shuffle, its links are dealt to
-    several tasks, and no list of neighbours is gathered. Links of a node to
+    several tasks, and no list of neighbours is gathered. FEW_ROWS links and fewer
+    are one partition, whose rounds need no shuffle. Links of a node to
     itself and links with a null say nothing.
     """
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     seen, total = None, edges.count()
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        held = edges.coalesce(1) if total <= common.FEW_ROWS else edges
+        both = _pairs(held, ("a", "b"), ("b", "a"))
         large = join_parts(both, _least(both), ["a"], 2 * total).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
         small = join_parts(large, least, ["a"], 2 * total)
-        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b")))
         told = Observation()
-        small = small.where("a <> b").distinct().observe(told, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"))
+        small = _pairs(small, ("b", "m"), ("a", "m")).where("a <> b").distinct().observe(told, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"))
         before, edges = edges, cut(small, "links")
         drop(before)
         state = told.get["n"], told.get["sum"]
