@@ -42,15 +42,24 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 _inside: list[list[DataFrame]] = []
 
 
+@contextmanager
+def gathered(tables: list[DataFrame]):
+    """Tables that cut() writes inside are added to the list."""
+    _inside.append(tables)
+    try:
+        yield
+    finally:
+        _inside.pop()
+
+
 @contextmanager
 def temporary():
     """Tables that cut() writes inside are deleted at the end: what is made of them lazily must have been written by then."""
     tables: list[DataFrame] = []
-    _inside.append(tables)
     try:
-        yield
+        with gathered(tables):
+            yield
     finally:
-        _inside.remove(tables)
         drop(*tables)
 
 
