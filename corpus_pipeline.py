@@ -12,12 +12,14 @@ whole, and keep columns that documents may have besides, whatever their names.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campuslake.llm.common import positional, remove, shared_dir, temporary
+from campuslake.llm.common import gathered, positional, remove, shared_dir, temporary
 from campuslake.llm.language_id import UNKNOWN, identify, learn
 from campuslake.llm.line_dedup import line_dedup
 from campuslake.llm.near_dedup import one_of_each
@@ -36,6 +38,23 @@ def carried(inside: list[str]) -> list[str]:
     return [f"c{k}" for k in range(len(inside))]
 
 
+#: Tables that the last stage has written besides, which its rows are made of.
+_left: list[DataFrame] = []
+
+
+def after_the_last(stage: Callable) -> Callable:
+    """A stage is called once its predecessor's rows are written, so what these were made of is deleted first."""
+
+    @wraps(stage)
+    def called(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _left:
+            remove(spark, _left.pop().written_at)
+        with gathered(_left):
+            return stage(spark, docs, sf_dir)
+
+    return called
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base test and that the rules together find good.
 
@@ -90,7 +109,10 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("quality rules", quality), ("language ID", language), ("line dedup", lines), ("near dedup", near), ("packing", packed)]
+STAGES = [
+    (name, after_the_last(stage))
+    for name, stage in (("quality rules", quality), ("language ID", language), ("line dedup", lines), ("near dedup", near), ("packing", packed))
+]
 
 #: No SQL: expectation-maximisation, compression and tokenizers are beyond it; the stages are tested one by one.
 ORACLE_SQL = None
