@@ -125,10 +125,15 @@ def weighted_gpa(df: DataFrame, scale_id: str, scales: dict = SCALES) -> DataFra
     return sums.select("student_id", (gpa_hundredths(F.col("p"), F.col("c")) / 100.0).alias("gpa"), (F.col("c") / float(UNIT)).alias("total_credits"))
 
 
+def _sums_all(df: DataFrame, scales: dict) -> DataFrame:
+    """A row for each student: every scale's sum of points as a column of its own (p0, p1, ...), and c, the credits. One shuffle, after partial sums."""
+    sums = [_weighted(F.col("credits"), points_x10(k, scales=scales))[0].alias(f"p{n}") for n, k in enumerate(scales)]
+    return df.groupBy("student_id").agg(*sums, _weighted(F.col("credits"), F.lit(0))[1].alias("c"))
+
+
 def weighted_gpa_all(df: DataFrame, scales: dict = SCALES) -> DataFrame:
     """weighted_gpa() on every scale: the scales' sums are columns of one aggregate, so rows are multiplied after the shuffle only."""
-    sums = [_weighted(F.col("credits"), points_x10(k, scales=scales))[0].alias(f"p{n}") for n, k in enumerate(scales)]
-    one = df.groupBy("student_id").agg(*sums, _weighted(F.col("credits"), F.lit(0))[1].alias("c"))
+    one = _sums_all(df, scales)
     every = F.array(*[F.struct(F.lit(k).alias("scale_id"), F.lit(n).alias("scale_no"), F.lit(top).alias("max_gpa_x10"), F.col(f"p{n}").alias("p")) for n, (k, (top, _)) in enumerate(scales.items())])
     flat = one.select("student_id", "c", F.explode(every).alias("s")).select("student_id", "c", "s.*")
     cents = gpa_hundredths(F.col("p"), F.col("c"))
@@ -147,11 +152,15 @@ def scale_summary(df: DataFrame) -> DataFrame:
 
 
 def best_scale(df: DataFrame) -> DataFrame:
-    """The scale with the largest share of its maximum for each student, compared in whole numbers; ties go to the earlier scale."""
+    """The scale with the largest share of its maximum for each student, compared in whole numbers; ties go to the earlier scale.
+
+    The scales are compared inside the student's row: no row for each scale, no sort.
+    """
+    cents = [gpa_hundredths(F.col(f"p{n}"), F.col("c")).alias(f"cents{n}") for n in range(len(SCALES))]
+    one = _sums_all(df, SCALES).select("student_id", *cents)
     # 1720 is a multiple of both maxima, 40 and 43
-    share = F.col("gpa_cents") * (F.lit(1720) / F.col("max_gpa_x10")).cast("long")
-    ranked = weighted_gpa_all(df).withColumn("key", F.struct(share, -F.col("scale_no")))
-    return ranked.groupBy("student_id").agg(F.max_by(F.struct("scale_id", "gpa"), "key").alias("x")).select("student_id", "x.scale_id", "x.gpa")
+    every = [F.struct((F.col(f"cents{n}") * (1720 // top)).alias("share"), F.lit(-n).alias("before"), F.lit(k).alias("scale_id"), F.col(f"cents{n}").alias("cents")) for n, (k, (top, _)) in enumerate(SCALES.items())]
+    return one.select("student_id", F.greatest(*every).alias("x")).select("student_id", "x.scale_id", (F.col("x.cents") / 100.0).alias("gpa"))
 
 
 def gpa_tier(gpa: Column) -> Column:

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+from fractions import Fraction
+
 import pytest
 
 from campuslake.operators import gpa
@@ -50,6 +53,20 @@ def test_best_scale_and_tiers(spark, transcripts):
     assert [r.cta_tier for r in tiers.collect()] == ["top", "good", "good", "low", "none"]
 
 
+def test_best_scale_inside_the_row(spark):
+    rnd = random.Random(5)
+    rows = [(n // 4, rnd.randrange(9) / 2, float(rnd.randrange(106))) for n in range(2000)] + [(1000 + k, c, s) for k, c, s in ROWS] + [(None, 2.0, 78.0), (None, None, 95.0), (2000, 3.0, None)]
+    df = spark.createDataFrame(rows, "student_id long, credits double, score double")
+    found = gpa.best_scale(df)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # a row for each scale would be sorted by student in the task's memory
+    assert "Generate" not in plan and "Sort" not in plan and plan.count("Exchange hashpartitioning") == 1
+    every = {}
+    for r in gpa.weighted_gpa_all(df).collect():
+        every.setdefault(r.student_id, []).append((Fraction(r.gpa_cents, r.max_gpa_x10), -r.scale_no, r.scale_id, r.gpa))
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(repr((k, *max(v)[2:])) for k, v in every.items())
+
+
 def test_registered_scale(spark, transcripts):
     scales = gpa.register_scale("pass_fail", 10, [(60, 10)])
     assert {r.gpa for r in gpa.weighted_gpa(transcripts.where("student_id = 1"), "pass_fail", scales).collect()} == {1.0}
