@@ -61,6 +61,53 @@ def test_every_row_a_query(spark):
     assert sorted(tuple(r) for r in bsi.search(held).collect()) == brute_top(rows, 50, 5)
 
 
+@pytest.mark.parametrize("n", [64, 65, 128, 192])
+def test_blocks_of_whole_words(spark, n):
+    """A block whose rows fill its last word of 64 is no other case."""
+    rng = np.random.default_rng(n)
+    rows = [(i, rng.normal(size=7).astype(np.float32).tolist()) for i in range(n)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted(tuple(r) for r in bsi.top_k_search(df).collect()) == brute_top(rows, 50, 5)
+    assert sorted(tuple(r) for r in bsi.top_k_search(df, block_rows=64).collect()) == brute_top(rows, 50, 5)
+
+
+def common_vectors():
+    """Vectors without weights, of one component, in many copies, of other widths and of very unlike size; ids in no order."""
+    rng = np.random.default_rng(8)
+    vectors = [rng.normal(size=6) for _ in range(900)] + [np.zeros(6)] * 40 + [np.eye(6)[n % 6] for n in range(60)] + [np.full(6, 0.7)] * 400
+    vectors += [rng.normal(size=n % 9 + 1) for n in range(60)] + [rng.normal(size=6) * 1e4 for _ in range(10)] + [rng.integers(-2, 3, 6) for _ in range(130)]
+    return [(int(i), np.asarray(v, np.float32).tolist()) for i, v in zip(rng.permutation(len(vectors)), vectors)]
+
+
+@pytest.mark.parametrize("block", [300, 8192])
+def test_passes_and_common_vectors(spark, monkeypatch, block):
+    """No row holds the queries of a block, and no join repeats them for each block; more of them take more passes, with the same results."""
+    rows = common_vectors()
+    held = common.cut(bsi.index(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), block_rows=block, query_every=5), "index")
+    want = brute_top(rows, 5, 5)
+    for most in (bsi.QUERY_BYTES, 3000):
+        monkeypatch.setattr(bsi, "QUERY_BYTES", most)
+        got = bsi.search(held)
+        assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_pairs_by_pieces(monkeypatch):
+    """A block's rows for a query, with few pairs at a time and rows that bounds do not rule out."""
+    rows = [(i, (v + [0.0] * 9)[:9]) for i, v in common_vectors()]
+    ids, values = np.array([i for i, _ in rows]), np.array([np.floor(256 * np.array(v)) for _, v in rows]).astype(np.int64)
+    asked = np.flatnonzero(ids % 20 == 0)
+    for most, group in ((bsi.PAIR_BITS, bsi.GROUP), (5000, 16)):
+        monkeypatch.setattr(bsi, "PAIR_BITS", most)
+        monkeypatch.setattr(bsi, "GROUP", group)
+        queries = bsi.Queries(asked // 700, asked % 700, ids[asked], values[asked], 5)
+        for block, a in enumerate(range(0, len(rows), 700)):
+            bsi.Slices(ids[a : a + 700], *bsi.cut_slices(values[a : a + 700]), 5).meet(queries, block)
+        q, score, found = queries.best
+        rank = np.arange(len(q)) - np.searchsorted(q, q) + 1
+        assert sorted(zip(ids[asked][q].tolist(), rank.tolist(), found.tolist(), score.tolist())) == brute_top(rows, 20, 5)
+
+
 def test_top_k_of_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     assert bsi.top_k_search(spark.createDataFrame([], schema)).count() == 0
